@@ -54,8 +54,3 @@ TAG_GONE = "Descontinuado"
 STATE_INVALID_PRICE = "Precio invalido"
 STATE_UNAVAILABLE = "Producto no disponible"
 STATE_AVAILABLE = "Producto disponible"
-
-# Latin letters with diacritics and their ASCII base letters (position by
-# position), used to fold accents inside Catalyst without a UDF.
-ACCENTED = "ÀÁÂÃÄÅàáâãäåÈÉÊËèéêëÌÍÎÏìíîïÒÓÔÕÖòóôõöÙÚÛÜùúûüÝýÿÑñÇç"
-UNACCENTED = "AAAAAAaaaaaaEEEEeeeeIIIIiiiiOOOOOoooooUUUUuuuuYyyNnCc"

@@ -23,9 +23,31 @@ def clean_upper(c: Column | str) -> Column:
     return F.upper(F.trim(as_col(c)))
 
 
+def _fold_table() -> tuple[str, str]:
+    """Accent-folding table derived by rule, not listed by hand.
+
+    Every letter of the Latin blocks (Latin-1 Supplement, Extended-A/B and
+    Extended Additional) whose canonical decomposition is one ASCII letter
+    followed by combining marks maps to that letter.  Letters without such a
+    decomposition (``ø``, ``ß``, ``æ``) are left alone; ``slugify`` then drops
+    them as non-ASCII, as an NFKD + ASCII-ignore pass does.
+    """
+    src, dst = [], []
+    for cp in list(range(0x00C0, 0x0250)) + list(range(0x1E00, 0x1F00)):
+        ch = chr(cp)
+        base = "".join(x for x in unicodedata.normalize("NFD", ch) if not unicodedata.combining(x))
+        if len(base) == 1 and base.isascii() and base.isalpha() and base != ch:
+            src.append(ch)
+            dst.append(base)
+    return "".join(src), "".join(dst)
+
+
+FOLD_FROM, FOLD_TO = _fold_table()
+
+
 def fold_accents(c: Column | str) -> Column:
     """Replace Latin accented letters by their base letter (``é`` → ``e``)."""
-    return F.translate(as_col(c), K.ACCENTED, K.UNACCENTED)
+    return F.translate(as_col(c), FOLD_FROM, FOLD_TO)
 
 
 def slugify(c: Column | str) -> Column:

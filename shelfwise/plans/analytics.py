@@ -28,18 +28,12 @@ def latest_batch(snap: DataFrame, date_col: str = DATE) -> DataFrame:
 def batch_pair(snap: DataFrame, date_col: str = DATE) -> DataFrame:
     """One row: ``ultimo`` (latest date) and ``anterior`` (latest date before it; NULL
     when there is a single batch)."""
-    dates = snap.select(date_col).distinct()
-    last = dates.agg(F.max(date_col).alias("ultimo"))
-    prev = (dates.join(F.broadcast(last), F.col(date_col) < F.col("ultimo"))
-            .agg(F.max(date_col).alias("anterior")))
-    return _one_row_pair(last, prev)
-
-
-def _one_row_pair(last: DataFrame, prev: DataFrame) -> DataFrame:
-    # Both sides have exactly one row: join on a constant key, not a cartesian product.
-    return (last.withColumn("_one", F.lit(1))
-            .join(F.broadcast(prev.withColumn("_one", F.lit(1))), "_one")
-            .drop("_one"))
+    # Distinct dates (partial aggregation), the two latest (top-2), folded
+    # into one row by a single aggregate: no join between one-row frames.
+    top2 = (snap.select(date_col).distinct()
+            .orderBy(F.col(date_col).desc()).limit(2))
+    return top2.agg(F.max(date_col).alias("ultimo"),
+                    F.when(F.count(date_col) == 2, F.min(date_col)).alias("anterior"))
 
 
 def latest_batch_rows(snap: DataFrame, date_col: str = DATE) -> DataFrame:
