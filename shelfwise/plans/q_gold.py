@@ -1 +1,244 @@
-"""Queries (filled in below)."""
+"""Queries over the gold star built from the NEST snapshot.
+
+Dimension queries return natural columns only (surrogate key values are not
+comparable across engines); keyed queries join the fact back to its
+dimensions and expose natural keys.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shelfwise.operators.keys import assign_surrogate_keys
+from shelfwise.plans import gold as G
+from shelfwise.plans import silver as S
+from shelfwise.plans.bindings import catalogue_records, table
+from shelfwise.plans.q_silver import NEST_CTE
+from shelfwise.plans.registry import query
+
+
+def _silver(spark, d):
+    return S.build_silver(catalogue_records(spark, d))
+
+
+def _silver_materialised(spark, d):
+    """The snapshot, checkpointed once (as a written silver table would be),
+    so the five dimension loads and the fact read it instead of rebuilding it."""
+    from shelfwise.session import checkpoint_root
+    checkpoint_root(spark)
+    return _silver(spark, d).checkpoint(eager=True)
+
+
+def _star(spark, d):
+    src = _silver_materialised(spark, d)
+    return src, G.build_dimensions(src)
+
+
+FIRST_BY_DATE = """
+  SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {k} ORDER BY ingesta_date, {o}) AS _r
+                 FROM silver WHERE {nn}) WHERE _r = 1"""
+
+
+@query("calendar_dimension", sql=f"""
+WITH {NEST_CTE}
+SELECT DISTINCT ingesta_date AS fecha,
+       CAST(dayofmonth(ingesta_date) AS INTEGER) AS dia,
+       CAST(month(ingesta_date) AS INTEGER) AS mes,
+       monthname(ingesta_date) AS nombre_mes,
+       CAST(quarter(ingesta_date) AS INTEGER) AS trimestre,
+       CAST(year(ingesta_date) AS INTEGER) AS anio,
+       dayname(ingesta_date) AS dia_semana,
+       dayofweek(ingesta_date) IN (0, 6) AS es_fin_de_semana
+FROM silver
+""")
+def q_calendar_dimension(spark, d):
+    return G.calendar_rows(_silver(spark, d))
+
+
+@query("dim_brand", sql=f"""
+WITH {NEST_CTE}
+SELECT brandid, brand FROM ({FIRST_BY_DATE.format(k='brandid', o='brand', nn='brandid IS NOT NULL')})
+""")
+def q_dim_brand(spark, d):
+    return G.brand_rows(_silver(spark, d))
+
+
+@query("dim_channel", sql=f"""
+WITH {NEST_CTE}
+SELECT DISTINCT canal_venta FROM silver WHERE canal_venta IS NOT NULL
+""")
+def q_dim_channel(spark, d):
+    return G.channel_rows(_silver(spark, d))
+
+
+@query("dim_category", sql=f"""
+WITH {NEST_CTE}
+SELECT categoryid, subcategoria, grupo_producto, categoria_principal
+FROM ({FIRST_BY_DATE.format(k='categoryid, subcategoria, grupo_producto', o='categoria_principal',
+                            nn='categoryid IS NOT NULL AND subcategoria IS NOT NULL '
+                               'AND grupo_producto IS NOT NULL')})
+""")
+def q_dim_category(spark, d):
+    return G.category_rows(_silver(spark, d))
+
+
+@query("dim_product", sql=f"""
+WITH {NEST_CTE}
+SELECT productid, sku, productname, tipo_especifico_producto, fecha_lanzamiento, vendedor
+FROM ({FIRST_BY_DATE.format(k='productid', o='sku', nn='productid IS NOT NULL')})
+""")
+def q_dim_product(spark, d):
+    return G.product_rows(_silver(spark, d))
+
+
+JUNK_SQL = """
+junk AS (
+  SELECT v1.s AS alto_sodio, v2.a AS alto_azucar, v3.t AS alto_saturadas,
+         CAST(v4.n AS INTEGER) AS num_octogonos
+  FROM (VALUES (true), (false)) v1(s), (VALUES (true), (false)) v2(a),
+       (VALUES (true), (false)) v3(t), (VALUES (0), (1), (2), (3)) v4(n))"""
+
+
+@query("dim_label_junk", sql=f"""
+WITH {NEST_CTE}, {JUNK_SQL},
+cnt AS (
+  SELECT coalesce(alto_sodio, false) AS s, coalesce(alto_azucar, false) AS a,
+         coalesce(alto_saturadas, false) AS t, coalesce(num_octogonos, 0) AS n, COUNT(*) AS c
+  FROM silver GROUP BY ALL)
+SELECT j.alto_sodio, j.alto_azucar, j.alto_saturadas, j.num_octogonos,
+       CAST(coalesce(c.c, 0) AS BIGINT) AS filas
+FROM junk j LEFT JOIN cnt c
+  ON j.alto_sodio = c.s AND j.alto_azucar = c.a AND j.alto_saturadas = c.t
+ AND j.num_octogonos = c.n
+""")
+def q_dim_label_junk(spark, d):
+    src = G._label_join_cols(_silver(spark, d))
+    cnt = src.groupBy("_ls", "_la", "_lt", "_ln").agg(F.count(F.lit(1)).alias("filas"))
+    junk = G.label_junk(spark)
+    j = junk.join(F.broadcast(cnt),
+                  (junk.alto_sodio == cnt._ls) & (junk.alto_azucar == cnt._la)
+                  & (junk.alto_saturadas == cnt._lt) & (junk.num_octogonos == cnt._ln), "left")
+    return j.select(*G.LABEL_COLS, F.coalesce("filas", F.lit(0)).alias("filas"))
+
+
+@query("assign_surrogate_keys", sql="""
+SELECT ROW_NUMBER() OVER (ORDER BY p_name, p_brand) AS nombre_marca_key, p_name, p_brand
+FROM (SELECT DISTINCT p_name, p_brand FROM part)
+""")
+def q_assign_surrogate_keys(spark, d):
+    rows = table(spark, d, "part").select("p_name", "p_brand").distinct()
+    return assign_surrogate_keys(rows, ["p_name", "p_brand"], "nombre_marca_key")
+
+
+FACT_NATURAL = ["fecha", "productid", "brandid", "canal_venta", "categoryid", "subcategoria",
+                "grupo_producto", *G.LABEL_COLS, *G.MEASURES]
+
+FACT_SQL = f"""
+WITH {NEST_CTE}
+SELECT ingesta_date AS fecha, productid, brandid, canal_venta, categoryid, subcategoria,
+       grupo_producto, coalesce(alto_sodio, false) AS alto_sodio,
+       coalesce(alto_azucar, false) AS alto_azucar,
+       coalesce(alto_saturadas, false) AS alto_saturadas,
+       coalesce(num_octogonos, 0) AS num_octogonos, {', '.join(G.MEASURES)}
+FROM silver WHERE coalesce(num_octogonos, 0) BETWEEN 0 AND 3
+"""
+
+
+def _natural_fact(fact, dims):
+    """Fact rows with surrogate keys replaced by the natural keys they stand for."""
+    return (fact
+            .join(F.broadcast(dims["fecha"].select("fecha_key", "fecha")), "fecha_key")
+            .join(dims["producto"].select("producto_key", "productid"), "producto_key")
+            .join(dims["marca"].select("marca_key", "brandid"), "marca_key")
+            .join(F.broadcast(dims["canal"].select("canal_key", "canal_venta")), "canal_key")
+            .join(dims["categoria"].select("categoria_key", "categoryid", "subcategoria",
+                                           "grupo_producto"), "categoria_key")
+            .join(F.broadcast(dims["etiquetado"]), "etiquetado_key")
+            .select(*FACT_NATURAL))
+
+
+@query("fact_load", sql=FACT_SQL)
+def q_fact_load(spark, d):
+    src, dims = _star(spark, d)
+    return _natural_fact(G.fact_rows(src, dims), dims)
+
+
+@query("join_composite_key", sql=f"""
+WITH {NEST_CTE},
+dim AS (SELECT categoryid, subcategoria, grupo_producto, categoria_principal AS categoria_dim
+        FROM ({FIRST_BY_DATE.format(k='categoryid, subcategoria, grupo_producto',
+                                    o='categoria_principal',
+                                    nn='categoryid IS NOT NULL AND subcategoria IS NOT NULL '
+                                       'AND grupo_producto IS NOT NULL')}))
+SELECT s.productid, s.ingesta_date, s.categoryid, s.subcategoria, s.grupo_producto,
+       s.categoria_principal, d.categoria_dim
+FROM silver s JOIN dim d ON s.categoryid = d.categoryid AND s.subcategoria = d.subcategoria
+  AND s.grupo_producto = d.grupo_producto
+""")
+def q_join_composite_key(spark, d):
+    src = _silver(spark, d)
+    dim = G.category_rows(src).withColumnRenamed("categoria_principal", "categoria_dim")
+    return (src.join(dim, ["categoryid", "subcategoria", "grupo_producto"])
+            .select("productid", "ingesta_date", "categoryid", "subcategoria", "grupo_producto",
+                    "categoria_principal", "categoria_dim"))
+
+
+@query("join_coalesced_key", sql=f"""
+WITH {NEST_CTE}
+SELECT productid, ingesta_date,
+       CAST(1 + CASE WHEN coalesce(alto_sodio, false) THEN 0 ELSE 16 END
+              + CASE WHEN coalesce(alto_azucar, false) THEN 0 ELSE 8 END
+              + CASE WHEN coalesce(alto_saturadas, false) THEN 0 ELSE 4 END
+              + coalesce(num_octogonos, 0) AS BIGINT) AS etiquetado_key,
+       coalesce(num_octogonos, 0) AS num_octogonos
+FROM silver WHERE coalesce(num_octogonos, 0) BETWEEN 0 AND 3
+""")
+def q_join_coalesced_key(spark, d):
+    src = G._label_join_cols(_silver(spark, d))
+    junk = G._dim_for_join("etiquetado", G.label_junk(spark))
+    return (src.join(junk, ["_ls", "_la", "_lt", "_ln"])
+            .select("productid", "ingesta_date", "etiquetado_key",
+                    F.col("_ln").alias("num_octogonos")))
+
+
+@query("referential_audit", sql=f"""
+WITH {NEST_CTE}
+SELECT productid, productname, categoryid, subcategoria, grupo_producto, canal_venta, brandid,
+       ingesta_date, 'etiquetado' AS motivos
+FROM silver WHERE NOT (coalesce(num_octogonos, 0) BETWEEN 0 AND 3)
+""")
+def q_referential_audit(spark, d):
+    src, dims = _star(spark, d)
+    return G.audit_rows(src, dims).withColumn("motivos", F.array_join("motivos", ","))
+
+
+@query("load_reconciliation", sql=f"""
+WITH {NEST_CTE},
+c AS (SELECT COUNT(*) AS filas_silver,
+             CAST(count_if(coalesce(num_octogonos, 0) BETWEEN 0 AND 3) AS BIGINT) AS filas_fact
+      FROM silver)
+SELECT filas_silver, filas_fact, filas_silver - filas_fact AS filas_perdidas,
+       true AS cuadra FROM c
+""")
+def q_load_reconciliation(spark, d):
+    src, dims = _star(spark, d)
+    # One aggregate over a tagged union: no joins between one-row frames.
+    tagged = (src.select(F.lit("s").alias("_t"))
+              .unionByName(G.fact_rows(src, dims).select(F.lit("f").alias("_t")))
+              .unionByName(G.audit_rows(src, dims).select(F.lit("a").alias("_t"))))
+    r = tagged.agg(F.count_if(F.col("_t") == "s").alias("filas_silver"),
+                   F.count_if(F.col("_t") == "f").alias("filas_fact"),
+                   F.count_if(F.col("_t") == "a").alias("filas_perdidas"))
+    return r.withColumn("cuadra", F.col("filas_silver") == F.col("filas_fact") + F.col("filas_perdidas"))
+
+
+@query("fact_rows_of_batch", sql=f"""
+WITH {NEST_CTE}
+SELECT ingesta_date AS fecha, COUNT(*) AS filas
+FROM silver WHERE coalesce(num_octogonos, 0) BETWEEN 0 AND 3 GROUP BY ingesta_date
+""")
+def q_fact_rows_of_batch(spark, d):
+    src, dims = _star(spark, d)
+    fact = G.fact_rows(src, dims)
+    return (fact.join(F.broadcast(dims["fecha"].select("fecha_key", "fecha")), "fecha_key")
+            .groupBy("fecha").agg(F.count(F.lit(1)).alias("filas")))
