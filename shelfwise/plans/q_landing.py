@@ -1 +1,164 @@
-"""Queries (filled in below)."""
+"""Write-path queries: data derived from the given tables is written under the
+shared checkpoint folder (a fresh sub-folder per call) and read back.
+
+Landing JSON round-trip, batch listing and completeness, batch-scoped replace,
+append, create-or-replace and the guarded MERGE writer.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shelfwise.plans.bindings import snapshot, table
+from shelfwise.plans.oracle_sql import SNAP_CTE
+from shelfwise.plans.registry import query
+from shelfwise.session import scratch_path
+from shelfwise.sources import landing as L
+from shelfwise.sources import tables as TB
+
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+EXPECTED_SECTIONS = EVENT_TYPES + ["refund"]
+
+
+def _raw_events(spark, d):
+    """Events with landing-style raw keys (mixed case, spaces, accents)."""
+    ev = table(spark, d, "events")
+    return ev.select(
+        F.col("user_id").alias("userId"),
+        F.col("value").alias("Valor Unitário"),
+        F.col("props").alias("Props"),
+        F.col("event_id").alias("eventId"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("Fecha  Evento"),
+        F.date_format("ts", "yyyy-MM-dd").alias("batch_id"),
+        F.col("event_type").alias("seccion"))
+
+
+def _written_landing(spark, d):
+    base = scratch_path(spark, "landing")
+    L.write_landing(_raw_events(spark, d), base, id_col="eventId")
+    return base
+
+
+LANDING_SQL = """
+SELECT user_id AS userid, value AS valor_unitario, props, event_id AS eventid,
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS fecha_evento,
+       strftime(ts, '%Y-%m-%d') AS batch_id, event_type AS seccion
+FROM events
+"""
+
+
+@query("landing_roundtrip", sql=LANDING_SQL)
+def q_landing_roundtrip(spark, d):
+    base = _written_landing(spark, d)
+    return L.read_landing(spark, base, glob="*.txt")
+
+
+@query("normalize_columns", sql="""
+SELECT COUNT(user_id) AS userid, COUNT(value) AS valor_unitario, COUNT(props) AS props,
+       COUNT(event_id) AS eventid, COUNT(ts) AS fecha_evento
+FROM events
+""")
+def q_normalize_columns(spark, d):
+    """Raw landing keys renamed to their normal form (the result's column
+    names), with the non-NULL count each renamed column carries."""
+    base = _written_landing(spark, d)
+    df = L.read_landing(spark, base, glob="*.txt").drop("batch_id", "seccion")
+    return df.agg(*[F.count(c).alias(c) for c in df.columns])
+
+
+@query("landing_batches", sql="SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS batch_id FROM events")
+def q_landing_batches(spark, d):
+    base = _written_landing(spark, d)
+    return L.landing_batches(L.landing_files(spark, base, glob="*.txt"))
+
+
+@query("landing_completeness", sql=f"""
+WITH f AS (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS batch_id, event_type FROM events),
+g AS (SELECT batch_id, list_sort(list(event_type)) AS found FROM f GROUP BY batch_id)
+SELECT batch_id, CAST(len(found) AS INTEGER) AS secciones,
+       array_to_string(list_filter({sorted(EXPECTED_SECTIONS)!r}::VARCHAR[],
+                                   lambda x: NOT list_contains(found, x)), ',') AS faltantes,
+       len(list_filter({sorted(EXPECTED_SECTIONS)!r}::VARCHAR[],
+                       lambda x: NOT list_contains(found, x))) = 0 AS completo
+FROM g
+""")
+def q_landing_completeness(spark, d):
+    base = _written_landing(spark, d)
+    c = L.landing_completeness(L.landing_files(spark, base, glob="*.txt"), EXPECTED_SECTIONS)
+    return c.withColumn("faltantes", F.array_join("faltantes", ","))
+
+
+# --- parquet table writes ------------------------------------------------------------------
+
+def _obs_rows(spark, d):
+    ev = table(spark, d, "events")
+    return ev.select("event_id", "user_id", "value", F.date_format("ts", "yyyy-MM-dd").alias("batch_id"))
+
+
+REPLACED_DAY = "2024-01-15"
+
+
+@query("replace_batch_roundtrip", sql=f"""
+SELECT event_id, user_id,
+       CASE WHEN strftime(ts, '%Y-%m-%d') = '{REPLACED_DAY}' THEN value * 2 ELSE value END AS value,
+       strftime(ts, '%Y-%m-%d') AS batch_id
+FROM events
+""")
+def q_replace_batch_roundtrip(spark, d):
+    path = scratch_path(spark, "bronze")
+    rows = _obs_rows(spark, d)
+    TB.replace_batch(rows, path)
+    day = TB.scan_batch(TB.read_table(spark, path), "batch_id", REPLACED_DAY)
+    TB.replace_batch(day.withColumn("value", F.col("value") * 2), path)
+    return TB.read_table(spark, path).select("event_id", "user_id", "value", "batch_id")
+
+
+@query("append_roundtrip", sql="""
+SELECT event_id, user_id, value, strftime(ts, '%Y-%m-%d') AS batch_id FROM events
+""")
+def q_append_roundtrip(spark, d):
+    path = scratch_path(spark, "append")
+    rows = _obs_rows(spark, d)
+    TB.append_table(rows.filter(F.col("batch_id") < "2024-01-16"), path)
+    TB.append_table(rows.filter(F.col("batch_id") >= "2024-01-16"), path)
+    return TB.read_table(spark, path)
+
+
+@query("create_or_replace_roundtrip", sql="""
+SELECT event_id, event_type, value * 100 AS value_cents FROM events
+""")
+def q_create_or_replace_roundtrip(spark, d):
+    path = scratch_path(spark, "table")
+    ev = table(spark, d, "events")
+    TB.overwrite_table(ev.select("event_id", "value"), path)
+    TB.overwrite_table(ev.select("event_id", "event_type",
+                                 (F.col("value") * 100).alias("value_cents")), path)
+    return TB.read_table(spark, path)
+
+
+MERGE_DAY = "2024-01-15"
+SNAP_OUT = ["productid", "ingesta_date", "batch_id", "precio_regular", "event_id"]
+
+
+@query("merge_table_roundtrip", sql=f"""
+WITH {SNAP_CTE}
+SELECT productid, ingesta_date, batch_id,
+       CASE WHEN ingesta_date = DATE '{MERGE_DAY}' AND productid % 2 = 0
+            THEN precio_regular + 1.0 ELSE precio_regular END AS precio_regular,
+       event_id
+FROM snap
+""")
+def q_merge_table_roundtrip(spark, d):
+    """Guarded upsert through the parquet writer: a replayed batch with older
+    batch ids must not overwrite, a same-batch correction must."""
+    path = scratch_path(spark, "silver")
+    snap = snapshot(spark, d).select(*SNAP_OUT)
+    TB.replace_partitions(snap, path, ["ingesta_date"])
+    schema = snap.schema
+    src = (snap.filter(F.col("ingesta_date") == F.to_date(F.lit(MERGE_DAY)))
+           .withColumn("precio_regular", F.col("precio_regular") + F.lit(1.0))
+           .withColumn("batch_id", F.when(F.col("productid") % 2 == 0, F.lit(MERGE_DAY))
+                       .otherwise(F.lit("2024-01-14"))))
+    TB.merge_into_table(spark, path, src, ["productid", "ingesta_date"], "ingesta_date",
+                        guard=lambda t, s: s("batch_id") >= t("batch_id"), schema=schema)
+    return TB.read_table(spark, path, schema).select(*SNAP_OUT)
