@@ -162,3 +162,15 @@ def q_merge_table_roundtrip(spark, d):
     TB.merge_into_table(spark, path, src, ["productid", "ingesta_date"], "ingesta_date",
                         guard=lambda t, s: s("batch_id") >= t("batch_id"), schema=schema)
     return TB.read_table(spark, path, schema).select(*SNAP_OUT)
+
+
+@query("landing_stream_bronze", sql=LANDING_SQL)
+def q_landing_stream_bronze(spark, d):
+    """The streaming face: a file stream over the landing folder drives the
+    bronze load (availableNow); the bronze table is read back."""
+    from shelfwise.streaming.landing_stream import start_bronze_stream
+    base = _written_landing(spark, d)
+    bronze = scratch_path(spark, "bronze-stream")
+    q = start_bronze_stream(spark, base, bronze, scratch_path(spark, "stream-ckpt"), glob="*.txt")
+    q.awaitTermination()
+    return TB.read_table(spark, bronze, merge_schema=True)

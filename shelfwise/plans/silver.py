@@ -44,9 +44,12 @@ SILVER_COLUMNS = [
 ]
 
 KEYS = ["productid", "ingesta_date"]
-# Most specific category path first; the rest makes the choice deterministic.
-DEDUP_ORDER = [desc(F.length("categoria_raw")), asc("categoria_raw"), asc("seccion"),
-               asc("sku"), asc("itemid")]
+
+
+def dedup_order():
+    """Most specific category path first; the rest makes the choice deterministic."""
+    return [desc(F.length("categoria_raw")), asc("categoria_raw"), asc("seccion"),
+            asc("sku"), asc("itemid")]
 
 
 def enrich(bronze: DataFrame) -> DataFrame:
@@ -115,7 +118,7 @@ def build_silver(bronze: DataFrame, observation: Observation | None = None) -> D
     # Only the output columns and the order's helpers enter the aggregate.
     rows = rows.select(*[c for c in SILVER_COLUMNS if c != "secciones_origen"],
                        "categoria_raw", "seccion", "itemid")
-    best = best_row_per_key(rows, KEYS, DEDUP_ORDER, gather={"secciones_origen": "seccion"})
+    best = best_row_per_key(rows, KEYS, dedup_order(), gather={"secciones_origen": "seccion"})
     return best.select(*SILVER_COLUMNS)
 
 
