@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from shelfwise import constants as K
 from shelfwise import functions as SF
@@ -52,6 +54,24 @@ def dedup_order():
             asc("sku"), asc("itemid")]
 
 
+def _teaser_type(df: DataFrame) -> T.DataType | None:
+    """Element type of items[0].sellers[0].commertialoffer.promotionteasers, if any."""
+    try:
+        t = df.select(SF.first(SF.first_item("items")["sellers"])["commertialoffer"]
+                      ["promotionteasers"]).schema.fields[0].dataType
+    except AnalysisException:
+        return None
+    return t.elementType if isinstance(t, T.ArrayType) else None
+
+
+def _best_discount_or_null(df: DataFrame, teasers: Column) -> Column:
+    """Best discount; NULL when the inferred teaser type carries no parameters
+    (a batch whose teaser lists are all empty infers ``array<string>``)."""
+    et = _teaser_type(df)
+    ok = (isinstance(et, T.StructType) and "effects" in [f.name.lower() for f in et.fields])
+    return SF.best_discount(teasers) if ok else F.lit(None).cast("double")
+
+
 def enrich(bronze: DataFrame) -> DataFrame:
     """All per-row derivations, before any filter (pure projections)."""
     df = bronze.select(*BRONZE_COLUMNS)
@@ -67,7 +87,7 @@ def enrich(bronze: DataFrame) -> DataFrame:
         item["unitmultiplier"].try_cast("double").alias("unit_multiplier"),
         offer["isavailable"].try_cast("boolean").alias("disponible"),
         offer["availablequantity"].try_cast("int").alias("cantidad_disponible"),
-        SF.best_discount(offer["promotionteasers"]).alias("mejor_descuento"),
+        _best_discount_or_null(df, offer["promotionteasers"]).alias("mejor_descuento"),
         SF.first("categories").alias("categoria_raw"),
     )
     r, o, u, d = (F.col(c) for c in ("precio_regular", "precio_online", "unit_multiplier",

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from shelfwise.functions.text import normalize_key
@@ -44,49 +45,91 @@ def normalize_columns(df: DataFrame, overrides: dict[str, str] | None = None,
     """Rename top-level columns to their normal form; nested keys are left as
     they are (they are resolved case-insensitively downstream)."""
     groups = normalized_names([c for c in df.columns if c not in keep], overrides)
+    # Positional rename (``toDF``) binds to the already-resolved columns, so the
+    # raw names — which may differ only by case — are never resolved again.
+    tmp: dict[str, str] = {}
+    for norm, raws in groups.items():
+        for i, r in enumerate(raws):
+            tmp[r] = norm if len(raws) == 1 else f"{norm}__{i}"
+    renamed = df.toDF(*[c if c in keep else tmp[c] for c in df.columns])
     cols: list[Column] = []
     for norm, raws in groups.items():
         if len(raws) == 1:
-            cols.append(F.col(f"`{raws[0]}`").alias(norm))
+            cols.append(F.col(norm))
         else:
-            cols.append(F.coalesce(*[F.col(f"`{r}`") for r in reversed(raws)]).alias(norm))
-    return df.select(*cols, *[F.col(k) for k in keep])
+            cols.append(F.coalesce(*[F.col(f"{norm}__{i}") for i in reversed(range(len(raws)))])
+                        .alias(norm))
+    return renamed.select(*cols, *[F.col(k) for k in keep])
 
 
 def _section_from_path(pattern: str) -> Column:
     return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
 
 
+def infer_landing_schema(spark: SparkSession, path: str, *, base: str | None = None,
+                         glob: str = "*.json", multiline: bool = True) -> T.StructType:
+    """Schema of the landing records, inferred with case-sensitive names (one
+    pass over the files).  Partition columns are left out."""
+    prev = spark.conf.get("spark.sql.caseSensitive")
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        sch = (spark.read.option("multiLine", str(multiline).lower())
+               .option("pathGlobFilter", glob).option("basePath", base or path)
+               .json(path).schema)
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", prev)
+    return T.StructType([f for f in sch.fields if f.name not in ("batch_id", "seccion", "chunk")])
+
+
 def read_landing(spark: SparkSession, base: str, *, batch_id: str | None = None,
                  glob: str = "*.json", multiline: bool = True,
+                 schema: T.StructType | None = None,
                  section_pattern: str = r"([^/]+)\.json$", section_col: str = "seccion",
                  overrides: dict[str, str] | None = None) -> DataFrame:
     """Read landing batches (all, or one) as a normalised bronze frame.
 
+    Raw keys never reach the planner: each file is read as one text value and
+    parsed with ``from_json`` against the raw schema, and the record struct is
+    renamed *by position* with a cast.  (A JSON scan whose columns differ only
+    by case cannot be planned under case-insensitive resolution.)  Pass
+    ``schema`` to skip the inference pass.  ``multiline=False`` reads JSON
+    lines (one record per line, splittable) instead of one array per file.
+
     Raises ``LandingError`` when the folder is missing or holds no readable
-    JSON file.
+    JSON record.
     """
     path = f"{base.rstrip('/')}/batch_id={batch_id}" if batch_id else base
-    prev = spark.conf.get("spark.sql.caseSensitive")
-    spark.conf.set("spark.sql.caseSensitive", "true")
     try:
-        raw = (spark.read.option("multiLine", str(multiline).lower())
-               .option("pathGlobFilter", glob)
-               .option("basePath", base)
-               .json(path))
-        partition_cols = [c for c in ("batch_id", section_col, "chunk") if c in raw.columns]
-        data_cols = [c for c in raw.columns if c not in partition_cols]
-        if not data_cols or data_cols == ["_corrupt_record"]:
-            raise LandingError(f"no readable JSON records under {path}")
-        if section_col not in partition_cols:
-            raw = raw.withColumn(section_col, _section_from_path(section_pattern))
-        df = normalize_columns(raw.drop(*[c for c in ("chunk",) if c in raw.columns]),
-                               overrides, keep=("batch_id", section_col))
+        raw = schema or infer_landing_schema(spark, path, base=base, glob=glob,
+                                             multiline=multiline)
+        text = (spark.read.option("pathGlobFilter", glob).option("basePath", base)
+                .text(path, wholetext=multiline))
     except AnalysisException as e:  # missing folder, or nothing to infer a schema from
         raise LandingError(f"cannot read landing data at {path}: {e}") from e
-    finally:
-        spark.conf.set("spark.sql.caseSensitive", prev)
-    return df
+    fields = [f for f in raw.fields if f.name != "_corrupt_record"]
+    if not fields:
+        raise LandingError(f"no readable JSON records under {path}")
+    groups = normalized_names([f.name for f in fields], overrides)
+    tmp = {}
+    for norm, raws in groups.items():
+        for i, r in enumerate(raws):
+            tmp[r] = norm if len(raws) == 1 else f"{norm}__{i}"
+    renamed = T.StructType([T.StructField(tmp[f.name], f.dataType, True) for f in fields])
+    section = F.col(section_col) if section_col in text.columns else F.regexp_extract(
+        F.col("_metadata.file_path"), section_pattern, 1)
+    rec_type = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
+    parsed = (F.explode(F.from_json("value", T.ArrayType(rec_type))) if multiline
+              else F.from_json("value", rec_type))
+    rows = text.select(parsed.alias("_r"), F.col("batch_id"), section.alias(section_col))
+    rows = rows.select(F.col("_r").cast(renamed).alias("_r"), "batch_id", section_col)
+    cols = []
+    for norm, raws in groups.items():
+        if len(raws) == 1:
+            cols.append(F.col(f"_r.{norm}").alias(norm))
+        else:
+            cols.append(F.coalesce(*[F.col(f"_r.{norm}__{i}") for i in reversed(range(len(raws)))])
+                        .alias(norm))
+    return rows.select(*cols, "batch_id", section_col)
 
 
 def landing_files(spark: SparkSession, base: str, glob: str = "*.json",
