@@ -135,3 +135,25 @@ def merge_into_table(spark: SparkSession, path: str, source: DataFrame, keys: li
     merged = merge_upsert(target, source.select(*target.columns), keys, guard=guard,
                           keep_cols=keep_cols, touched=touched)
     replace_partitions(merged, path, [partition_col])
+
+
+def batch_exists_in(spark: SparkSession, path: str, col: str, value,
+                    schema: T.StructType | None = None) -> bool:
+    """True when the table holds at least one row with ``col = value`` (stops at
+    the first match; a partition filter on partitioned tables)."""
+    return not read_table(spark, path, schema).filter(F.col(col) == F.lit(value)).isEmpty()
+
+
+def read_partition(spark: SparkSession, path: str, col: str, value,
+                   schema: T.StructType | None = None) -> DataFrame:
+    """One partition folder of a partitioned table, with its own schema.
+
+    Reading the folder directly (with ``basePath``) lists only that partition and
+    takes the schema from its own files — no footer merge across partitions,
+    so batches whose inferred types differ (e.g. an all-empty array inferred as
+    ``array<string>``) never have to be reconciled.
+    """
+    r = spark.read.option("basePath", path)
+    if schema is not None:
+        r = r.schema(schema)
+    return r.parquet(f"{path.rstrip('/')}/{col}={value}")
