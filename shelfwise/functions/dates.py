@@ -33,3 +33,8 @@ def batch_id_of(ts: Column | str) -> Column:
 def parse_batch_date(c: Column | str) -> Column:
     """Batch id or release date to DATE; malformed text gives NULL, not an error."""
     return F.try_to_date(as_col(c))
+
+
+def today_batch_id(tz: str) -> Column:
+    """Today's batch id in a time zone (``yyyy-MM-dd`` of the local date)."""
+    return F.date_format(F.from_utc_timestamp(F.current_timestamp(), tz), "yyyy-MM-dd")

@@ -207,3 +207,17 @@ def run_pending(spark: SparkSession, landing_base: str, lake: Lake, *, glob: str
         run_daily_batch(spark, landing_base, lake, b, glob=glob)
         done.append(b)
     return done
+
+
+def register_views(spark: SparkSession, lake: Lake) -> list[str]:
+    """Temp views over the lake's tables for SQL users (``silver``, ``fact``,
+    ``audit``, ``control``, ``dim_<name>``); returns the names registered."""
+    tables = {"silver": (lake.silver, SC.SILVER), "fact": (lake.fact, SC.FACT),
+              "audit": (lake.audit, SC.AUDIT), "control": (lake.control, SC.CONTROL)}
+    tables.update({f"dim_{n}": (lake.dim(n), s) for n, s in SC.DIMENSION_SCHEMAS.items()})
+    done = []
+    for name, (path, schema) in tables.items():
+        if TB.table_exists(spark, path):
+            TB.read_table(spark, path, schema).createOrReplaceTempView(name)
+            done.append(name)
+    return done

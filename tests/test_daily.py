@@ -64,6 +64,11 @@ def test_two_batches_end_to_end_and_rerun(spark, scratch):
     products = TB.read_table(spark, lake.dim("producto"))
     assert products.count() == 4 and products.select("producto_key").distinct().count() == 4
 
+    assert "fact" in DY.register_views(spark, lake)
+    kpi = spark.sql("""SELECT COUNT(*) AS n FROM fact f JOIN dim_fecha d ON f.fecha_key = d.fecha_key
+                       WHERE d.fecha = (SELECT max(fecha) FROM dim_fecha)""").first().n
+    assert kpi == 2
+
     # Rerun of a completed batch: same tables (idempotent), keys unchanged.
     keys_before = sorted(map(tuple, products.collect()))
     created = silver.filter(F.col("productid") == "3").first().created_timestamp

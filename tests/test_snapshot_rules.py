@@ -212,3 +212,17 @@ def test_silver_schema(spark):
     assert types["descuento_base_pct"] == "bigint"
     assert types["num_octogonos"] == "int"
     assert types["secciones_origen"] == "array<string>"
+
+
+def test_observation_counts_rows_during_the_write(spark):
+    from pyspark.sql import Observation
+    obs = Observation("silver")
+    recs = [record(itemid="1"), record(itemid="2", productname="Pack x2")]
+    S.build_silver(bronze(spark, *recs), observation=obs).write.format("noop").mode("overwrite").save()
+    assert obs.get["rows_after_filters"] == 1
+
+
+def test_today_batch_id_is_iso(spark):
+    from shelfwise.functions.dates import today_batch_id
+    v = spark.range(1).select(today_batch_id("America/Lima").alias("b")).first().b
+    assert len(v) == 10 and v[4] == "-" and v[7] == "-"
