@@ -9,8 +9,10 @@ over whole tables and its work grows with them.
 * SNAP (silver)               ← OBS, best row per (product, day): highest price,
   then lowest event id; sections consolidated.
 * NEST (landing-shaped rows)  ← ``lineitem ⋈ part``: one catalogue record per
-  line item with the full items → sellers → offer → teasers nesting.
-* STAR (gold inputs)          ← ``lineitem ⋈ orders ⋈ customer ⋈ part``.
+  line item with the full items → sellers → offer → teasers nesting; the list
+  price is the line's unit price (extended price / quantity).
+* STAR (gold)                 ← the snapshot built from NEST, loaded into the
+  dimensions and the fact exactly as a daily batch would be.
 """
 
 from __future__ import annotations
@@ -87,7 +89,7 @@ def catalogue_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     j = li.join(part, li.l_partkey == part.p_partkey)
     ln = F.col("l_linenumber")
-    r = F.col("p_retailprice")
+    r = F.col("l_extendedprice") / F.col("l_quantity")  # the line's unit price
     u = F.col("l_quantity")
     d1 = F.col("l_discount") * r * u
     d2 = F.col("l_tax") * r
@@ -164,24 +166,3 @@ def catalogue_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("l_shipdate").alias("ingesta_date"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("batch_id"),
     )
-
-
-# --- STAR ----------------------------------------------------------------------
-
-def star_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STAR source rows: one per line item with its natural dimension keys.
-
-    date = order date, product = part, brand = part brand, channel = customer
-    market segment, category = (part type, part size), label = (return flag,
-    line status).
-    """
-    li = table(spark, sf_dir, "lineitem")
-    o = table(spark, sf_dir, "orders")
-    c = table(spark, sf_dir, "customer")
-    return (li.join(o, li.l_orderkey == o.o_orderkey)
-            .join(c, o.o_custkey == c.c_custkey)
-            .select(F.to_date("o_orderdate").alias("fecha"),
-                    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                    F.col("c_mktsegment").alias("canal_venta"),
-                    "l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice",
-                    (F.col("l_discount") + F.lit(0.0)).alias("l_discount"), "l_tax"))

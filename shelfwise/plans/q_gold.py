@@ -242,3 +242,99 @@ def q_fact_rows_of_batch(spark, d):
     fact = G.fact_rows(src, dims)
     return (fact.join(F.broadcast(dims["fecha"].select("fecha_key", "fecha")), "fecha_key")
             .groupBy("fecha").agg(F.count(F.lit(1)).alias("filas")))
+
+
+# --- the standing questions over the star (fact joined to its dimensions) -------------------
+
+from shelfwise.plans import analytics as A  # noqa: E402
+from shelfwise.plans.oracle_sql import money, pct  # noqa: E402
+
+STAR_BASE_SQL = f"""
+WITH {NEST_CTE},
+cat AS (SELECT categoryid, subcategoria, grupo_producto, categoria_principal AS categoria_dim
+        FROM ({FIRST_BY_DATE.format(k='categoryid, subcategoria, grupo_producto',
+                                    o='categoria_principal',
+                                    nn='categoryid IS NOT NULL AND subcategoria IS NOT NULL '
+                                       'AND grupo_producto IS NOT NULL')})),
+prod AS (SELECT productid, productname AS productname_dim
+         FROM ({FIRST_BY_DATE.format(k='productid', o='sku', nn='productid IS NOT NULL')})),
+star AS (
+  SELECT s.ingesta_date AS fecha, s.productid, p.productname_dim AS productname,
+         c.categoria_dim AS categoria_principal, s.precio_regular, s.precio_valido,
+         s.en_promocion, s.disponible, s.descuento_tarjeta_sip_pct
+  FROM silver s
+  JOIN cat c ON s.categoryid = c.categoryid AND s.subcategoria = c.subcategoria
+            AND s.grupo_producto = c.grupo_producto
+  JOIN prod p ON s.productid = p.productid
+  WHERE coalesce(s.num_octogonos, 0) BETWEEN 0 AND 3),
+latest AS (SELECT * FROM star WHERE fecha = (SELECT max(fecha) FROM star))"""
+
+
+def _star_flat(spark, d):
+    src, dims = _star(spark, d)
+    return G.star_view(G.fact_rows(src, dims), dims)
+
+
+@query("star_latest_batch_kpis", sql=STAR_BASE_SQL + f"""
+SELECT COUNT(*) AS total_productos,
+       CAST(count_if(disponible) AS BIGINT) AS disponibles,
+       CAST(count_if(NOT disponible) AS BIGINT) AS sin_stock,
+       CAST(count_if(en_promocion) AS BIGINT) AS con_sip,
+       {money('avg(CASE WHEN precio_valido THEN precio_regular END)')} AS precio_promedio,
+       round(avg(CASE WHEN en_promocion THEN descuento_tarjeta_sip_pct END), 1)
+         AS descuento_sip_promedio
+FROM latest
+""")
+def q_star_latest_batch_kpis(spark, d):
+    return A.latest_batch_kpis(_star_flat(spark, d), date_col="fecha")
+
+
+@query("star_promo_share_by_category", sql=STAR_BASE_SQL + f"""
+SELECT categoria_principal, COUNT(*) AS total_productos,
+       CAST(count_if(en_promocion) AS BIGINT) AS con_sip,
+       {pct('count_if(en_promocion)', 'COUNT(*)')} AS pct_con_sip,
+       round(avg(CASE WHEN en_promocion THEN descuento_tarjeta_sip_pct END), 1)
+         AS descuento_sip_promedio
+FROM latest WHERE categoria_principal IS NOT NULL GROUP BY categoria_principal
+""")
+def q_star_promo_share(spark, d):
+    return A.promo_share_by_category(_star_flat(spark, d), date_col="fecha")
+
+
+@query("star_stockout_by_category", sql=STAR_BASE_SQL + f"""
+SELECT categoria_principal, COUNT(*) AS total,
+       CAST(count_if(disponible) AS BIGINT) AS disponibles,
+       CAST(count_if(NOT disponible) AS BIGINT) AS sin_stock,
+       {pct('count_if(NOT disponible)', 'COUNT(*)')} AS pct_sin_stock
+FROM latest WHERE categoria_principal IS NOT NULL GROUP BY categoria_principal
+""")
+def q_star_stockout(spark, d):
+    return A.stockout_by_category(_star_flat(spark, d), date_col="fecha")
+
+
+@query("star_top_category_trend", sql=STAR_BASE_SQL + f""",
+base AS (SELECT fecha, categoria_principal, precio_regular FROM star
+         WHERE precio_valido AND categoria_principal IS NOT NULL),
+top AS (SELECT categoria_principal FROM base GROUP BY categoria_principal
+        ORDER BY avg(precio_regular) DESC, categoria_principal LIMIT 5)
+SELECT fecha, categoria_principal, {money('avg(precio_regular)')} AS precio_promedio
+FROM base WHERE categoria_principal IN (SELECT categoria_principal FROM top)
+GROUP BY fecha, categoria_principal
+""")
+def q_star_top_category_trend(spark, d):
+    return A.top_category_trend(_star_flat(spark, d), k=5, date_col="fecha")
+
+
+@query("star_price_movers", sql=STAR_BASE_SQL + """,
+lagged AS (
+  SELECT productid, productname, categoria_principal, fecha, precio_regular AS precio_actual,
+         lag(precio_regular) OVER (PARTITION BY productid ORDER BY fecha) AS precio_anterior
+  FROM star WHERE precio_valido)
+SELECT productid, productname, categoria_principal, fecha, precio_anterior, precio_actual,
+       round(precio_actual - precio_anterior, 2) AS variacion,
+       round((precio_actual - precio_anterior) / precio_anterior * 100, 1) AS variacion_pct
+FROM lagged WHERE precio_anterior IS NOT NULL AND precio_actual <> precio_anterior
+ORDER BY abs(variacion_pct) DESC, productid, fecha LIMIT 15
+""")
+def q_star_price_movers(spark, d):
+    return A.price_movers(_star_flat(spark, d), k=15, date_col="fecha")

@@ -30,13 +30,13 @@ nest AS (
          ELSE '/' || p.p_type || '/' || p.p_brand || '/' END AS categoria_raw,
     concat_ws('-', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey) AS itemid,
     'Supplier#' || CAST(l.l_suppkey AS VARCHAR) AS sellername,
-    p.p_retailprice AS precio_regular,
-    p.p_retailprice * (1.0 - l.l_discount) AS precio_online,
+    (l.l_extendedprice / l.l_quantity) AS precio_regular,
+    (l.l_extendedprice / l.l_quantity) * (1.0 - l.l_discount) AS precio_online,
     l.l_quantity AS unit_multiplier,
     l.l_linestatus = 'O' AS disponible,
     CAST(l.l_quantity AS INTEGER) AS cantidad_disponible,
     CASE WHEN l.l_tax > 0.04
-         THEN greatest(l.l_discount * p.p_retailprice * l.l_quantity, l.l_tax * p.p_retailprice)
+         THEN greatest(l.l_discount * (l.l_extendedprice / l.l_quantity) * l.l_quantity, l.l_tax * (l.l_extendedprice / l.l_quantity))
     END AS mejor_descuento,
     l.l_linenumber AS ln, l.l_returnflag AS flag, l.l_linestatus AS status,
     l.l_suppkey AS suppkey,
