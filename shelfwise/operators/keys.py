@@ -6,8 +6,9 @@ single-partition window:
 
 1. the new natural keys are range-partitioned (balanced, each partition a
    contiguous key range) and the partition id is recorded;
-2. that frame is checkpointed to the shared checkpoint folder, so partition
-   membership is fixed even if an executor is lost and work is retried;
+2. that frame is written to the shared checkpoint folder and read back, so
+   partition membership is fixed even if an executor is lost and work is
+   retried;
 3. per partition: row count (a frame with one row per partition, broadcast —
    its size is bounded by the partition count) and a running offset;
 4. per row: offset of its partition + its row number inside the partition.
@@ -21,18 +22,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.session import checkpoint_root
+from shelfwise.session import materialize
 
 
 def assign_surrogate_keys(new_rows: DataFrame, natural_key: list[str], key_name: str, *,
                           base: int = 0, partitions: int | None = None) -> DataFrame:
     """Number ``new_rows`` (unique on ``natural_key``) as base+1, base+2, ... in key order."""
     spark = new_rows.sparkSession
-    checkpoint_root(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parted = (new_rows.repartitionByRange(n, *natural_key)
-              .withColumn("_part", F.spark_partition_id())
-              .checkpoint(eager=True))
+    parted = materialize(new_rows.repartitionByRange(n, *natural_key)
+                         .withColumn("_part", F.spark_partition_id()), "keys")
     sizes = parted.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(
         "_part",

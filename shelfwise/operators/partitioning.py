@@ -1,0 +1,21 @@
+"""Parallelism helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a narrow input over the cluster before CPU-heavy per-row work.
+
+    A daily batch arrives as a handful of files (one multi-line JSON file per
+    section), so the stage that parses and enriches it would run on that many
+    tasks however large the cluster.  When the input has fewer partitions
+    than the cluster has cores it is round-robin repartitioned (even, whatever
+    the key skew); a large input already has enough partitions and is returned
+    unchanged, so no shuffle is added at scale.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -31,7 +31,7 @@ from shelfwise.plans import gold as G
 from shelfwise.plans import silver as S
 from shelfwise.sources import landing as L
 from shelfwise.sources import tables as TB
-from shelfwise.session import checkpoint_root
+from shelfwise.session import materialize
 
 ISO = "%Y-%m-%d"
 
@@ -82,11 +82,10 @@ def read_control(spark: SparkSession, lake: Lake) -> DataFrame | None:
 
 
 def _write_control(spark: SparkSession, lake: Lake, new_state: DataFrame, batch_id: str) -> None:
-    checkpoint_root(spark)
     rows = new_state.filter(F.col("batch_id") == batch_id).select(*SC.CONTROL.fieldNames())
     # The new state is derived from the partition it replaces: materialise it
     # in the shared checkpoint folder before rewriting that partition.
-    TB.replace_partitions(rows.checkpoint(eager=True), lake.control, ["batch_id"])
+    TB.replace_partitions(materialize(rows, "control"), lake.control, ["batch_id"])
 
 
 def _empty_control(spark: SparkSession) -> DataFrame:
@@ -158,9 +157,8 @@ def load_gold(spark: SparkSession, lake: Lake, batch_id: str, *, fact_mode: str
               ) -> dict[str, int]:
     """Insert new dimension members, then replace the batch's fact and audit partitions."""
     day = _check_batch_id(batch_id)
-    checkpoint_root(spark)
     src = TB.scan_batch(TB.read_table(spark, lake.silver, SC.SILVER), "batch_id", batch_id)
-    src = src.checkpoint(eager=True)  # read by six dimension loads, the fact and the audit
+    src = materialize(src, "silver-batch")  # read by the dimension loads, the fact and the audit
     if TB.create_if_missing(spark, lake.dim("etiquetado"), SC.DIM_ETIQUETADO):
         TB.append_table(G.label_junk(spark), lake.dim("etiquetado"))
     dims = {}

@@ -22,11 +22,11 @@ def _silver(spark, d):
 
 
 def _silver_materialised(spark, d):
-    """The snapshot, checkpointed once (as a written silver table would be),
-    so the five dimension loads and the fact read it instead of rebuilding it."""
-    from shelfwise.session import checkpoint_root
-    checkpoint_root(spark)
-    return _silver(spark, d).checkpoint(eager=True)
+    """The snapshot, written once to the shared checkpoint folder (as the silver
+    table would be), so the dimension loads and the fact read it instead of
+    rebuilding it."""
+    from shelfwise.session import materialize
+    return materialize(_silver(spark, d), "silver")
 
 
 def _star(spark, d):

@@ -24,6 +24,7 @@ from shelfwise import constants as K
 from shelfwise import functions as SF
 from shelfwise.operators.dedup import asc, best_row_per_key, desc
 from shelfwise.operators.filters import exclude_promotional, keep_valid_channels
+from shelfwise.operators.partitioning import spread
 
 BRONZE_COLUMNS = [
     "productid", "productreferencecode", "productname", "brand", "brandid", "categoryid",
@@ -74,7 +75,7 @@ def _best_discount_or_null(df: DataFrame, teasers: Column) -> Column:
 
 def enrich(bronze: DataFrame) -> DataFrame:
     """All per-row derivations, before any filter (pure projections)."""
-    df = bronze.select(*BRONZE_COLUMNS)
+    df = spread(bronze.select(*BRONZE_COLUMNS))
     item = SF.first_item("items")
     seller = SF.first(item["sellers"])
     offer = seller["commertialoffer"]

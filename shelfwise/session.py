@@ -100,3 +100,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
     return bool(fs.exists(hpath))
+
+
+def materialize(df, name: str):
+    """Cut lineage: write ``df`` as parquet under the shared checkpoint folder
+    and read it back.
+
+    One pass (an RDD ``checkpoint()`` computes the plan a second time to write
+    it), columnar and compressed, and the re-read relation carries real size
+    statistics for the planner.  The files live in shared storage, so a lost
+    executor does not lose them.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
