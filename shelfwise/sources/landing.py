@@ -66,22 +66,23 @@ def _section_from_path(pattern: str) -> Column:
     return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
 
 
-def infer_landing_schema(spark: SparkSession, path: str, *, base: str | None = None,
+def infer_landing_schema(spark: SparkSession, path: str | list[str], *, base: str | None = None,
                          glob: str = "*.json", multiline: bool = True) -> T.StructType:
     """Schema of the landing records, inferred with case-sensitive names (one
     pass over the files).  Partition columns are left out."""
     prev = spark.conf.get("spark.sql.caseSensitive")
     spark.conf.set("spark.sql.caseSensitive", "true")
     try:
+        paths = [path] if isinstance(path, str) else list(path)
         sch = (spark.read.option("multiLine", str(multiline).lower())
-               .option("pathGlobFilter", glob).option("basePath", base or path)
-               .json(path).schema)
+               .option("pathGlobFilter", glob).option("basePath", base or paths[0])
+               .json(paths).schema)
     finally:
         spark.conf.set("spark.sql.caseSensitive", prev)
     return T.StructType([f for f in sch.fields if f.name not in ("batch_id", "seccion", "chunk")])
 
 
-def read_landing(spark: SparkSession, base: str, *, batch_id: str | None = None,
+def read_landing(spark: SparkSession, base: str, *, batch_id: str | list[str] | None = None,
                  glob: str = "*.json", multiline: bool = True,
                  schema: T.StructType | None = None,
                  section_pattern: str = r"([^/]+)\.json$", section_col: str = "seccion",
@@ -95,15 +96,17 @@ def read_landing(spark: SparkSession, base: str, *, batch_id: str | None = None,
     ``schema`` to skip the inference pass.  ``multiline=False`` reads JSON
     lines (one record per line, splittable) instead of one array per file.
 
-    Raises ``LandingError`` when the folder is missing or holds no readable
+    ``batch_id`` may be one id or a list (only those batch folders are read).
+    Raises ``LandingError`` when a folder is missing or holds no readable
     JSON record.
     """
-    path = f"{base.rstrip('/')}/batch_id={batch_id}" if batch_id else base
+    ids = [batch_id] if isinstance(batch_id, str) else list(batch_id or [])
+    path = [f"{base.rstrip('/')}/batch_id={b}" for b in ids] if ids else base
     try:
         raw = schema or infer_landing_schema(spark, path, base=base, glob=glob,
                                              multiline=multiline)
         text = (spark.read.option("pathGlobFilter", glob).option("basePath", base)
-                .text(path, wholetext=multiline))
+                .text(path, wholetext=multiline))  # str or list of folders
     except AnalysisException as e:  # missing folder, or nothing to infer a schema from
         raise LandingError(f"cannot read landing data at {path}: {e}") from e
     fields = [f for f in raw.fields if f.name != "_corrupt_record"]

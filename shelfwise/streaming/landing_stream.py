@@ -44,9 +44,10 @@ def start_bronze_stream(spark: SparkSession, base: str, bronze_path: str,
     """Keep the bronze table in step with the landing folder."""
 
     def load(micro: DataFrame, epoch_id: int) -> None:
-        batches = [r["batch_id"] for r in micro.select("batch_id").distinct().collect()]
-        for b in sorted(batches):  # one per daily batch touched: a handful
-            replace_partitions(read_landing(spark, base, batch_id=b, glob=glob),
+        # The daily batches touched by this micro-batch (a handful of ids).
+        batches = sorted(r["batch_id"] for r in micro.select("batch_id").distinct().collect())
+        if batches:  # one read of those folders, one write replacing their partitions
+            replace_partitions(read_landing(spark, base, batch_id=batches, glob=glob),
                                bronze_path, ["batch_id"])
 
     w = (landing_file_stream(spark, base, glob=glob, max_files_per_trigger=max_files_per_trigger)
