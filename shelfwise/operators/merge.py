@@ -92,9 +92,9 @@ def merge_update_only(target: DataFrame, source: DataFrame, keys: list[str],
                       target_condition: Column | None = None) -> DataFrame:
     """``WHEN MATCHED [AND cond] THEN UPDATE SET ...``; unmatched rows unchanged.
 
-    ``assignments`` are expressions over the source columns (prefixed ``s__``
-    is not needed: source columns are visible as ``src_<name>``).
-    ``target_condition`` is over the target's own columns.
+    ``assignments`` are expressions over the target's columns and the source's
+    non-key columns, which are visible as ``src_<name>``; ``target_condition``
+    is over the target's own columns.
     """
     src = source.select(*keys, *[F.col(c).alias("src_" + c) for c in source.columns
                                  if c not in keys]).withColumn("_s", F.lit(True))

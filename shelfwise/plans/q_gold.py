@@ -338,3 +338,30 @@ ORDER BY abs(variacion_pct) DESC, productid, fecha LIMIT 15
 """)
 def q_star_price_movers(spark, d):
     return A.price_movers(_star_flat(spark, d), k=15, date_col="fecha")
+
+
+@query("fact_duplicate_products", sql=f"""
+WITH {NEST_CTE}
+SELECT productid, COUNT(*) AS veces FROM silver
+WHERE coalesce(num_octogonos, 0) BETWEEN 0 AND 3
+GROUP BY productid HAVING COUNT(*) > 1
+ORDER BY veces DESC, productid LIMIT 10
+""")
+def q_fact_duplicate_products(spark, d):
+    """Products with more than one fact row (fact ⋈ product), most repeated first."""
+    from shelfwise.operators.dedup import duplicate_keys
+    src, dims = _star(spark, d)
+    fact = G.fact_rows(src, dims).join(dims["producto"].select("producto_key", "productid"),
+                                       "producto_key")
+    return duplicate_keys(fact, ["productid"], top=10)
+
+
+@query("category_consistency_silver", sql=f"""
+WITH {NEST_CTE}
+SELECT categoryid, COUNT(DISTINCT categoria_principal) AS variaciones FROM silver
+GROUP BY categoryid HAVING COUNT(DISTINCT categoria_principal) > 1
+""")
+def q_category_consistency_silver(spark, d):
+    """Category ids that map to more than one top-level category in the snapshot."""
+    from shelfwise.plans.quality import attribute_consistency
+    return attribute_consistency(_silver(spark, d), "categoryid", "categoria_principal")

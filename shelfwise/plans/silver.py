@@ -2,7 +2,7 @@
 
 One linear, lazy chain of projections and two filters, closed by a single
 aggregate (the dedup), so the whole build is one shuffle keyed by
-(product, day).  The stage counts of the source notebook (rows in, after the
+(product, day).  The stage counts of the source system (rows in, after the
 bundle filter, after the channel filter, after dedup) come from
 ``stage_counts`` in one aggregate job, or from an ``Observation`` attached to
 the write, instead of re-running the chain once per count.
