@@ -226,3 +226,20 @@ def test_today_batch_id_is_iso(spark):
     from shelfwise.functions.dates import today_batch_id
     v = spark.range(1).select(today_batch_id("America/Lima").alias("b")).first().b
     assert len(v) == 10 and v[4] == "-" and v[7] == "-"
+
+
+def test_sections_are_gathered_after_the_filters(spark):
+    # D6: a bundle row of the same product and day does not add its section.
+    recs = [record(itemid="1", seccion="abarrotes"),
+            record(itemid="2", seccion="ofertas", productname="Pack Arroz"),
+            record(itemid="3", seccion="canal", canal_venta=["otro"])]
+    out = S.build_silver(bronze(spark, *recs)).collect()
+    assert [r.secciones_origen for r in out] == [["abarrotes"]]
+
+
+def test_discount_without_multiplier_is_not_a_promotion(spark):
+    # D31: the promotion flag is "card price is set"; no multiplier, no card price.
+    t = [teaser(("PromotionalPriceTableItemsDiscount", "1"))]
+    row = enriched(spark, record(u=None, teasers=t)).first()
+    assert row.precio_tarjeta_sip is None and row.en_promocion is False
+    assert row.descuento_tarjeta_sip_pct is None

@@ -288,3 +288,30 @@ def test_landing_missing_or_empty_folder_fails(spark, scratch):
     os.makedirs(f"{empty}/batch_id=2024-06-01")
     with pytest.raises(L.LandingError):
         L.read_landing(spark, empty)
+
+
+def test_batch_ids_must_be_explicit_iso_days(spark):
+    import pytest
+    from shelfwise.plans import daily as DY
+    with pytest.raises(ValueError):
+        DY._check_batch_id("")
+    with pytest.raises(ValueError):
+        DY._check_batch_id("02/06/2024")
+    ids = spark.createDataFrame([("2024-06-02",), ("2024-6-2",), ("hoy",)], "batch_id string")
+    assert sorted(r.batch_id for r in C.invalid_batch_ids(ids).collect()) == ["2024-6-2", "hoy"]
+
+
+def test_fact_skip_mode_leaves_an_existing_batch(spark, scratch):
+    from shelfwise import schemas as SC
+    from shelfwise.plans import daily as DY
+    lake = DY.Lake(scratch("lake"))
+    rows = [("P1", "N", "B1", "b", "SUPERMERCADO", "C", "S", "G", "Cat", "sku", "T", D1, "v",
+             False, False, False, 0, D1)]
+    silver = _silver_rows(spark, rows).withColumns({
+        "batch_id": F.lit("2024-06-01"), "secciones_origen": F.array(F.lit("s")),
+        "created_timestamp": F.current_timestamp(), "updated_timestamp": F.current_timestamp()})
+    typed = silver.select(*[F.col(f.name).cast(f.dataType) for f in SC.SILVER.fields])
+    TB.replace_partitions(typed, lake.silver, ["ingesta_date"])
+    assert DY.load_gold(spark, lake, "2024-06-01")["fact"] == 1
+    assert DY.load_gold(spark, lake, "2024-06-01", fact_mode="skip") == {"fact": -1}
+    assert TB.read_table(spark, lake.fact, SC.FACT).count() == 1
