@@ -123,7 +123,10 @@ def load_bronze(spark: SparkSession, landing_base: str, lake: Lake, batch_id: st
                 glob: str = "*.json", mode: str = "replace") -> bool:
     """Read the batch's landing folder and write its bronze partition."""
     day = _check_batch_id(batch_id)
-    df = L.read_landing(spark, landing_base, batch_id=batch_id, glob=glob)
+    # The existing bronze schema (one footer, no merge) keeps this batch's
+    # partition compatible when inference degrades a type (all-empty arrays).
+    hints = TB.read_table(spark, lake.bronze).schema if TB.table_exists(spark, lake.bronze) else None
+    df = L.read_landing(spark, landing_base, batch_id=batch_id, glob=glob, type_hints=hints)
     df = df.withColumn("ingesta_date", F.lit(day))
     return TB.write_batch(spark, df, lake.bronze, batch_id, mode=mode)
 

@@ -82,9 +82,37 @@ def infer_landing_schema(spark: SparkSession, path: str | list[str], *, base: st
     return T.StructType([f for f in sch.fields if f.name not in ("batch_id", "seccion", "chunk")])
 
 
+def widen(inferred: T.DataType, hint: T.DataType) -> T.DataType:
+    """Replace types that JSON inference degrades by the richer known type.
+
+    An array that is empty in every record is inferred as ``array<string>`` and
+    a field that is always NULL as ``string``; with a hint (the existing bronze
+    type of the same column) the batch is parsed with that type instead, so
+    its partition stays compatible with the others.  Struct fields are matched
+    by name (case-insensitively, as nested fields are resolved); real type
+    conflicts are left as inferred.
+    """
+    if isinstance(inferred, T.StructType) and isinstance(hint, T.StructType):
+        hf = {f.name.lower(): f.dataType for f in hint.fields}
+        return T.StructType([T.StructField(f.name, widen(f.dataType, hf[f.name.lower()])
+                                           if f.name.lower() in hf else f.dataType, True)
+                             for f in inferred.fields])
+    if isinstance(inferred, T.ArrayType) and isinstance(hint, T.ArrayType):
+        if isinstance(inferred.elementType, T.StringType | T.NullType) and \
+                not isinstance(hint.elementType, T.StringType):
+            return hint
+        return T.ArrayType(widen(inferred.elementType, hint.elementType), True)
+    if isinstance(inferred, T.NullType):
+        return hint
+    if isinstance(inferred, T.StringType) and isinstance(hint, T.StructType | T.ArrayType):
+        return hint
+    return inferred
+
+
 def read_landing(spark: SparkSession, base: str, *, batch_id: str | list[str] | None = None,
                  glob: str = "*.json", multiline: bool = True,
                  schema: T.StructType | None = None,
+                 type_hints: T.StructType | None = None,
                  section_pattern: str = r"([^/]+)\.json$", section_col: str = "seccion",
                  overrides: dict[str, str] | None = None) -> DataFrame:
     """Read landing batches (all, or one) as a normalised bronze frame.
@@ -97,6 +125,8 @@ def read_landing(spark: SparkSession, base: str, *, batch_id: str | list[str] |
     lines (one record per line, splittable) instead of one array per file.
 
     ``batch_id`` may be one id or a list (only those batch folders are read).
+    ``type_hints`` (e.g. the existing bronze schema) widens types that
+    inference degrades for this batch (see ``widen``).
     Raises ``LandingError`` when a folder is missing or holds no readable
     JSON record.
     """
@@ -112,6 +142,10 @@ def read_landing(spark: SparkSession, base: str, *, batch_id: str | list[str] |
     fields = [f for f in raw.fields if f.name != "_corrupt_record"]
     if not fields:
         raise LandingError(f"no readable JSON records under {path}")
+    if type_hints is not None:  # hints are keyed by the normalised column name
+        hints = {f.name: f.dataType for f in type_hints.fields}
+        fields = [T.StructField(f.name, widen(f.dataType, hints[n]) if (
+            n := normalize_key(f.name, overrides)) in hints else f.dataType, True) for f in fields]
     groups = normalized_names([f.name for f in fields], overrides)
     tmp = {}
     for norm, raws in groups.items():

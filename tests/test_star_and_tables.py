@@ -315,3 +315,19 @@ def test_fact_skip_mode_leaves_an_existing_batch(spark, scratch):
     assert DY.load_gold(spark, lake, "2024-06-01")["fact"] == 1
     assert DY.load_gold(spark, lake, "2024-06-01", fact_mode="skip") == {"fact": -1}
     assert TB.read_table(spark, lake.fact, SC.FACT).count() == 1
+
+
+def test_widen_replaces_only_degenerate_types():
+    from pyspark.sql import types as T
+    teaser = T.ArrayType(T.StructType([T.StructField("effects", T.StringType())]))
+    hint = T.StructType([T.StructField("Offer", T.StructType([
+        T.StructField("Teasers", teaser), T.StructField("Price", T.DoubleType())]))])
+    inferred = T.StructType([T.StructField("Offer", T.StructType([
+        T.StructField("Teasers", T.ArrayType(T.StringType())), T.StructField("Price", T.LongType()),
+        T.StructField("New", T.StringType())]))])
+    out = L.widen(inferred, hint)
+    offer = out["Offer"].dataType
+    assert offer["Teasers"].dataType == teaser          # empty arrays take the known type
+    assert offer["Price"].dataType == T.LongType()      # a real difference is left alone
+    assert offer["New"].dataType == T.StringType()      # new fields are kept
+    assert L.widen(T.NullType(), T.DoubleType()) == T.DoubleType()
