@@ -9,9 +9,10 @@ The reader is one distributed scan:
   from a ``seccion=`` partition folder when the files were written by Spark;
 * raw keys are renamed to their normal form on the *schema* — driver-side
   metadata only, rows are never shipped to the driver.  Keys that differ only
-  by case are told apart by inferring with ``spark.sql.caseSensitive=true``;
-  keys that normalise to the same name are coalesced (the alphabetically later
-  raw key wins where both are set).
+  by case are told apart by inferring with ``spark.sql.caseSensitive=true``
+  and renamed by position (a cast of the record struct), so they never reach
+  the planner; keys that normalise to the same name are coalesced (the
+  alphabetically later raw key wins where both are set).
 
 A multi-line JSON file is not splittable: read parallelism is the number of
 files.  For large landings prefer many files (or JSON lines, ``multiline=False``).
@@ -19,7 +20,7 @@ files.  For large landings prefer many files (or JSON lines, ``multiline=False``
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -40,32 +41,6 @@ def normalized_names(columns: list[str], overrides: dict[str, str] | None = None
     return out
 
 
-def normalize_columns(df: DataFrame, overrides: dict[str, str] | None = None,
-                      keep: tuple[str, ...] = ()) -> DataFrame:
-    """Rename top-level columns to their normal form; nested keys are left as
-    they are (they are resolved case-insensitively downstream)."""
-    groups = normalized_names([c for c in df.columns if c not in keep], overrides)
-    # Positional rename (``toDF``) binds to the already-resolved columns, so the
-    # raw names — which may differ only by case — are never resolved again.
-    tmp: dict[str, str] = {}
-    for norm, raws in groups.items():
-        for i, r in enumerate(raws):
-            tmp[r] = norm if len(raws) == 1 else f"{norm}__{i}"
-    renamed = df.toDF(*[c if c in keep else tmp[c] for c in df.columns])
-    cols: list[Column] = []
-    for norm, raws in groups.items():
-        if len(raws) == 1:
-            cols.append(F.col(norm))
-        else:
-            cols.append(F.coalesce(*[F.col(f"{norm}__{i}") for i in reversed(range(len(raws)))])
-                        .alias(norm))
-    return renamed.select(*cols, *[F.col(k) for k in keep])
-
-
-def _section_from_path(pattern: str) -> Column:
-    return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
-
-
 def infer_landing_schema(spark: SparkSession, path: str | list[str], *, base: str | None = None,
                          glob: str = "*.json", multiline: bool = True) -> T.StructType:
     """Schema of the landing records, inferred with case-sensitive names (one
