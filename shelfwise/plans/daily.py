@@ -174,10 +174,12 @@ def load_gold(spark: SparkSession, lake: Lake, batch_id: str, *, fact_mode: str
     if fact_mode == "skip" and TB.table_exists(spark, lake.fact) and TB.batch_exists_in(
             spark, lake.fact, "ingesta_date", day, SC.FACT):
         return {"fact": -1}
-    fact = G.fact_rows(src, dims).withColumn("ingesta_date", F.lit(day))
-    TB.replace_partitions(fact.select(*SC.FACT.fieldNames()), lake.fact, ["ingesta_date"])
-    audit = G.audit_rows(src, dims)
-    TB.replace_partitions(audit.select(*SC.AUDIT.fieldNames()), lake.audit, ["ingesta_date"])
+    # The batch's partitions are rewritten even when empty (no stale rows).
+    fact = G.fact_rows(src, dims).select(*[c for c in SC.FACT.fieldNames() if c != "ingesta_date"])
+    TB.overwrite_partition(fact, lake.fact, "ingesta_date", day)
+    audit = G.audit_rows(src, dims).select(*[c for c in SC.AUDIT.fieldNames()
+                                             if c != "ingesta_date"])
+    TB.overwrite_partition(audit, lake.audit, "ingesta_date", day)
     return {"fact": TB.read_table(spark, lake.fact, SC.FACT)
             .filter(F.col("ingesta_date") == F.lit(day)).count()}
 

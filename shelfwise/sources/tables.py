@@ -157,3 +157,15 @@ def read_partition(spark: SparkSession, path: str, col: str, value,
     if schema is not None:
         r = r.schema(schema)
     return r.parquet(f"{path.rstrip('/')}/{col}={value}")
+
+
+def overwrite_partition(df: DataFrame, path: str, col: str, value) -> None:
+    """Replace one partition folder with ``df`` (which must not carry ``col``).
+
+    Unlike a dynamic overwrite, this also clears the partition when ``df`` is
+    empty (an empty file with the schema is written), so a per-batch table
+    such as the audit never keeps rows from an earlier run of the batch.
+    """
+    (df.write.format("parquet").mode("overwrite")
+     .option("partitionOverwriteMode", "static")
+     .save(f"{path.rstrip('/')}/{col}={value}"))

@@ -331,3 +331,13 @@ def test_widen_replaces_only_degenerate_types():
     assert offer["Price"].dataType == T.LongType()      # a real difference is left alone
     assert offer["New"].dataType == T.StringType()      # new fields are kept
     assert L.widen(T.NullType(), T.DoubleType()) == T.DoubleType()
+
+
+def test_overwrite_partition_clears_a_partition_even_when_empty(spark, scratch):
+    path = scratch("audit")
+    rows = spark.createDataFrame([("P1", D1), ("P2", D2)], "productid string, ingesta_date date")
+    TB.replace_partitions(rows, path, ["ingesta_date"])
+    TB.overwrite_partition(spark.createDataFrame([], "productid string"), path, "ingesta_date", D2)
+    got = sorted(r.productid for r in TB.read_table(
+        spark, path, rows.schema).collect())
+    assert got == ["P1"]
