@@ -10,12 +10,23 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
     A daily batch arrives as a handful of files (one multi-line JSON file per
     section), so the stage that parses and enriches it would run on that many
-    tasks however large the cluster.  When the input has fewer partitions
-    than the cluster has cores it is round-robin repartitioned (even, whatever
-    the key skew); a large input already has enough partitions and is returned
-    unchanged, so no shuffle is added at scale.
+    tasks however large the cluster.  When the input is read from fewer files
+    than the target it is round-robin repartitioned (even, whatever the key
+    skew); a large input already spans many files and is returned unchanged,
+    so no shuffle is added at scale.
+
+    The file count comes from the file index (``inputFiles``): nothing is
+    executed to decide.  The target is the smaller of the core count and
+    ``spark.sql.shuffle.partitions``, so a small batch on a very large cluster
+    is not cut into thousands of tiny tasks.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    spark = df.sparkSession
+    target = min_partitions or min(spark.sparkContext.defaultParallelism,
+                                   int(spark.conf.get("spark.sql.shuffle.partitions")))
+    try:
+        files = len(df.inputFiles())
+    except Exception:  # not file-based (e.g. created from local rows): leave it
+        return df
+    if files == 0 or files >= target:
         return df
     return df.repartition(target)
