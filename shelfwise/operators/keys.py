@@ -1,20 +1,23 @@
 """Stable surrogate keys for dimension rows, assigned in parallel.
 
-A key is ``base + global rank of the natural key among the new keys``, where
-``base`` is the largest key already issued.  The rank is computed without a
-single-partition window:
-
-1. the new natural keys are range-partitioned (balanced, each partition a
-   contiguous key range) and the partition id is recorded;
-2. that frame is written to the shared checkpoint folder and read back, so
-   partition membership is fixed even if an executor is lost and work is
-   retried;
-3. per partition: row count (a frame with one row per partition, broadcast —
-   its size is bounded by the partition count) and a running offset;
-4. per row: offset of its partition + its row number inside the partition.
-
-Keys already issued never change; a rerun with the same new keys issues the
-same numbers.
+A key is ``base + offset of the row's bucket + its position in the bucket``,
+where ``base`` is the largest key already issued, buckets split the new
+natural keys into ``n`` groups, offsets are the running totals of the bucket
+sizes, and positions follow the natural key inside a bucket.  No
+single-partition window touches the data (the offsets window has one row per
+bucket), keys are dense (``base+1 .. base+N``), and keys already issued never
+change.
+
+Two bucketings:
+
+* default — ``pmod(hash(natural key), n)``: a pure function of the key, so
+  bucket membership is the same on every retry with nothing materialised and
+  no sampling job.  Keys are unique and dense but not in key order (as with an
+  identity column).
+* ``ordered=True`` — range partitioning, so the keys follow the natural-key
+  order (equal to a global ``row_number``).  Range bounds come from sampling,
+  so the bucketed frame is written to the shared checkpoint folder and read
+  back to fix membership before it is counted and numbered.
 """
 
 from __future__ import annotations
@@ -26,12 +29,17 @@ from shelfwise.session import materialize
 
 
 def assign_surrogate_keys(new_rows: DataFrame, natural_key: list[str], key_name: str, *,
-                          base: int = 0, partitions: int | None = None) -> DataFrame:
-    """Number ``new_rows`` (unique on ``natural_key``) as base+1, base+2, ... in key order."""
+                          base: int = 0, partitions: int | None = None,
+                          ordered: bool = False) -> DataFrame:
+    """Number ``new_rows`` (unique on ``natural_key``) as base+1, base+2, ..."""
     spark = new_rows.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parted = materialize(new_rows.repartitionByRange(n, *natural_key)
-                         .withColumn("_part", F.spark_partition_id()), "keys")
+    if ordered:
+        parted = materialize(new_rows.repartitionByRange(n, *natural_key)
+                             .withColumn("_part", F.spark_partition_id()), "keys")
+    else:
+        parted = new_rows.withColumn(
+            "_part", F.pmod(F.hash(*[F.col(c) for c in natural_key]), F.lit(n)))
     sizes = parted.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(
         "_part",

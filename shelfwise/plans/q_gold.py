@@ -127,7 +127,7 @@ FROM (SELECT DISTINCT p_name, p_brand FROM part)
 """)
 def q_assign_surrogate_keys(spark, d):
     rows = table(spark, d, "part").select("p_name", "p_brand").distinct()
-    return assign_surrogate_keys(rows, ["p_name", "p_brand"], "nombre_marca_key")
+    return assign_surrogate_keys(rows, ["p_name", "p_brand"], "nombre_marca_key", ordered=True)
 
 
 FACT_NATURAL = ["fecha", "productid", "brandid", "canal_venta", "categoryid", "subcategoria",

@@ -69,7 +69,14 @@ def test_day_filter_reaches_the_scan(spark):
 
 def test_keys_are_injective_and_stable_across_partition_counts(spark):
     rows = spark.createDataFrame([(f"k{i}", i % 4) for i in range(300)], "nk string, g int")
-    a = {r.nk: r.sk for r in assign_surrogate_keys(rows, ["nk"], "sk", partitions=3).collect()}
-    b = {r.nk: r.sk for r in assign_surrogate_keys(rows, ["nk"], "sk", partitions=11).collect()}
+    a = {r.nk: r.sk for r in assign_surrogate_keys(rows, ["nk"], "sk", partitions=3,
+                                                    ordered=True).collect()}
+    b = {r.nk: r.sk for r in assign_surrogate_keys(rows, ["nk"], "sk", partitions=11,
+                                                    ordered=True).collect()}
     assert a == b
     assert sorted(a.values()) == list(range(1, 301))
+    # Hash buckets: dense and unique, and the same on every evaluation.
+    h = assign_surrogate_keys(rows, ["nk"], "sk", partitions=7)
+    first = {r.nk: r.sk for r in h.collect()}
+    assert sorted(first.values()) == list(range(1, 301))
+    assert {r.nk: r.sk for r in h.collect()} == first

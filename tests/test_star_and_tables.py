@@ -40,7 +40,7 @@ def test_first_seen_is_one_row_per_key_earliest_batch_wins(spark):
 
 def test_surrogate_keys_dense_ordered_and_after_existing(spark):
     rows = spark.createDataFrame([(f"k{i:03d}",) for i in range(57)], "nk string")
-    keyed = assign_surrogate_keys(rows, ["nk"], "sk", base=100, partitions=5)
+    keyed = assign_surrogate_keys(rows, ["nk"], "sk", base=100, partitions=5, ordered=True)
     got = sorted((r.sk, r.nk) for r in keyed.collect())
     assert got == [(101 + i, f"k{i:03d}") for i in range(57)]
 
