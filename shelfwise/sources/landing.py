@@ -172,7 +172,7 @@ def landing_completeness(files: DataFrame, expected: list[str],
 
 
 def write_landing(df: DataFrame, base: str, *, batch_col: str = "batch_id",
-                  section_col: str = "seccion", id_col: str, chunk_rows: int = 1000) -> None:
+                  section_col: str = "seccion", id_col: str, chunk_rows: int = 10000) -> None:
     """Write ``df`` as landing JSON arrays: ``batch_id=/seccion=/chunk=`` folders,
     one file holding one JSON array per (batch, section, chunk).
 
