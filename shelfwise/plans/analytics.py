@@ -36,9 +36,15 @@ def batch_pair(snap: DataFrame, date_col: str = DATE) -> DataFrame:
                     F.when(F.count(date_col) == 2, F.min(date_col)).alias("anterior"))
 
 
-def latest_batch_rows(snap: DataFrame, date_col: str = DATE) -> DataFrame:
-    """Rows of the latest batch (join to the one-row selector)."""
-    return snap.join(F.broadcast(latest_batch(snap, date_col)), date_col)
+def latest_batch_rows(snap: DataFrame, date_col: str = DATE,
+                      latest: DataFrame | None = None) -> DataFrame:
+    """Rows of the latest batch (join to the one-row selector).
+
+    ``latest`` may supply that one-row selector, e.g. from the table's file
+    listing (``sources.tables.latest_partition``) instead of a scan.
+    """
+    sel = latest if latest is not None else latest_batch(snap, date_col)
+    return snap.join(F.broadcast(sel.select(date_col)), date_col)
 
 
 def previous_batch_rows(snap: DataFrame, date_col: str = DATE) -> DataFrame:
@@ -50,9 +56,10 @@ def previous_batch_rows(snap: DataFrame, date_col: str = DATE) -> DataFrame:
 def latest_batch_kpis(snap: DataFrame, date_col: str = DATE, price: str = "precio_regular",
                       available: str = "disponible", promo: str = "en_promocion",
                       valid: str = "precio_valido",
-                      card_pct: str = "descuento_tarjeta_sip_pct") -> DataFrame:
+                      card_pct: str = "descuento_tarjeta_sip_pct",
+                      latest: DataFrame | None = None) -> DataFrame:
     """Catalogue size, availability, promotions, mean valid price and mean card discount."""
-    base = latest_batch_rows(snap, date_col)
+    base = latest_batch_rows(snap, date_col, latest)
     return base.agg(
         F.count(F.lit(1)).alias("total_productos"),
         F.count_if(F.col(available)).alias("disponibles"),
@@ -110,9 +117,10 @@ def price_movers(snap: DataFrame, k: int = 15, key: str = "productid", **kw) ->
 
 def promo_share_by_category(snap: DataFrame, date_col: str = DATE,
                             category: str = "categoria_principal", promo: str = "en_promocion",
-                            card_pct: str = "descuento_tarjeta_sip_pct") -> DataFrame:
+                            card_pct: str = "descuento_tarjeta_sip_pct",
+                            latest: DataFrame | None = None) -> DataFrame:
     """Per category in the latest batch: size, promoted count and share, mean card discount."""
-    base = latest_batch_rows(snap, date_col).filter(F.col(category).isNotNull())
+    base = latest_batch_rows(snap, date_col, latest).filter(F.col(category).isNotNull())
     return (base.groupBy(category).agg(
         F.count(F.lit(1)).alias("total_productos"),
         F.count_if(F.col(promo)).alias("con_sip"),
@@ -123,9 +131,10 @@ def promo_share_by_category(snap: DataFrame, date_col: str = DATE,
 
 def stockout_by_category(snap: DataFrame, date_col: str = DATE,
                          category: str = "categoria_principal",
-                         available: str = "disponible") -> DataFrame:
+                         available: str = "disponible",
+                         latest: DataFrame | None = None) -> DataFrame:
     """Per category in the latest batch: size, available, out of stock and its share."""
-    base = latest_batch_rows(snap, date_col).filter(F.col(category).isNotNull())
+    base = latest_batch_rows(snap, date_col, latest).filter(F.col(category).isNotNull())
     return (base.groupBy(category).agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col(available)).alias("disponibles"),

@@ -169,3 +169,19 @@ def overwrite_partition(df: DataFrame, path: str, col: str, value) -> None:
     (df.write.format("parquet").mode("overwrite")
      .option("partitionOverwriteMode", "static")
      .save(f"{path.rstrip('/')}/{col}={value}"))
+
+
+def latest_partition(spark: SparkSession, path: str, col: str,
+                     cast: str | None = None) -> DataFrame:
+    """One row: the largest value of partition column ``col`` of the table at
+    ``path``, taken from the file listing alone.
+
+    The ``binaryFile`` source with only the partition column selected opens no
+    file, so on a table of millions of files this costs a listing, where
+    ``max(col)`` over the parquet table would read every footer.  Use it as the
+    latest-batch selector of the analytics (a one-row broadcast join, which
+    also prunes the scan to that partition).
+    """
+    v = F.max(F.col(col))
+    return (spark.read.format("binaryFile").option("basePath", path).load(path)
+            .agg((v.cast(cast) if cast else v).alias(col)))

@@ -59,6 +59,14 @@ def test_two_batches_end_to_end_and_rerun(spark, scratch):
                    ("2", "2024-06-01", 5.0, ["abarrotes", "ofertas"]),
                    ("3", "2024-06-02", 2.0, ["abarrotes"]), ("4", "2024-06-02", 1.0, ["abarrotes"])]
 
+    # Latest batch from the file listing: same rows as the max over the data.
+    from shelfwise.plans import analytics as A
+    latest = TB.latest_partition(spark, lake.silver, "ingesta_date", "date")
+    assert str(latest.first().ingesta_date) == "2024-06-02"
+    kpi_listing = A.latest_batch_kpis(silver, latest=latest).first()
+    assert kpi_listing == A.latest_batch_kpis(silver).first()
+    assert kpi_listing.total_productos == 3
+
     fact = TB.read_table(spark, lake.fact, SC.FACT)
     audit = TB.read_table(spark, lake.audit, SC.AUDIT)
     assert fact.count() == 4 and audit.count() == 1   # 4 labels miss the junk dimension
