@@ -4,9 +4,10 @@ price moves, promotion and stock-out shares, catalogue churn).
 Every function takes a flat snapshot frame (fact already joined to the
 dimensions it needs) with configurable column names.  The latest batch is the
 maximum *date* (not the maximum surrogate key, which is wrong after a
-backfill).  Joins to one-row batch selectors are broadcast: their size is
-exactly one row, and on a date-partitioned table the join becomes a dynamic
-partition-pruning filter, so only the selected batch is scanned.
+backfill).  Joins to one-row batch selectors are broadcast (their size is
+exactly one row).  On a date-partitioned table, pass the latest date taken
+from the file listing instead: it becomes a static partition filter, so only
+that batch's partition is read.
 """
 
 from __future__ import annotations
@@ -36,13 +37,17 @@ def batch_pair(snap: DataFrame, date_col: str = DATE) -> DataFrame:
                     F.when(F.count(date_col) == 2, F.min(date_col)).alias("anterior"))
 
 
-def latest_batch_rows(snap: DataFrame, date_col: str = DATE,
-                      latest: DataFrame | None = None) -> DataFrame:
-    """Rows of the latest batch (join to the one-row selector).
+def latest_batch_rows(snap: DataFrame, date_col: str = DATE, latest=None) -> DataFrame:
+    """Rows of the latest batch.
 
-    ``latest`` may supply that one-row selector, e.g. from the table's file
-    listing (``sources.tables.latest_partition``) instead of a scan.
+    By default a broadcast join to the one-row ``max`` selector.  ``latest``
+    may instead be a one-row frame, or the latest value itself (e.g. from
+    ``sources.tables.latest_partition_value``, a file listing): a literal
+    filter is a static partition filter, so only that partition is listed and
+    read.
     """
+    if latest is not None and not isinstance(latest, DataFrame):
+        return snap.filter(F.col(date_col) == F.lit(latest))
     sel = latest if latest is not None else latest_batch(snap, date_col)
     return snap.join(F.broadcast(sel.select(date_col)), date_col)
 
@@ -57,7 +62,7 @@ def latest_batch_kpis(snap: DataFrame, date_col: str = DATE, price: str = "preci
                       available: str = "disponible", promo: str = "en_promocion",
                       valid: str = "precio_valido",
                       card_pct: str = "descuento_tarjeta_sip_pct",
-                      latest: DataFrame | None = None) -> DataFrame:
+                      latest=None) -> DataFrame:
     """Catalogue size, availability, promotions, mean valid price and mean card discount."""
     base = latest_batch_rows(snap, date_col, latest)
     return base.agg(
@@ -118,7 +123,7 @@ def price_movers(snap: DataFrame, k: int = 15, key: str = "productid", **kw) ->
 def promo_share_by_category(snap: DataFrame, date_col: str = DATE,
                             category: str = "categoria_principal", promo: str = "en_promocion",
                             card_pct: str = "descuento_tarjeta_sip_pct",
-                            latest: DataFrame | None = None) -> DataFrame:
+                            latest=None) -> DataFrame:
     """Per category in the latest batch: size, promoted count and share, mean card discount."""
     base = latest_batch_rows(snap, date_col, latest).filter(F.col(category).isNotNull())
     return (base.groupBy(category).agg(
@@ -132,7 +137,7 @@ def promo_share_by_category(snap: DataFrame, date_col: str = DATE,
 def stockout_by_category(snap: DataFrame, date_col: str = DATE,
                          category: str = "categoria_principal",
                          available: str = "disponible",
-                         latest: DataFrame | None = None) -> DataFrame:
+                         latest=None) -> DataFrame:
     """Per category in the latest batch: size, available, out of stock and its share."""
     base = latest_batch_rows(snap, date_col, latest).filter(F.col(category).isNotNull())
     return (base.groupBy(category).agg(

@@ -185,3 +185,8 @@ def latest_partition(spark: SparkSession, path: str, col: str,
     v = F.max(F.col(col))
     return (spark.read.format("binaryFile").option("basePath", path).load(path)
             .agg((v.cast(cast) if cast else v).alias(col)))
+
+
+def latest_partition_value(spark: SparkSession, path: str, col: str, cast: str | None = None):
+    """The latest partition value itself (one value to the driver, from the listing)."""
+    return latest_partition(spark, path, col, cast).first()[0]

@@ -66,6 +66,11 @@ def test_two_batches_end_to_end_and_rerun(spark, scratch):
     kpi_listing = A.latest_batch_kpis(silver, latest=latest).first()
     assert kpi_listing == A.latest_batch_kpis(silver).first()
     assert kpi_listing.total_productos == 3
+    day = TB.latest_partition_value(spark, lake.silver, "ingesta_date", "date")
+    assert A.latest_batch_kpis(silver, latest=day).first() == kpi_listing
+    plan = A.latest_batch_kpis(silver, latest=day)._jdf.queryExecution() \
+        .executedPlan().toString()  # noqa: SLF001 - plan introspection
+    assert "PartitionFilters: [isnotnull(ingesta_date" in plan  # only that partition is read
 
     fact = TB.read_table(spark, lake.fact, SC.FACT)
     audit = TB.read_table(spark, lake.audit, SC.AUDIT)
