@@ -9,12 +9,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shelfwise.operators.dedup import duplicate_keys
 from shelfwise.operators.keys import assign_surrogate_keys
+from shelfwise.plans import analytics as A
 from shelfwise.plans import gold as G
 from shelfwise.plans import silver as S
 from shelfwise.plans.bindings import catalogue_records, table
+from shelfwise.plans.oracle_sql import money, pct
 from shelfwise.plans.q_silver import NEST_CTE
+from shelfwise.plans.quality import attribute_consistency
 from shelfwise.plans.registry import query
+from shelfwise.session import materialize
 
 
 def _silver(spark, d):
@@ -25,7 +30,6 @@ def _silver_materialised(spark, d):
     """The snapshot, written once to the shared checkpoint folder (as the silver
     table would be), so the dimension loads and the fact read it instead of
     rebuilding it."""
-    from shelfwise.session import materialize
     return materialize(_silver(spark, d), "silver")
 
 
@@ -246,8 +250,6 @@ def q_fact_rows_of_batch(spark, d):
 
 # --- the standing questions over the star (fact joined to its dimensions) -------------------
 
-from shelfwise.plans import analytics as A  # noqa: E402
-from shelfwise.plans.oracle_sql import money, pct  # noqa: E402
 
 STAR_BASE_SQL = f"""
 WITH {NEST_CTE},
@@ -349,7 +351,6 @@ ORDER BY veces DESC, productid LIMIT 10
 """)
 def q_fact_duplicate_products(spark, d):
     """Products with more than one fact row (fact ⋈ product), most repeated first."""
-    from shelfwise.operators.dedup import duplicate_keys
     src, dims = _star(spark, d)
     fact = G.fact_rows(src, dims).join(dims["producto"].select("producto_key", "productid"),
                                        "producto_key")
@@ -363,5 +364,4 @@ GROUP BY categoryid HAVING COUNT(DISTINCT categoria_principal) > 1
 """)
 def q_category_consistency_silver(spark, d):
     """Category ids that map to more than one top-level category in the snapshot."""
-    from shelfwise.plans.quality import attribute_consistency
     return attribute_consistency(_silver(spark, d), "categoryid", "categoria_principal")
