@@ -133,6 +133,8 @@ def read_landing(spark: SparkSession, base: str, *, batch_id: str | list[str] |
     parsed = (F.explode(F.from_json("value", T.ArrayType(rec_type))) if multiline
               else F.from_json("value", rec_type))
     rows = text.select(parsed.alias("_r"), F.col("batch_id"), section.alias(section_col))
+    if not multiline:  # blank or unparsable lines
+        rows = rows.filter(F.col("_r").isNotNull())
     rows = rows.select(F.col("_r").cast(renamed).alias("_r"), "batch_id", section_col)
     cols = []
     for norm, raws in groups.items():

@@ -341,3 +341,16 @@ def test_overwrite_partition_clears_a_partition_even_when_empty(spark, scratch):
     got = sorted(r.productid for r in TB.read_table(
         spark, path, rows.schema).collect())
     assert got == ["P1"]
+
+
+def test_landing_json_lines(spark, scratch):
+    base = scratch("landing-jsonl")
+    d = f"{base}/batch_id=2024-06-01"
+    os.makedirs(d)
+    with open(f"{d}/abarrotes.json", "w", encoding="utf-8") as f:
+        f.write('{"productId": "P1", "Tipo de Producto": ["a"], "Tipo De Producto": ["b"]}\n\n')
+        f.write('{"productId": "P2", "Tipo de Producto": ["c"]}\n')
+    rows = sorted(map(tuple, L.read_landing(spark, base, multiline=False)
+                      .select("productid", "canal_venta", "tipo_especifico_producto", "seccion")
+                      .collect()))
+    assert rows == [("P1", ["a"], ["b"], "abarrotes"), ("P2", ["c"], None, "abarrotes")]
