@@ -269,7 +269,7 @@ star AS (
             AND s.grupo_producto = c.grupo_producto
   JOIN prod p ON s.productid = p.productid
   WHERE coalesce(s.num_octogonos, 0) BETWEEN 0 AND 3),
-latest AS (SELECT * FROM star WHERE fecha = (SELECT max(fecha) FROM star))"""
+latest AS (SELECT * FROM star WHERE fecha = (SELECT max(ingesta_date) FROM silver))"""
 
 
 def _star_flat(spark, d):
@@ -277,6 +277,15 @@ def _star_flat(spark, d):
     return G.star_view(G.fact_rows(src, dims), dims)
 
 
+def _star_latest(spark, d):
+    """Star rows and the latest-batch selector taken from the calendar
+    dimension (every loaded batch has a date row, even one whose rows were
+    all lost to the audit)."""
+    src, dims = _star(spark, d)
+    latest = dims["fecha"].agg(F.max("fecha").alias("fecha"))
+    return G.star_view(G.fact_rows(src, dims), dims), latest
+
+
 @query("star_latest_batch_kpis", sql=STAR_BASE_SQL + f"""
 SELECT COUNT(*) AS total_productos,
        CAST(count_if(disponible) AS BIGINT) AS disponibles,
@@ -288,7 +297,8 @@ SELECT COUNT(*) AS total_productos,
 FROM latest
 """)
 def q_star_latest_batch_kpis(spark, d):
-    return A.latest_batch_kpis(_star_flat(spark, d), date_col="fecha")
+    star, latest = _star_latest(spark, d)
+    return A.latest_batch_kpis(star, date_col="fecha", latest=latest)
 
 
 @query("star_promo_share_by_category", sql=STAR_BASE_SQL + f"""
@@ -300,7 +310,8 @@ SELECT categoria_principal, COUNT(*) AS total_productos,
 FROM latest WHERE categoria_principal IS NOT NULL GROUP BY categoria_principal
 """)
 def q_star_promo_share(spark, d):
-    return A.promo_share_by_category(_star_flat(spark, d), date_col="fecha")
+    star, latest = _star_latest(spark, d)
+    return A.promo_share_by_category(star, date_col="fecha", latest=latest)
 
 
 @query("star_stockout_by_category", sql=STAR_BASE_SQL + f"""
@@ -311,7 +322,8 @@ SELECT categoria_principal, COUNT(*) AS total,
 FROM latest WHERE categoria_principal IS NOT NULL GROUP BY categoria_principal
 """)
 def q_star_stockout(spark, d):
-    return A.stockout_by_category(_star_flat(spark, d), date_col="fecha")
+    star, latest = _star_latest(spark, d)
+    return A.stockout_by_category(star, date_col="fecha", latest=latest)
 
 
 @query("star_top_category_trend", sql=STAR_BASE_SQL + f""",
