@@ -21,6 +21,11 @@ from shelfwise.functions.money import money_round, pct_of
 DATE = "ingesta_date"
 
 
+def cond_count(c):
+    """``SUM(CASE WHEN c THEN 1 ELSE 0 END)``: NULL over no rows, like the source queries."""
+    return F.sum(F.when(c, F.lit(1)).otherwise(F.lit(0)))
+
+
 def latest_batch(snap: DataFrame, date_col: str = DATE) -> DataFrame:
     """One row: the latest batch date."""
     return snap.agg(F.max(date_col).alias(date_col))
@@ -67,9 +72,9 @@ def latest_batch_kpis(snap: DataFrame, date_col: str = DATE, price: str = "preci
     base = latest_batch_rows(snap, date_col, latest)
     return base.agg(
         F.count(F.lit(1)).alias("total_productos"),
-        F.count_if(F.col(available)).alias("disponibles"),
-        F.count_if(~F.col(available)).alias("sin_stock"),
-        F.count_if(F.col(promo)).alias("con_sip"),
+        cond_count(F.col(available)).alias("disponibles"),
+        cond_count(~F.col(available)).alias("sin_stock"),
+        cond_count(F.col(promo)).alias("con_sip"),
         money_round(F.avg(F.when(F.col(valid), F.col(price)))).alias("precio_promedio"),
         F.round(F.avg(F.when(F.col(promo), F.col(card_pct))), 1).alias("descuento_sip_promedio"),
     )
@@ -128,8 +133,8 @@ def promo_share_by_category(snap: DataFrame, date_col: str = DATE,
     base = latest_batch_rows(snap, date_col, latest).filter(F.col(category).isNotNull())
     return (base.groupBy(category).agg(
         F.count(F.lit(1)).alias("total_productos"),
-        F.count_if(F.col(promo)).alias("con_sip"),
-        pct_of(F.count_if(F.col(promo)), F.count(F.lit(1))).alias("pct_con_sip"),
+        cond_count(F.col(promo)).alias("con_sip"),
+        pct_of(cond_count(F.col(promo)), F.count(F.lit(1))).alias("pct_con_sip"),
         F.round(F.avg(F.when(F.col(promo), F.col(card_pct))), 1).alias("descuento_sip_promedio"))
         .orderBy(F.col("pct_con_sip").desc(), F.col(category)))
 
@@ -142,9 +147,9 @@ def stockout_by_category(snap: DataFrame, date_col: str = DATE,
     base = latest_batch_rows(snap, date_col, latest).filter(F.col(category).isNotNull())
     return (base.groupBy(category).agg(
         F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col(available)).alias("disponibles"),
-        F.count_if(~F.col(available)).alias("sin_stock"),
-        pct_of(F.count_if(~F.col(available)), F.count(F.lit(1))).alias("pct_sin_stock"))
+        cond_count(F.col(available)).alias("disponibles"),
+        cond_count(~F.col(available)).alias("sin_stock"),
+        pct_of(cond_count(~F.col(available)), F.count(F.lit(1))).alias("pct_sin_stock"))
         .orderBy(F.col("pct_sin_stock").desc(), F.col(category)))
 
 

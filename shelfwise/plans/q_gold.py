@@ -288,9 +288,9 @@ def _star_latest(spark, d):
 
 @query("star_latest_batch_kpis", sql=STAR_BASE_SQL + f"""
 SELECT COUNT(*) AS total_productos,
-       CAST(count_if(disponible) AS BIGINT) AS disponibles,
-       CAST(count_if(NOT disponible) AS BIGINT) AS sin_stock,
-       CAST(count_if(en_promocion) AS BIGINT) AS con_sip,
+       CAST(SUM(CASE WHEN disponible THEN 1 ELSE 0 END) AS BIGINT) AS disponibles,
+       CAST(SUM(CASE WHEN NOT disponible THEN 1 ELSE 0 END) AS BIGINT) AS sin_stock,
+       CAST(SUM(CASE WHEN en_promocion THEN 1 ELSE 0 END) AS BIGINT) AS con_sip,
        {money('avg(CASE WHEN precio_valido THEN precio_regular END)')} AS precio_promedio,
        round(avg(CASE WHEN en_promocion THEN descuento_tarjeta_sip_pct END), 1)
          AS descuento_sip_promedio
@@ -303,8 +303,8 @@ def q_star_latest_batch_kpis(spark, d):
 
 @query("star_promo_share_by_category", sql=STAR_BASE_SQL + f"""
 SELECT categoria_principal, COUNT(*) AS total_productos,
-       CAST(count_if(en_promocion) AS BIGINT) AS con_sip,
-       {pct('count_if(en_promocion)', 'COUNT(*)')} AS pct_con_sip,
+       CAST(SUM(CASE WHEN en_promocion THEN 1 ELSE 0 END) AS BIGINT) AS con_sip,
+       {pct('SUM(CASE WHEN en_promocion THEN 1 ELSE 0 END)', 'COUNT(*)')} AS pct_con_sip,
        round(avg(CASE WHEN en_promocion THEN descuento_tarjeta_sip_pct END), 1)
          AS descuento_sip_promedio
 FROM latest WHERE categoria_principal IS NOT NULL GROUP BY categoria_principal
@@ -316,9 +316,9 @@ def q_star_promo_share(spark, d):
 
 @query("star_stockout_by_category", sql=STAR_BASE_SQL + f"""
 SELECT categoria_principal, COUNT(*) AS total,
-       CAST(count_if(disponible) AS BIGINT) AS disponibles,
-       CAST(count_if(NOT disponible) AS BIGINT) AS sin_stock,
-       {pct('count_if(NOT disponible)', 'COUNT(*)')} AS pct_sin_stock
+       CAST(SUM(CASE WHEN disponible THEN 1 ELSE 0 END) AS BIGINT) AS disponibles,
+       CAST(SUM(CASE WHEN NOT disponible THEN 1 ELSE 0 END) AS BIGINT) AS sin_stock,
+       {pct('SUM(CASE WHEN NOT disponible THEN 1 ELSE 0 END)', 'COUNT(*)')} AS pct_sin_stock
 FROM latest WHERE categoria_principal IS NOT NULL GROUP BY categoria_principal
 """)
 def q_star_stockout(spark, d):
