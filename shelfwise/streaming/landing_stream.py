@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.sources.landing import read_landing
-from shelfwise.sources.tables import replace_partitions
+from shelfwise.sources.tables import read_table, replace_partitions, table_exists
 
 
 def landing_file_stream(spark: SparkSession, base: str, *, glob: str = "*.json",
@@ -47,7 +47,10 @@ def start_bronze_stream(spark: SparkSession, base: str, bronze_path: str,
         # The daily batches touched by this micro-batch (a handful of ids).
         batches = sorted(r["batch_id"] for r in micro.select("batch_id").distinct().collect())
         if batches:  # one read of those folders, one write replacing their partitions
-            replace_partitions(read_landing(spark, base, batch_id=batches, glob=glob),
+            hints = read_table(spark, bronze_path).schema if table_exists(spark, bronze_path) \
+                else None
+            replace_partitions(read_landing(spark, base, batch_id=batches, glob=glob,
+                                            type_hints=hints),
                                bronze_path, ["batch_id"])
 
     w = (landing_file_stream(spark, base, glob=glob, max_files_per_trigger=max_files_per_trigger)
