@@ -118,6 +118,42 @@ def price_moves(snap: DataFrame, key: str = "productid", date_col: str = DATE,
                             / F.col("precio_anterior") * 100, 1).alias("variacion_pct")))
 
 
+def next_price_moves(last_prices: DataFrame | None, batch: DataFrame, key: str = "productid",
+                     date_col: str = DATE, price: str = "precio_regular",
+                     valid: str = "precio_valido",
+                     extra: tuple[str, ...] = ("productname", "categoria_principal")
+                     ) -> tuple[DataFrame, DataFrame]:
+    """Incremental ``price_moves`` for one new batch.
+
+    ``last_prices`` holds one row per product — its latest valid price
+    (``key``, ``fecha``, ``precio``) before this batch (None before the first
+    batch).  Returns the batch's moves and the updated ``last_prices``.  Folded
+    over the batches in date order this equals ``price_moves`` over the whole
+    history, but each day only joins one batch with one row per product,
+    instead of shuffling the entire history for the LAG window.  Persist both
+    results as tables each day (moves appended, last prices replaced) so the
+    lineage does not grow.
+    """
+    cur = batch.filter(F.col(valid)).select(
+        key, *extra, F.col(date_col).alias("fecha"), F.col(price).alias("precio_actual"))
+    if last_prices is None:
+        moves = cur.limit(0).select(key, *extra, "fecha", F.lit(None).cast("double")
+                                    .alias("precio_anterior"), "precio_actual")
+        last = cur.select(key, "fecha", F.col("precio_actual").alias("precio"))
+    else:
+        prev = last_prices.select(key, F.col("precio").alias("precio_anterior"))
+        moves = (cur.join(prev, key)
+                 .filter(F.col("precio_actual") != F.col("precio_anterior"))
+                 .select(key, *extra, "fecha", "precio_anterior", "precio_actual"))
+        last = (last_prices.join(cur.select(key), key, "left_anti")
+                .unionByName(cur.select(key, "fecha", F.col("precio_actual").alias("precio"))))
+    moves = moves.select(
+        "*", F.round(F.col("precio_actual") - F.col("precio_anterior"), 2).alias("variacion"),
+        F.round((F.col("precio_actual") - F.col("precio_anterior"))
+                / F.col("precio_anterior") * 100, 1).alias("variacion_pct"))
+    return moves, last
+
+
 def price_movers(snap: DataFrame, k: int = 15, key: str = "productid", **kw) -> DataFrame:
     """The k largest price moves by absolute percentage (ties: product, date)."""
     return (price_moves(snap, key=key, **kw)

@@ -354,3 +354,22 @@ def test_landing_json_lines(spark, scratch):
                       .select("productid", "canal_venta", "tipo_especifico_producto", "seccion")
                       .collect()))
     assert rows == [("P1", ["a"], ["b"], "abarrotes"), ("P2", ["c"], None, "abarrotes")]
+
+
+def test_incremental_price_moves_equal_the_lag_form(spark):
+    import random
+    rnd = random.Random(7)
+    days = [dt.date(2024, 6, d) for d in range(1, 6)]
+    rows = []
+    for p in range(12):
+        for d in days:
+            if rnd.random() < 0.8:
+                price = float(rnd.choice([5, 6, 7, 0]))
+                rows.append((f"P{p}", "n", "C", price, price > 0, d))
+    snap = _simple_snap(spark, rows)
+    want = sorted(map(tuple, A.price_moves(snap).collect()))
+    last, got = None, []
+    for d in days:
+        moves, last = A.next_price_moves(last, snap.filter(F.col("ingesta_date") == F.lit(d)))
+        got += [tuple(r) for r in moves.collect()]
+    assert sorted(got) == want
