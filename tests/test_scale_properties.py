@@ -26,7 +26,9 @@ def test_dedup_with_a_hot_key_matches_window(spark, n, mod):
     order = [desc("price"), asc("id")]
     a = best_row_per_key(df, ["k"], order, gather={"secs": "sec"})
     w = best_row_per_key(df, ["k"], order, gather={"secs": "sec"}, method="window")
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, w.collect()))
+    got = a.collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, w.collect()))
+    assert len(got) == len({r.k for r in got}) == len({r[0] for r in rows})  # one row per key
 
 
 def test_dedup_combines_before_the_shuffle(spark):
@@ -80,3 +82,13 @@ def test_keys_are_injective_and_stable_across_partition_counts(spark):
     first = {r.nk: r.sk for r in h.collect()}
     assert sorted(first.values()) == list(range(1, 301))
     assert {r.nk: r.sk for r in h.collect()} == first
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(min_size=0, max_size=30))
+def test_normalised_names_are_idempotent(raw):
+    from shelfwise.functions.text import normalize_key
+    once = normalize_key(raw, overrides={})
+    assert normalize_key(once, overrides={}) == once
+    assert all(c.isascii() and (c.isalnum() or c == "_") for c in once)
+    assert not once.startswith("_") and not once.endswith("_") and "__" not in once
