@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from shelfwise import schemas as SC
 from shelfwise.operators.filters import enforce_gate
+from shelfwise.plans import analytics as A
 from shelfwise.plans import control as C
 from shelfwise.plans import gold as G
 from shelfwise.plans import silver as S
@@ -184,6 +185,47 @@ def load_gold(spark: SparkSession, lake: Lake, batch_id: str, *, fact_mode: str
             .filter(F.col("ingesta_date") == F.lit(day)).count()}
 
 
+def load_price_moves(spark: SparkSession, lake: Lake, batch_id: str) -> None:
+    """Append the batch's price moves without rescanning history.
+
+    State table ``gold/last_prices``: per product its latest valid price and
+    the one before (two deep, so rerunning the latest batch starts from the
+    same state and writes the same moves).  Moves go to ``gold/price_moves``,
+    partitioned by date (the batch's partition is rewritten).  Batches must
+    arrive in date order; an older batch than the state raises.
+    """
+    day = _check_batch_id(batch_id)
+    batch = TB.scan_batch(TB.read_table(spark, lake.silver, SC.SILVER), "batch_id", batch_id)
+    state_path, moves_path = lake.path("gold/last_prices"), lake.path("gold/price_moves")
+    state = TB.read_table(spark, state_path) if TB.table_exists(spark, state_path) else None
+    if state is not None:
+        newest = state.agg(F.max("fecha")).first()[0]
+        if newest is not None and newest > day:
+            raise ValueError(f"batch {batch_id} is older than the price state ({newest})")
+        rerun = F.col("fecha") == F.lit(day)
+        before = state.select(
+            "productid",
+            F.when(rerun, F.col("fecha_prev")).otherwise(F.col("fecha")).alias("fecha"),
+            F.when(rerun, F.col("precio_prev")).otherwise(F.col("precio")).alias("precio"),
+        ).filter(F.col("fecha").isNotNull())
+    else:
+        before = None
+    moves, _ = A.next_price_moves(before, batch, date_col="ingesta_date")
+    TB.overwrite_partition(moves.drop("fecha"), moves_path, "fecha", day)
+    cur = batch.filter(F.col("precio_valido")).select(
+        "productid", F.lit(day).alias("fecha"), F.col("precio_regular").alias("precio"))
+    if before is None:
+        new_state = cur.select("*", F.lit(None).cast("date").alias("fecha_prev"),
+                               F.lit(None).cast("double").alias("precio_prev"))
+    else:
+        moved = cur.join(before.select("productid", F.col("fecha").alias("fecha_prev"),
+                                       F.col("precio").alias("precio_prev")), "productid", "left")
+        untouched = state.join(cur.select("productid"), "productid", "left_anti")
+        new_state = untouched.unionByName(moved)
+    # Derived from the table it replaces: materialise, then overwrite.
+    TB.overwrite_table(materialize(new_state, "last-prices"), state_path)
+
+
 def run_daily_batch(spark: SparkSession, landing_base: str, lake: Lake, batch_id: str, *,
                     glob: str = "*.json") -> None:
     """One batch end to end under control: IN_PROGRESS → COMPLETED, or FAILED."""
@@ -193,6 +235,7 @@ def run_daily_batch(spark: SparkSession, landing_base: str, lake: Lake, batch_id
         load_bronze(spark, landing_base, lake, batch_id, glob=glob)
         load_silver(spark, lake, batch_id)
         load_gold(spark, lake, batch_id)
+        load_price_moves(spark, lake, batch_id)
     except Exception as e:
         mark_failed(spark, lake, batch_id, f"{type(e).__name__}: {e}")
         raise

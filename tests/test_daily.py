@@ -86,6 +86,15 @@ def test_two_batches_end_to_end_and_rerun(spark, scratch):
                        WHERE d.fecha = (SELECT max(fecha) FROM dim_fecha)""").first().n
     assert kpi == 2
 
+    # Incremental price moves equal the LAG form over the silver history.
+    from shelfwise.plans import analytics as A2
+    want = sorted(map(tuple, A2.price_moves(silver).select(
+        "productid", "fecha", "precio_anterior", "precio_actual").collect()))
+    moves_path = lake.path("gold/price_moves")
+    got = sorted(map(tuple, TB.read_table(spark, moves_path).select(
+        "productid", F.to_date("fecha").alias("fecha"), "precio_anterior", "precio_actual").collect()))
+    assert got == want == [("1", __import__("datetime").date(2024, 6, 2), 10.0, 11.0)]
+
     # Rerun of a completed batch: same tables (idempotent), keys unchanged.
     keys_before = sorted(map(tuple, products.collect()))
     created = silver.filter(F.col("productid") == "3").first().created_timestamp
@@ -94,6 +103,9 @@ def test_two_batches_end_to_end_and_rerun(spark, scratch):
     assert sorted(map(tuple, TB.read_table(spark, lake.dim("producto")).collect())) == keys_before
     again = TB.read_table(spark, lake.silver, SC.SILVER).filter(F.col("productid") == "3").first()
     assert again.created_timestamp == created and again.updated_timestamp >= created
+    again_moves = sorted(map(tuple, TB.read_table(spark, moves_path).select(
+        "productid", F.to_date("fecha").alias("fecha"), "precio_anterior", "precio_actual").collect()))
+    assert again_moves == got
 
 
 def test_failed_batch_is_marked_and_restartable(spark, scratch):
