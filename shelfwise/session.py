@@ -106,9 +106,9 @@ def materialize(df, name: str):
     """Cut lineage: write ``df`` as parquet under the shared checkpoint folder
     and read it back.
 
-    One pass (an RDD ``checkpoint()`` computes the plan a second time to write
-    it), columnar and compressed, and the re-read relation carries real size
-    statistics for the planner.  The files live in shared storage, so a lost
+    Columnar and compressed, and the re-read relation carries real size
+    statistics for the planner (an RDD checkpoint scan has none, so joins
+    against it cannot be sized).  The files live in shared storage, so a lost
     executor does not lose them.
     """
     spark = df.sparkSession
