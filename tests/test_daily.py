@@ -106,6 +106,9 @@ def test_two_batches_end_to_end_and_rerun(spark, scratch):
     again_moves = sorted(map(tuple, TB.read_table(spark, moves_path).select(
         "productid", F.to_date("fecha").alias("fecha"), "precio_anterior", "precio_actual").collect()))
     assert again_moves == got
+    import pytest
+    with pytest.raises(ValueError):  # a backfill would corrupt the incremental state
+        DY.load_price_moves(spark, lake, "2024-06-01")
 
 
 def test_failed_batch_is_marked_and_restartable(spark, scratch):
