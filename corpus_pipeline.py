@@ -12,20 +12,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import line_dedup, mixing, packing
-from shelfwise.llm.common import documents
-from shelfwise.llm.queries import tokenizer_file
+from shelfwise.llm import language_id, line_dedup, mixing, ngram_join, packing
+from shelfwise.llm.common import documents, fresh
+from shelfwise.llm.queries import languages, tokenizer_file
 from shelfwise.session import materialize
 
 #: SQL has no automata, components of similarity joins or tokenizers.
 ORACLE_SQL = None
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that have a language: texts without a letter go."""
+    lang, score = fresh(docs, "lang_pred", "lang_score")
+    found = language_id.identify(docs, languages(docs), "text", lang, score)
+    return found.filter(F.col(lang) != "und").select(*docs.columns)
+
+
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without the boilerplate lines of their source."""
     return line_dedup.drop_boilerplate(docs, "source").select(*docs.columns)
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that is alike in 80 % of its 5-word shingles."""
+    return ngram_join.keep_one(docs, k=5, percent=80)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document at least once, those of small sources up to twice."""
     return mixing.mix(docs, "source", max_repeats=2.0).select(*docs.columns)
@@ -37,7 +49,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language_id", known_language),
     ("line_dedup", drop_lines),
+    ("ngram_join", one_of_each),
     ("source_mix", mix_sources),
     ("packing", pack),
 ]

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import line_dedup, mixing, packing, sharding
+from shelfwise.llm import (embedding_dedup, language_id, line_dedup, mixing, ngram_join, packing,
+                           quality_rules, sharding)
 from shelfwise.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +54,26 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", "text", "n_lines", "n_dropped")
 
 
+def languages(docs: DataFrame) -> language_id.Model:
+    """Learned from the documents that are not held out."""
+    return language_id.fit(docs.filter(~language_id.held_out(F.col("doc_id"))), "lang", "text")
+
+
+@query("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document by cross-parsing entropy."""
+    docs = documents(spark, sf_dir)
+    texts = docs.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "text")
+    return language_id.identify(texts, languages(docs)).drop("text")
+
+
+@query("op3_ngram_join")
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 4-word shingles are alike to 85 %."""
+    return ngram_join.similar_components(documents(spark, sf_dir), k=4, percent=85) \
+        .drop("text_hash")
+
+
 @query("op4_source_mix")
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents drawn, once for each time, with every document at least
@@ -61,6 +82,20 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "epoch", "mix_key", "weight", "mix_tokens")
 
 
+@query("op5_quality_rules")
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures of every document, and which pass the cutoffs chosen on the
+    labelled ones."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_rules.apply_rules(documents(spark, sf_dir), labels)
+
+
+@query("op7_embedding_dedup")
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings by cosine: links of each, and one kept of each component."""
+    return embedding_dedup.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @query("op9_sharding")
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 contiguous shards of nearly the same bytes."""
