@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,3 +92,71 @@ def require_columns(df: DataFrame, names: Sequence[str]) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:
         raise ValueError(f"missing columns {missing}; there are {df.columns}")
+
+
+# ---------------------------------------------------------------- hashes of words, in numpy
+
+_STEP = np.uint64(0x9E3779B97F4A7C15)  # odd, so that multiplying loses nothing
+_UNSTEP = np.uint64(pow(int(_STEP), -1, 1 << 64))
+SPACE_BYTES = np.isin(np.arange(256), [32, *range(9, 14)])
+#: ASCII characters that are no letter or digit.
+MARK_BYTES = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Every bit of a 64-bit number spread over all of them."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def chained(hashes: Sequence[np.ndarray]) -> np.ndarray:
+    """One hash from several in order, element by element."""
+    out = hashes[0]
+    for h in hashes[1:]:
+        out = out * _STEP + h
+    return mixed(out)
+
+
+def _byte_values() -> np.ndarray:
+    low = np.arange(256, dtype=np.uint64)
+    low[65:91] += np.uint64(32)  # A-Z as a-z
+    return mixed((low + np.uint64(1)) * _STEP)
+
+
+_VALUES = _byte_values()
+
+
+def word_hashes(texts: Sequence[str | None], gaps: np.ndarray = SPACE_BYTES
+                ) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, A-Z in lower case, and where each
+    text's words begin (one more than there are texts).
+
+    Words are runs of UTF-8 bytes that are not in ``gaps``.  The hash of a word
+    is a polynomial in its bytes modulo 2**64, had from differences of one
+    running sum over all texts.
+    """
+    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    buf = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
+    edge = np.flatnonzero(np.diff(np.concatenate(([False], ~gaps[buf]))))
+    start, end = edge[0::2], edge[1::2]
+    power = np.cumprod(np.full(len(buf), _STEP, np.uint64))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_VALUES[buf] * power)))
+    back = np.cumprod(np.full(len(buf), _UNSTEP, np.uint64))
+    words = mixed((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64))
+    begins = np.cumsum([0, *[len(r) + 1 for r in raw]])
+    return words, np.searchsorted(start, begins)
+
+
+def text_runs(texts: Sequence[str | None], most: int = 4 << 20):
+    """(begin, end) of runs of texts of at most so many characters together; a
+    larger text is a run of its own."""
+    at = size = 0
+    for i, t in enumerate(texts):
+        n = len(t) if t else 0
+        if i > at and size + n > most:
+            yield at, i
+            at, size = i, 0
+        size += n
+    if at < len(texts):
+        yield at, len(texts)

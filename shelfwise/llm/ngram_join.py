@@ -29,7 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import connected_components, fresh, require_columns
+from shelfwise.llm.common import (chained, connected_components, fresh, require_columns, text_runs,
+                                  word_hashes)
 from shelfwise.session import materialize
 
 #: Hashes (unsigned) below this are the leading quarter of the columns.
@@ -39,84 +40,29 @@ FREQUENT = 48
 #: Keys that may be broadcast (of 8 bytes); more are joined by shuffling.
 BROADCAST_KEYS = 2_000_000
 
-_STEP = np.uint64(0x9E3779B97F4A7C15)  # odd, so that multiplying loses nothing
-_MIX = np.uint64(0xBF58476D1CE4E5B9)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(30))
-    x = x * _MIX
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _byte_values() -> np.ndarray:
-    """A 64-bit value for each byte; A-Z have those of a-z."""
-    low = np.arange(256, dtype=np.uint64)
-    low[65:91] += np.uint64(32)
-    return _mixed((low + np.uint64(1)) * _STEP)
-
-
-_VALUES = _byte_values()
-_IS_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
-
 
 def shingle_sets(texts: list[str | None], k: int) -> list[np.ndarray]:
     """The sorted distinct 64-bit hashes of each text's ``k``-word shingles; of
     all its words if they are fewer; nothing if there are none.
 
-    Words are runs without ASCII white space, A-Z in lower case.  All texts are
-    hashed together: polynomial prefix sums modulo 2**64 give every word's hash
-    and a second polynomial that of the shingles.
+    Words are runs without ASCII white space, A-Z in lower case.
     """
-    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-    buf = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
-    ends_of_text = np.cumsum([len(r) + 1 for r in raw])
-    solid = ~_IS_SPACE[buf]
-    edge = np.flatnonzero(np.diff(np.concatenate(([False], solid))))
-    start, end = edge[0::2], edge[1::2]
-    if not len(start):
-        return [np.empty(0, np.uint64) for _ in raw]
-    # Horner's rule backwards: value of a word = sum of byte * STEP**(place in word)
-    power = np.cumprod(np.full(len(buf), _STEP, np.uint64))
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_VALUES[buf] * power)))
-    inverse = np.cumprod(np.full(len(buf), np.uint64(pow(int(_STEP), -1, 1 << 64)), np.uint64))
-    word = _mixed((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
-    bounds = np.searchsorted(start, np.concatenate(([0], ends_of_text)))
-    whole = word[:max(0, len(word) - k + 1)].copy()
-    for j in range(1, k):
-        whole = whole * _STEP + word[j:len(word) - k + 1 + j]
-    whole = _mixed(whole)
+    words, begin = word_hashes(texts)
+    n = len(words) - k + 1
+    windows = chained([words[j:n + j] for j in range(k)]) if n > 0 else words[:0]
     out = []
-    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+    for a, b in zip(begin[:-1].tolist(), begin[1:].tolist()):
         if b - a >= k:
-            got = np.sort(whole[a:b - k + 1])
+            got = np.sort(windows[a:b - k + 1])
             out.append(got[np.concatenate(([True], got[1:] != got[:-1]))])
         elif b > a:
-            one = np.uint64(b - a)
-            with np.errstate(over="ignore"):
-                for w in word[a:b]:
-                    one = one * _STEP + w
-            out.append(_mixed(np.array([one], np.uint64)))
+            size = np.full(1, b - a, np.uint64)
+            out.append(chained([size, *[words[j:j + 1] for j in range(a, b)]]))
         else:
-            out.append(np.empty(0, np.uint64))
+            out.append(words[:0])
     return out
 
 
-def _slices(texts: list, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
-    """Runs of texts of bounded size together; a larger text is a run of its own."""
-    at, size = 0, 0
-    for i, t in enumerate(texts):
-        n = len(t or "")
-        if i > at and size + n > most:
-            yield at, i
-            at, size = i, 0
-        size += n
-    if at < len(texts):
-        yield at, len(texts)
-
-
 def _set_id(s: np.ndarray) -> int | None:
     import xxhash
     return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64)) if len(s) else None
@@ -136,7 +82,7 @@ def _sketch(k: int, percent: int, id_type: T.DataType):
         seen: set[int] = set()
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for a, b in _slices(texts):
+            for a, b in text_runs(texts):
                 ns, ids, lead, inside = [], [], [], []
                 for s in shingle_sets(texts[a:b], k):
                     key = _set_id(s)
@@ -171,7 +117,7 @@ def _whole_sets(k: int):
                 if th not in seen:
                     seen.add(th)
                     new.append(text)
-            for a, b in _slices(new):
+            for a, b in text_runs(new):
                 sets = shingle_sets(new[a:b], k)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([_set_id(s) for s in sets], pa.int64()),

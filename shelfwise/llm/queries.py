@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import (embedding_dedup, language_id, line_dedup, mixing, ngram_join, packing,
-                           quality_rules, sharding)
+from shelfwise.llm import (embedding_dedup, html_extract, language_id, line_dedup, mixing, ngram_join,
+                           packing, pii_crf, quality_rules, sharding)
 from shelfwise.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,12 +90,39 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(documents(spark, sf_dir), labels)
 
 
+@query("op6_html_extract")
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return html_extract.extract_text(pages, "html").select(
+        "page_id", "url", F.col("main_text").alias("text"),
+        F.length("main_text").cast("long").alias("n_chars"))
+
+
 @query("op7_embedding_dedup")
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings by cosine: links of each, and one kept of each component."""
     return embedding_dedup.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+@query("op8_pii_crf")
+def op8_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts of the base patterns' spans, a
+    digest of them, and all spans with those the field adds."""
+    found = pii_crf.find_personal_data(documents(spark, sf_dir).select("doc_id", "text"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long")
+
+    def joined(col: str) -> Column:
+        return F.array_join(F.transform(col, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])),
+                            ",")
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in pii_crf.KINDS],
+        F.sha2(F.encode(joined("base_spans"), "UTF-8"), 256).alias("base_sha256"),
+        joined("all_spans").alias("spans"))
+
+
 @query("op9_sharding")
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 contiguous shards of nearly the same bytes."""
