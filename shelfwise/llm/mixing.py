@@ -15,7 +15,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import SPACE_CLASS, fresh, require_columns
+from shelfwise.llm.common import WORD_CLASS, fresh, require_columns
 from shelfwise.session import materialize
 
 #: Leading bits of a permutation key that name a block of the permutation.
@@ -23,11 +23,8 @@ BLOCK_BITS = 12
 
 
 def word_count(text: Column) -> Column:
-    """Words of a text; 0 if it is null.  Counted as ends of words."""
-    parts = F.split(text, SPACE_CLASS + "+")
-    blank = F.when(F.element_at(parts, 1) == "", 1).otherwise(0) \
-        + F.when((F.element_at(parts, -1) == "") & (F.size(parts) > 1), 1).otherwise(0)
-    return F.when(text.isNull(), 0).otherwise(F.size(parts) - blank).cast("long")
+    """Words of a text; 0 if it is null."""
+    return F.coalesce(F.regexp_count(text, F.lit(WORD_CLASS + "+")), F.lit(0)).cast("long")
 
 
 def weights_at(shares: Mapping[object, float], exponent: float) -> dict[object, float]:
@@ -99,11 +96,16 @@ def mix(df: DataFrame, source_col: str = "source", text_col: str = "text",
     require_columns(df, [source_col, text_col])
     df = df.drop("epoch", "mix_key", "weight")
     spark, own = df.sparkSession, df.columns
-    n_col, = fresh(df, "mix_tokens")
+    n_col, h_col = fresh(df, "mix_tokens", "mix_hash")
     counted = tokens if tokens is not None else word_count(F.col(text_col))
-    rows = df.withColumn(n_col, F.coalesce(counted.cast("long"), F.lit(0)))
+    plain = [c for c, t in df.dtypes if "map<" not in t and t != "variant"]
+    rows = df.withColumn(n_col, F.coalesce(counted.cast("long"), F.lit(0))) \
+        .withColumn(h_col, F.xxhash64(*plain))
+    # three numbers a row are all that the plan needs
+    slim = materialize(rows.select(F.col(source_col).alias("s"), F.col(n_col).alias("n"),
+                                   F.col(h_col).alias("h")), "mix-sizes")
 
-    totals = rows.groupBy(F.col(source_col).alias("s")).agg(F.sum(n_col).alias("t")) \
+    totals = slim.groupBy("s").agg(F.sum("n").alias("t")) \
         .limit(max_sources + 1).collect()  # at most max_sources rows, or an error
     if len(totals) > max_sources:
         raise ValueError(f"more than {max_sources} sources")
@@ -123,21 +125,16 @@ def mix(df: DataFrame, source_col: str = "source", text_col: str = "text",
     key, epoch, src, cut, used = fresh(df, "mix_key", "epoch", "mix_source", "mix_rest", "mix_full")
     uses = spark.createDataFrame(plan, f"{src} {source_type}, weight double, {used} long, {cut} long")
 
-    # broadcast: at most max_sources rows
-    out = rows.join(F.broadcast(uses), F.col(source_col).eqNullSafe(F.col(src)))
-    copies = F.col(used) + F.when((F.col(cut) > 0) & (F.col(n_col) > 0), 1).otherwise(0)
-    out = out.withColumn(epoch, F.explode(F.when(F.col(n_col) == 0, F.array(F.lit(0))).when(
-        copies > 0, F.sequence(F.lit(0), (copies - 1).cast("int"))).otherwise(
-        F.array().cast("array<int>"))))
-    plain = [c for c, t in df.dtypes if "map<" not in t and t != "variant"]
-    out = out.withColumn(key, F.xxhash64(F.lit(seed), epoch, *plain))
+    def permuted(of: Column, hashed: Column) -> Column:
+        return F.xxhash64(F.lit(seed), of, hashed)
 
     # Where does the last, partial permutation of each source end?  Whole blocks of
     # keys are counted; only the block that the budget ends in is put in order.
-    block = F.shiftrightunsigned(F.col(key), 64 - BLOCK_BITS)
-    last = out.filter((F.col(epoch) == F.col(used)) & (F.col(n_col) > 0)).select(
-        F.col(src).alias("s"), block.alias("block"), F.col(key).alias("k"),
-        F.col(n_col).alias("n"), F.col(cut).alias("rest"))
+    # broadcast: at most max_sources rows
+    last = slim.filter("n > 0").join(F.broadcast(uses), F.col("s").eqNullSafe(F.col(src))).filter(
+        F.col(cut) > 0).select("s", permuted(F.col(used).cast("int"), F.col("h")).alias("k"), "n",
+                               F.col(cut).alias("rest"))
+    last = last.withColumn("block", F.shiftrightunsigned("k", 64 - BLOCK_BITS))
     sums = last.groupBy("s", "block", "rest").agg(F.sum("n").alias("n"))
     sums = sums.withColumn("before", F.coalesce(F.sum("n").over(
         Window.partitionBy("s").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)),
@@ -152,9 +149,14 @@ def mix(df: DataFrame, source_col: str = "source", text_col: str = "text",
         F.lit(0)))
     ends = inside.filter("upto < rest").groupBy("s").agg(F.max(unsigned).alias("last_key"))
     ends = ends.select(F.col("s").alias("end_source"), "last_key")
-    out = out.join(F.broadcast(ends), F.col(src).eqNullSafe(F.col("end_source")), "left")
+    out = rows.join(F.broadcast(uses), F.col(source_col).eqNullSafe(F.col(src))).join(
+        F.broadcast(ends), F.col(src).eqNullSafe(F.col("end_source")), "left")
+    copies = F.col(used) + F.when((F.col(cut) > 0) & (F.col(n_col) > 0), 1).otherwise(0)
+    out = out.withColumn(epoch, F.explode(F.when(F.col(n_col) == 0, F.array(F.lit(0))).when(
+        copies > 0, F.sequence(F.lit(0), (copies - 1).cast("int"))).otherwise(
+        F.array().cast("array<int>"))))
+    out = out.withColumn(key, permuted(F.col(epoch), F.col(h_col)))
     keep = (F.col(epoch) < F.col(used)) | (F.col(n_col) == 0) | (
         F.col(key).bitwiseXOR(F.lit(-2 ** 63)) <= F.col("last_key"))
     return out.filter(keep).select(*own, F.col(epoch).alias("epoch"), F.col(key).alias("mix_key"),
-                                   "weight", F.col(n_col).alias("mix_tokens") if n_col == "mix_tokens"
-                                   else F.col(n_col))
+                                   "weight", n_col)
