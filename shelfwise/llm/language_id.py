@@ -54,8 +54,7 @@ def sample(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text",
 
 def fit(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text",
         texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS) -> Model:
-    """The labelled text of each language, all cut to the size of the smallest
-    sample of at least a fifth of the largest, so that none gains by having more.
+    """The labelled text of each language.
 
     Null labels and texts are left out; no labelled rows give an empty model.
     More than ``MAX_LANGUAGES`` languages raise an error.
@@ -168,13 +167,14 @@ class Parser:
         entropy is than the second best, as a part of that (0 to 1)."""
         got = [self.letters(t or "") for t in texts]
         counts = self.phrases(got)
-        langs, scores = [], []
+        langs, scores, bits = [], [], np.array(self.bits)
         for letters, row in zip(got, counts):
             if not self.languages or not letters.any():
                 langs.append("und")
                 scores.append(0.0)
                 continue
-            entropy = row * np.array(self.bits) / len(letters)
+            strange = int((letters == self.width - 1).sum())  # a phrase each, and alike for all
+            entropy = ((row - strange) * bits + strange * bits.max()) / len(letters)
             best = int(entropy.argmin())  # the first in order of language, if several
             rest = np.delete(entropy, best)
             langs.append(self.languages[best])

@@ -41,10 +41,10 @@ b AS (SELECT c.source, c.t FROM c JOIN h ON c.source IS NOT DISTINCT FROM h.sour
 s AS (SELECT source, list(t) AS bad FROM b GROUP BY 1)
 SELECT p.doc_id, p.source,
        CASE WHEN p.ls IS NULL THEN NULL ELSE array_to_string(
-         list_filter(p.ls, x -> trim(x) = '' OR NOT coalesce(list_contains(s.bad, trim(x)), false)),
+         list_filter(p.ls, lambda x: trim(x) = '' OR NOT coalesce(list_contains(s.bad, trim(x)), false)),
          chr(10)) END AS text,
-       coalesce(len(list_filter(p.ls, x -> trim(x) <> '')), 0) AS n_lines,
-       coalesce(len(list_filter(p.ls, x -> trim(x) <> ''
+       coalesce(len(list_filter(p.ls, lambda x: trim(x) <> '')), 0) AS n_lines,
+       coalesce(len(list_filter(p.ls, lambda x: trim(x) <> ''
                                 AND coalesce(list_contains(s.bad, trim(x)), false))), 0) AS n_dropped
 FROM pages p LEFT JOIN s ON p.source IS NOT DISTINCT FROM s.source
 """)
