@@ -8,8 +8,9 @@ Column functions are built from Catalyst string expressions (``translate``,
 
 from __future__ import annotations
 
-import re
+import sys
 import unicodedata
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,47 +24,47 @@ def clean_upper(c: Column | str) -> Column:
     return F.upper(F.trim(as_col(c)))
 
 
-def _fold_table() -> tuple[str, str]:
-    """Accent-folding table derived by rule, not listed by hand.
-
-    Every letter of the Latin blocks (Latin-1 Supplement, Extended-A/B and
-    Extended Additional) whose canonical decomposition is one ASCII letter
-    followed by combining marks maps to that letter.  Letters without such a
-    decomposition (``ø``, ``ß``, ``æ``) are left alone; ``slugify`` then drops
-    them as non-ASCII, as an NFKD + ASCII-ignore pass does.
-    """
-    src, dst = [], []
-    for cp in list(range(0x00C0, 0x0250)) + list(range(0x1E00, 0x1F00)):
-        ch = chr(cp)
-        base = "".join(x for x in unicodedata.normalize("NFD", ch) if not unicodedata.combining(x))
-        if len(base) == 1 and base.isascii() and base.isalpha() and base != ch:
-            src.append(ch)
-            dst.append(base)
-    return "".join(src), "".join(dst)
+def _ascii_form(ch: str) -> str:
+    """ASCII part of a character's compatibility decomposition."""
+    return unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode("ascii")
 
 
-FOLD_FROM, FOLD_TO = _fold_table()
+@cache
+def _ascii_forms() -> tuple[str, str, dict[str, str]]:
+    """All characters beyond ASCII that have an ASCII form: those with a form of
+    one character (and these forms), and those with a longer one."""
+    single, forms, longer = [], [], {}
+    for cp in range(0x80, sys.maxunicode + 1):
+        if not 0xD800 <= cp < 0xE000:
+            form = _ascii_form(chr(cp))
+            if len(form) == 1:
+                single.append(chr(cp))
+                forms.append(form)
+            elif form:
+                longer[chr(cp)] = form
+    return "".join(single), "".join(forms), longer
 
 
 def fold_accents(c: Column | str) -> Column:
-    """Replace Latin accented letters by their base letter (``é`` → ``e``)."""
-    return F.translate(as_col(c), FOLD_FROM, FOLD_TO)
+    """Replace characters by their ASCII form (``é`` → ``e``, ``º`` → ``o``, ``ﬁ`` →
+    ``fi``); characters without one stay."""
+    single, forms, longer = _ascii_forms()
+    c = as_col(c)
+    # few texts hold a character with a longer form; only they are taken apart
+    table = F.create_map(*[F.lit(x) for pair in longer.items() for x in pair])
+    spelled = F.array_join(F.transform(F.split(c, ""), lambda ch: F.coalesce(
+        F.try_element_at(table, ch), ch)), "")
+    rare = c.rlike(f"[{''.join(longer)}]")
+    return F.translate(F.when(rare, spelled).otherwise(c), single, forms)
 
 
 def slugify(c: Column | str) -> Column:
-    """Column form of the landing-key normalisation.
-
-    Accents folded, every other non-ASCII character dropped, each character
-    outside ``[A-Za-z0-9]`` replaced by ``_``, runs of ``_`` collapsed, lower
-    case, leading/trailing ``_`` stripped.
-    """
-    s = fold_accents(c)
-    s = F.regexp_replace(s, r"[^\x00-\x7F]", "")
-    # A run of non-alphanumerics (underscores included) becomes one "_":
-    # the same as replacing each one and then collapsing "_" runs.
+    """Column form of ``normalize_key``: characters in their ASCII form, others
+    beyond ASCII dropped, each run of anything but ASCII letters and digits one
+    ``_``, none at the ends, lower case."""
+    s = F.regexp_replace(fold_accents(c), r"[^\x00-\x7F]", "")
     s = F.regexp_replace(s, r"[^a-zA-Z0-9]+", "_")
-    s = F.regexp_replace(F.lower(s), r"^_+|_+$", "")
-    return s
+    return F.btrim(F.lower(s), F.lit("_"))
 
 
 def bundle_pattern(words: list[str] | None = None) -> str:
@@ -86,15 +87,11 @@ def is_yes(c: Column | str) -> Column:
 
 # --- schema (driver metadata) -----------------------------------------------
 
-_NON_ALNUM = re.compile(r"[^a-zA-Z0-9]")
-_RUNS = re.compile(r"_+")
-
-
 def normalize_key(name: str, overrides: dict[str, str] | None = None) -> str:
-    """Normal form of a raw landing key (exact overrides first)."""
-    table = K.KEY_OVERRIDES if overrides is None else overrides
-    if name in table:
-        return table[name]
-    s = unicodedata.normalize("NFKD", name).encode("ascii", "ignore").decode("ascii")
-    s = _RUNS.sub("_", _NON_ALNUM.sub("_", s))
-    return s.lower().strip("_")
+    """Normal form of a raw landing key: its words of ASCII letters and digits,
+    in lower case, joined by ``_``.  An entry of ``overrides`` goes first."""
+    fixed = (K.KEY_OVERRIDES if overrides is None else overrides).get(name)
+    if fixed is not None:
+        return fixed
+    words = "".join(c if c.isalnum() else " " for c in _ascii_form(name)).split()
+    return "_".join(words).lower()

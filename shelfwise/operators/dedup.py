@@ -32,6 +32,9 @@ _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
 
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
 @dataclass(frozen=True)
 class SortKey:
     """One ordering term: a column (or expression) with direction and null placement."""
@@ -86,17 +89,22 @@ def _aggregate_plan(df: DataFrame, order: list[SortKey]):
     for i, (k, t) in enumerate(zip(order, types)):
         c = k.column()
         same = k.ascending == use_min
+        nan = []
         if not same:
             if isinstance(t, T.BooleanType):
                 c = ~c
             elif isinstance(t, T.DateType):
-                c = -F.unix_date(c)
+                c = F.bitwise_not(F.unix_date(c))
+            elif isinstance(t, _INTEGRAL):
+                c = F.bitwise_not(c)  # -x - 1: the order reversed, for the smallest value too
             else:
+                if isinstance(t, T.FloatType | T.DoubleType):
+                    nan = [(~F.isnan(c)).alias(f"_f{i}")]  # NaN is the largest, so first when reversed
                 c = -c
         # Null placement: the flag sorts before the value.
         null_first_under_agg = (not k.nulls_last) if use_min else k.nulls_last
         flag = c.isNotNull() if null_first_under_agg else c.isNull()
-        fields += [flag.alias(f"_n{i}"), c.alias(f"_k{i}")]
+        fields += [flag.alias(f"_n{i}"), *nan, c.alias(f"_k{i}")]
     return use_min, fields
 
 

@@ -94,8 +94,14 @@ def merge_update_only(target: DataFrame, source: DataFrame, keys: list[str],
 
     ``assignments`` are expressions over the target's columns and the source's
     non-key columns, which are visible as ``src_<name>``; ``target_condition``
-    is over the target's own columns.
+    is over the target's own columns.  Running the result raises an error when a
+    key occurs twice in the source, since either row could be meant.
     """
+    twice = F.lit("MERGE source has several rows for one key")
+    source = source.groupBy(*keys).agg(
+        F.when(F.count("*") > 1, F.raise_error(twice)).alias("_one"),
+        *[F.first(c).alias(c) for c in source.columns if c not in keys]) \
+        .filter(F.col("_one").isNull()).drop("_one")
     src = source.select(*keys, *[F.col(c).alias("src_" + c) for c in source.columns
                                  if c not in keys]).withColumn("_s", F.lit(True))
     j = target.join(src, keys, "left")

@@ -9,16 +9,16 @@ configuration.  Two settings matter for correctness rather than speed:
   (the batch-scoped replace of the snapshot tables relies on it).
 
 Scratch data (materialised intermediate tables, round-trip queries) always goes
-under the folder the cluster names in ``spark.checkpoint.dir``.  Only when that
-setting is absent — local runs and tests — is a private folder created and
-registered.
+under the folder the cluster names in ``spark.checkpoint.dir``.  Where it is
+unset there is no folder that all executors are known to share, so asking for
+one is an error; only a local master, whose executors are this process, gets
+one under the warehouse folder.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -69,18 +69,21 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; when unset (local runs, tests) a private folder is
-    created once and registered both as the conf value and as the
-    SparkContext checkpoint directory, so ``DataFrame.checkpoint()`` works.
+    Read from the session or the context.  Unset on a local master: a folder
+    under the warehouse; unset anywhere else: an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) \
+        or context.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
+        if not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
         spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    root = root.rstrip("/")
+    if root.removeprefix("file:").lstrip("/") not in (context.getCheckpointDir() or ""):
+        context.setCheckpointDir(root)  # each call makes a folder
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -88,20 +91,44 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+def _hadoop_path(spark: SparkSession, path: str):
+    """(path, its file system): a path without a scheme is on ``fs.defaultFS``,
+    wherever that is."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001 - Hadoop FS reaches any store
+    return hpath, hpath.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence test through Hadoop's FileSystem, so it works on any store."""
-    if is_local_path(path):
-        return os.path.exists(path.replace("file://", "").replace("file:", ""))
-    jvm = spark._jvm  # noqa: SLF001 - Hadoop FS is the portable existence check
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+    hpath, fs = _hadoop_path(spark, path)
     return bool(fs.exists(hpath))
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    hpath, fs = _hadoop_path(spark, path)
+    fs.delete(hpath, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder (none if it is not there); no file is looked at."""
+    hpath, fs = _hadoop_path(spark, path)
+    if not fs.exists(hpath):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory())
+
+
+@contextmanager
+def scratch_table(df, name: str):
+    """``materialize`` for the time of a ``with`` block; the files go at its end."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    try:
+        df.write.mode("overwrite").parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        delete_path(spark, path)
+
+
 def materialize(df, name: str):
     """Cut lineage: write ``df`` as parquet under the shared checkpoint folder
     and read it back.

@@ -15,17 +15,22 @@ The reader is one distributed scan:
   alphabetically later raw key wins where both are set).
 
 A multi-line JSON file is not splittable: read parallelism is the number of
-files.  For large landings prefer many files (or JSON lines, ``multiline=False``).
+files.  For large landings prefer many files, or JSON lines (``multiline=False``).
+
+A file or record that does not parse is never dropped in silence: reading fails,
+or, with ``on_error="divert"``, the rows that parse are returned and
+``landing_rejects`` lists the rest.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from shelfwise.functions.text import normalize_key
+from shelfwise.session import materialize
 
 
 class LandingError(RuntimeError):
@@ -41,20 +46,27 @@ def normalized_names(columns: list[str], overrides: dict[str, str] | None = None
     return out
 
 
+def _partition_columns(spark: SparkSession, paths: list[str], base: str, glob: str) -> list[str]:
+    """Columns that come from folder names (``batch_id=``, ...), from the listing."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+             .option("basePath", base).load(paths))
+    return [c for c in files.columns if c not in ("path", "modificationTime", "length", "content")]
+
+
 def infer_landing_schema(spark: SparkSession, path: str | list[str], *, base: str | None = None,
                          glob: str = "*.json", multiline: bool = True) -> T.StructType:
     """Schema of the landing records, inferred with case-sensitive names (one
-    pass over the files).  Partition columns are left out."""
-    prev = spark.conf.get("spark.sql.caseSensitive")
-    spark.conf.set("spark.sql.caseSensitive", "true")
-    try:
-        paths = [path] if isinstance(path, str) else list(path)
-        sch = (spark.read.option("multiLine", str(multiline).lower())
-               .option("pathGlobFilter", glob).option("basePath", base or paths[0])
-               .json(paths).schema)
-    finally:
-        spark.conf.set("spark.sql.caseSensitive", prev)
-    return T.StructType([f for f in sch.fields if f.name not in ("batch_id", "seccion", "chunk")])
+    pass over the files).  Columns from folder names are left out; the session's
+    own settings are not touched."""
+    paths = [path] if isinstance(path, str) else list(path)
+    side = spark.newSession()
+    side.conf.set("spark.sql.caseSensitive", "true")
+    side.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    sch = (side.read.option("multiLine", str(multiline).lower())
+           .option("pathGlobFilter", glob).option("basePath", base or paths[0])
+           .json(paths).schema)
+    folders = set(_partition_columns(spark, paths, base or paths[0], glob))
+    return T.StructType([f for f in sch.fields if f.name not in folders])
 
 
 def widen(inferred: T.DataType, hint: T.DataType) -> T.DataType:
@@ -84,66 +96,139 @@ def widen(inferred: T.DataType, hint: T.DataType) -> T.DataType:
     return inferred
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _typed(fields: list[T.StructField], hints: T.StructType | None,
+           overrides: dict[str, str] | None) -> list[T.StructField]:
+    """``fields`` with the types of the hints, which go by normalised name."""
+    known = {} if hints is None else {f.name: f.dataType for f in hints.fields}
+    out = []
+    for f in fields:
+        hint = known.get(normalize_key(f.name, overrides))
+        out.append(T.StructField(f.name, widen(f.dataType, hint) if hint is not None else f.dataType, True))
+    return out
+
+
+def _records(spark: SparkSession, path, base: str, glob: str, multiline: bool,
+             fields: list[T.StructField], temp: list[str]) -> tuple[DataFrame, list[str]]:
+    """Records as a struct ``_r`` with the field names ``temp``, the text of what
+    did not parse as ``_bad``, the file's path, and the columns of the folders.
+
+    Names that differ in more than case go through the JSON reader, which
+    streams the records of a file.  Names that differ only by case cannot be
+    columns of one scan; then each file is one text, parsed into a struct that
+    is renamed by position.
+    """
+    schema = T.StructType(fields)
+    renamed = T.StructType([T.StructField(t, f.dataType, True) for t, f in zip(temp, fields)])
+    read = spark.read.option("pathGlobFilter", glob).option("basePath", base)
+    if len({f.name.lower() for f in fields}) == len(fields):
+        rows = (read.schema(T.StructType([*fields, T.StructField(CORRUPT, T.StringType())]))
+                .option("multiLine", str(multiline).lower()).option("mode", "PERMISSIVE")
+                .option("columnNameOfCorruptRecord", CORRUPT)
+                .json(path))
+        record = F.struct(*[F.col(f"`{f.name}`").alias(t) for f, t in zip(fields, temp)])
+        folders = [c for c in rows.columns if c not in schema.fieldNames() and c != CORRUPT]
+        return rows.select(record.alias("_r"), F.col(CORRUPT).alias("_bad"),
+                           F.col("_metadata.file_path").alias("_file"), *folders), folders
+    text = read.text(path, wholetext=multiline)
+    folders = [c for c in text.columns if c != "value"]
+    keep = [F.col("value"), F.col("_metadata.file_path").alias("_file"), *folders]
+    parsed = F.from_json("value", T.ArrayType(schema) if multiline else schema)
+    rows = text.filter(F.trim("value") != "").select(parsed.alias("_p"), *keep)
+    bad = F.when(F.col("_p").isNull(), F.col("value"))
+    if multiline:  # a file that does not parse stays as one row
+        one = F.when(F.col("_p").isNull(), F.array(F.lit(None).cast(schema))).otherwise(F.col("_p"))
+        rows = rows.select(F.explode(one).alias("_p"), bad.alias("_bad"), "_file", *folders)
+    else:
+        # a line is bad if it gives no record, or is no JSON object at all
+        lost = F.when(F.try_parse_json("value").isNull(), F.col("value"))
+        rows = rows.select("_p", F.coalesce(bad, lost).alias("_bad"), "_file", *folders)
+    return rows.select(F.col("_p").cast(renamed).alias("_r"), "_bad", "_file", *folders), folders
+
+
+def _scan(spark: SparkSession, base: str, batch_id, glob: str, multiline: bool,
+          schema: T.StructType | None, type_hints: T.StructType | None,
+          overrides: dict[str, str] | None):
+    """(records, folder columns, normalised name → temporary names)."""
+    ids = [batch_id] if isinstance(batch_id, str) else list(batch_id or [])
+    path = [f"{base.rstrip('/')}/batch_id={b}" for b in ids] if ids else base
+    try:
+        raw = schema or infer_landing_schema(spark, path, base=base, glob=glob, multiline=multiline)
+        fields = _typed([f for f in raw.fields if f.name != CORRUPT], type_hints, overrides)
+        if not fields:
+            raise LandingError(f"no readable JSON records under {path}")
+        groups = normalized_names([f.name for f in fields], overrides)
+        place = {f.name: f"c{i}" for i, f in enumerate(fields)}
+        rows, folders = _records(spark, path, base, glob, multiline, fields,
+                                 [place[f.name] for f in fields])
+    except AnalysisException as e:  # missing folder, or nothing to infer a schema from
+        raise LandingError(f"cannot read landing data at {path}: {e}") from e
+    return rows, folders, {norm: [place[r] for r in raws] for norm, raws in groups.items()}
+
+
 def read_landing(spark: SparkSession, base: str, *, batch_id: str | list[str] | None = None,
                  glob: str = "*.json", multiline: bool = True,
                  schema: T.StructType | None = None,
                  type_hints: T.StructType | None = None,
                  section_pattern: str = r"([^/]+)\.json$", section_col: str = "seccion",
-                 overrides: dict[str, str] | None = None) -> DataFrame:
-    """Read landing batches (all, or one) as a normalised bronze frame.
-
-    Raw keys never reach the planner: each file is read as one text value and
-    parsed with ``from_json`` against the raw schema, and the record struct is
-    renamed *by position* with a cast.  (A JSON scan whose columns differ only
-    by case cannot be planned under case-insensitive resolution.)  Pass
-    ``schema`` to skip the inference pass.  ``multiline=False`` reads JSON
-    lines (one record per line, splittable) instead of one array per file.
+                 overrides: dict[str, str] | None = None, on_error: str = "fail") -> DataFrame:
+    """Read landing batches (all, or some) as a normalised bronze frame.
 
+    Pass ``schema`` to skip the inference pass.  ``multiline=False`` reads JSON
+    lines (one record per line, splittable) instead of one array per file.
     ``batch_id`` may be one id or a list (only those batch folders are read).
-    ``type_hints`` (e.g. the existing bronze schema) widens types that
-    inference degrades for this batch (see ``widen``).
-    Raises ``LandingError`` when a folder is missing or holds no readable
-    JSON record.
+    ``type_hints`` (e.g. the existing bronze schema) widens types that inference
+    degrades for this batch (see ``widen``).
+
+    Raises ``LandingError`` when a folder is missing or holds no readable record.
+    What does not parse makes the read fail when it runs; ``on_error="divert"``
+    leaves it to ``landing_rejects``.
     """
-    ids = [batch_id] if isinstance(batch_id, str) else list(batch_id or [])
-    path = [f"{base.rstrip('/')}/batch_id={b}" for b in ids] if ids else base
-    try:
-        raw = schema or infer_landing_schema(spark, path, base=base, glob=glob,
-                                             multiline=multiline)
-        text = (spark.read.option("pathGlobFilter", glob).option("basePath", base)
-                .text(path, wholetext=multiline))  # str or list of folders
-    except AnalysisException as e:  # missing folder, or nothing to infer a schema from
-        raise LandingError(f"cannot read landing data at {path}: {e}") from e
-    fields = [f for f in raw.fields if f.name != "_corrupt_record"]
-    if not fields:
-        raise LandingError(f"no readable JSON records under {path}")
-    if type_hints is not None:  # hints are keyed by the normalised column name
-        hints = {f.name: f.dataType for f in type_hints.fields}
-        fields = [T.StructField(f.name, widen(f.dataType, hints[n]) if (
-            n := normalize_key(f.name, overrides)) in hints else f.dataType, True) for f in fields]
-    groups = normalized_names([f.name for f in fields], overrides)
-    tmp = {}
-    for norm, raws in groups.items():
-        for i, r in enumerate(raws):
-            tmp[r] = norm if len(raws) == 1 else f"{norm}__{i}"
-    renamed = T.StructType([T.StructField(tmp[f.name], f.dataType, True) for f in fields])
-    section = F.col(section_col) if section_col in text.columns else F.regexp_extract(
-        F.col("_metadata.file_path"), section_pattern, 1)
-    rec_type = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
-    parsed = (F.explode(F.from_json("value", T.ArrayType(rec_type))) if multiline
-              else F.from_json("value", rec_type))
-    rows = text.select(parsed.alias("_r"), F.col("batch_id"), section.alias(section_col))
-    if not multiline:  # blank or unparsable lines
-        rows = rows.filter(F.col("_r").isNotNull())
-    rows = rows.select(F.col("_r").cast(renamed).alias("_r"), "batch_id", section_col)
-    cols = []
-    for norm, raws in groups.items():
-        if len(raws) == 1:
-            cols.append(F.col(f"_r.{norm}").alias(norm))
-        else:
-            cols.append(F.coalesce(*[F.col(f"_r.{norm}__{i}") for i in reversed(range(len(raws)))])
-                        .alias(norm))
-    return rows.select(*cols, "batch_id", section_col)
+    if on_error not in ("fail", "divert"):
+        raise ValueError("on_error is 'fail' or 'divert'")
+    rows, folders, groups = _scan(spark, base, batch_id, glob, multiline, schema, type_hints, overrides)
+    # What was read of a field is named as well: the JSON reader refuses a scan
+    # of the bad text alone, which a mere count of the rows would come to.
+    some = F.to_json(F.struct(F.col(f"_r.{next(iter(groups.values()))[0]}")))
+    if on_error == "fail":
+        what = F.concat(F.lit("landing data that does not parse in "), F.col("_file"), F.lit(": "),
+                        F.col("_bad"), F.lit(", read as "), F.coalesce(some, F.lit("nothing")))
+        keep = F.raise_error(what).cast("boolean")
+    else:
+        keep = F.length(some) < 0
+    rows = rows.filter(F.when(F.col("_bad").isNull(), True).otherwise(F.coalesce(keep, F.lit(False))))
+    section = F.col(section_col) if section_col in folders else F.regexp_extract(
+        "_file", section_pattern, 1)
+    # the later of several raw keys with one normal form wins where it is set
+    # (as text, if they are of several types)
+    types = {f.name: f.dataType for f in rows.schema["_r"].dataType.fields}
+
+    def value(temps: list[str]) -> Column:
+        mixed = len({types[t].simpleString() for t in temps}) > 1
+        return F.coalesce(*[F.col(f"_r.{t}").cast("string") if mixed else F.col(f"_r.{t}")
+                            for t in reversed(temps)])
+
+    cols = [value(temps).alias(norm) for norm, temps in groups.items()
+            if norm not in ("batch_id", section_col)]
+    return rows.select(*cols, "batch_id", section.alias(section_col))
+
+
+def landing_rejects(spark: SparkSession, base: str, *, batch_id: str | list[str] | None = None,
+                    glob: str = "*.json", multiline: bool = True,
+                    schema: T.StructType | None = None,
+                    type_hints: T.StructType | None = None) -> DataFrame:
+    """What does not parse: batch, file and text of each such record (or file,
+    when none of its records can be told apart), and what could be read of it.
+
+    The list is written to the shared scratch folder first: the JSON reader does
+    not give the text of bad records alone.
+    """
+    rows, _, _ = _scan(spark, base, batch_id, glob, multiline, schema, type_hints, None)
+    return materialize(rows.filter(F.col("_bad").isNotNull()).select(
+        "batch_id", F.col("_file").alias("path"), F.col("_bad").alias("record"),
+        F.to_json("_r").alias("read")), "rejects")
 
 
 def landing_files(spark: SparkSession, base: str, glob: str = "*.json",
@@ -178,13 +263,22 @@ def write_landing(df: DataFrame, base: str, *, batch_col: str = "batch_id",
     """Write ``df`` as landing JSON arrays: ``batch_id=/seccion=/chunk=`` folders,
     one file holding one JSON array per (batch, section, chunk).
 
-    ``chunk = floor(id / chunk_rows)`` bounds every array to ``chunk_rows``
-    records for any unique integer id, so no group grows with the data.
+    Each (batch, section) is cut by a hash of the id into as many chunks as its
+    rows need, so there are few folders and no array grows with the data.
     """
     payload = [c for c in df.columns if c not in (batch_col, section_col)]
-    chunk = F.floor(F.col(id_col) / chunk_rows).alias("chunk")
-    arrays = (df.groupBy(batch_col, section_col, chunk)
+    keys = [batch_col, section_col]
+    sizes = df.groupBy(*keys).agg(F.ceil(F.count("*") / chunk_rows).alias("_chunks"))
+    arrays = (df.join(sizes, keys)
+              .withColumn("chunk", F.pmod(F.xxhash64(id_col), F.col("_chunks")))
+              .groupBy(*keys, "chunk")
               .agg(F.to_json(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in payload])))
                    .alias("value")))
-    (arrays.repartition(batch_col, section_col, "chunk")
-     .write.mode("overwrite").partitionBy(batch_col, section_col, "chunk").text(base))
+    arrays.write.mode("overwrite").partitionBy(*keys, "chunk").text(base)
+
+
+def write_landing_lines(df: DataFrame, base: str, *, batch_col: str = "batch_id",
+                        section_col: str = "seccion") -> None:
+    """Write ``df`` as JSON lines in ``batch_id=/seccion=`` folders: splittable,
+    and written without gathering anything."""
+    df.write.mode("overwrite").partitionBy(batch_col, section_col).json(base)

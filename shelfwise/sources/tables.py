@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.operators.merge import Guard, duplicate_source_keys, merge_upsert
-from shelfwise.session import path_exists
+from shelfwise.session import path_exists, scratch_table, subfolders
 
 
 # --- reads ----------------------------------------------------------------------
@@ -123,18 +123,19 @@ def merge_into_table(spark: SparkSession, path: str, source: DataFrame, keys: li
     """
     if partition_col not in keys:
         raise ValueError("the partition column must be one of the merge keys")
-    if not duplicate_source_keys(source, keys).isEmpty():
-        raise MergeKeyError(f"merge source has duplicate keys on {keys}")
-    if not table_exists(spark, path):
-        append_table(source, path, [partition_col])
-        return
-    target = read_table(spark, path, schema)
-    # The touched partition values: one per batch in the source (a handful).
-    parts = [r[0] for r in source.select(partition_col).distinct().collect()]
-    target = target.filter(F.col(partition_col).isin(parts))
-    merged = merge_upsert(target, source.select(*target.columns), keys, guard=guard,
-                          keep_cols=keep_cols, touched=touched)
-    replace_partitions(merged, path, [partition_col])
+    with scratch_table(source, "merge-source") as once:  # evaluated a single time
+        if not duplicate_source_keys(once, keys).isEmpty():
+            raise MergeKeyError(f"merge source has duplicate keys on {keys}")
+        if not table_exists(spark, path):
+            append_table(once, path, [partition_col])
+            return
+        target = read_table(spark, path, schema)
+        # The touched partition values: one per batch in the source (a handful).
+        parts = [r[0] for r in once.select(partition_col).distinct().collect()]
+        target = target.filter(F.col(partition_col).isin(parts))
+        merged = merge_upsert(target, once.select(*target.columns), keys, guard=guard,
+                              keep_cols=keep_cols, touched=touched)
+        replace_partitions(merged, path, [partition_col])
 
 
 def batch_exists_in(spark: SparkSession, path: str, col: str, value,
@@ -174,19 +175,16 @@ def overwrite_partition(df: DataFrame, path: str, col: str, value) -> None:
 def latest_partition(spark: SparkSession, path: str, col: str,
                      cast: str | None = None) -> DataFrame:
     """One row: the largest value of partition column ``col`` of the table at
-    ``path``, taken from the file listing alone.
-
-    The ``binaryFile`` source with only the partition column selected opens no
-    file, so on a table of millions of files this costs a listing, where
-    ``max(col)`` over the parquet table would read every footer.  Use it as the
-    latest-batch selector of the analytics (a one-row broadcast join, which
-    also prunes the scan to that partition).
+    ``path``, taken from the names of its partition folders; no file is listed
+    or opened.  Use it as the latest-batch selector of the analytics (a one-row
+    broadcast join, which also prunes the scan to that partition).
     """
-    v = F.max(F.col(col))
-    return (spark.read.format("binaryFile").option("basePath", path).load(path)
-            .agg((v.cast(cast) if cast else v).alias(col)))
+    mark = f"{col}="
+    values = [n[len(mark):] for n in subfolders(spark, path) if n.startswith(mark)]
+    newest = spark.createDataFrame([(max(values, default=None),)], f"`{col}` string")
+    return newest.select(F.col(col).cast(cast).alias(col)) if cast else newest
 
 
 def latest_partition_value(spark: SparkSession, path: str, col: str, cast: str | None = None):
-    """The latest partition value itself (one value to the driver, from the listing)."""
+    """The latest partition value itself (from the names of the folders)."""
     return latest_partition(spark, path, col, cast).first()[0]
