@@ -17,6 +17,8 @@ over whole tables and its work grows with them.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,6 +73,23 @@ def snapshot(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
                             gather={"secciones_origen": "seccion"})
 
 
+def latest_days(spark: SparkSession, sf_dir: str, n: int = 1) -> list[str]:
+    """The ``n`` latest event days, newest first: one aggregate over one column,
+    whose values then bound the scan by pushed filters."""
+    days = table(spark, sf_dir, "events").select(F.to_date("ts").alias("d")).distinct()
+    return [str(r["d"]) for r in days.orderBy(F.col("d").desc_nulls_last()).limit(n).collect()
+            if r["d"] is not None]
+
+
+def latest_snapshot(spark: SparkSession, sf_dir: str, n: int = 1) -> DataFrame:
+    """SNAP of the ``n`` latest days only.  The day is one of the keys, so leaving
+    out other days before keeping the best row is the same as after."""
+    days = latest_days(spark, sf_dir, n)
+    return snapshot(spark, sf_dir, day_from=days[-1], day_to=days[0]).filter(
+        F.col("ingesta_date").isin([dt.date.fromisoformat(d) for d in days])) if days \
+        else snapshot(spark, sf_dir).limit(0)
+
+
 # --- NEST ----------------------------------------------------------------------
 
 def _param(name, value):

@@ -52,8 +52,10 @@ def _now() -> Column:
     return F.current_timestamp()
 
 
-def start_batches(control: DataFrame, batch_ids: DataFrame) -> DataFrame:
-    """Mark batches IN_PROGRESS: insert unknown ones, restart FAILED ones.
+def start_batches(control: DataFrame, batch_ids: DataFrame,
+                  restart: tuple[str, ...] = (K.STATUS_FAILED,)) -> DataFrame:
+    """Mark batches IN_PROGRESS: insert unknown ones, restart those whose status
+    is in ``restart``.
 
     The restart is a deliberate fix: an insert-only start would leave a failed
     batch first in line for ever.  Returns the new control table.
@@ -69,7 +71,7 @@ def start_batches(control: DataFrame, batch_ids: DataFrame) -> DataFrame:
         {"status": F.lit(K.STATUS_IN_PROGRESS), "updated_timestamp": _now(),
          "start_time": _now(), "end_time": F.lit(None).cast("timestamp"),
          "error_message": F.lit(None).cast("string")},
-        target_condition=F.col("status") == K.STATUS_FAILED)
+        target_condition=F.col("status").isin(*restart))
     return restarted.unionByName(inserts)
 
 

@@ -7,32 +7,39 @@ Table layout under one lake root (all parquet):
     gold/dim_<name>/   unpartitioned                 (insert-only, stable keys)
     gold/fact/         partitioned by ingesta_date   (replace per batch)
     gold/audit/        partitioned by ingesta_date   (replace per batch)
+    gold/price_moves/  partitioned by fecha          (replace per day)
+    gold/last_prices/  a folder as_of=<day>/v<n> each (the last few days' states)
     control/           partitioned by batch_id       (one partition per batch)
 
-Every step is idempotent per batch, so rerunning a failed or repeated batch
-converges to the same tables: bronze and fact partitions are replaced, the
-silver merge is guarded by batch id, and dimensions only insert keys they
-have not seen.  Work is distributed throughout; the driver only sees the
-batch ids, one-row gates and the largest issued key of each dimension.
+Rerunning a failed or repeated batch converges to the same tables: bronze, fact
+and move partitions are replaced, the silver merge is guarded by batch id,
+dimensions only insert keys they have not seen, and a price state is a folder of
+its own that a rerun writes anew from the state before it.  Batches may come in
+any order: a late one recomputes the moves of the products it holds.  Work is
+distributed throughout; the driver only sees batch ids, folder names, one-row
+gates and the largest issued key of each dimension.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise import schemas as SC
-from shelfwise.operators.filters import enforce_gate
+from shelfwise import constants as K
+from shelfwise.operators.filters import BatchGateError, enforce_gate
 from shelfwise.plans import analytics as A
 from shelfwise.plans import control as C
 from shelfwise.plans import gold as G
 from shelfwise.plans import silver as S
 from shelfwise.sources import landing as L
 from shelfwise.sources import tables as TB
-from shelfwise.session import materialize
+from shelfwise.session import delete_path, path_exists, scratch_table, subfolders
 
 ISO = "%Y-%m-%d"
 
@@ -84,9 +91,10 @@ def read_control(spark: SparkSession, lake: Lake) -> DataFrame | None:
 
 def _write_control(spark: SparkSession, lake: Lake, new_state: DataFrame, batch_id: str) -> None:
     rows = new_state.filter(F.col("batch_id") == batch_id).select(*SC.CONTROL.fieldNames())
-    # The new state is derived from the partition it replaces: materialise it
-    # in the shared checkpoint folder before rewriting that partition.
-    TB.replace_partitions(materialize(rows, "control"), lake.control, ["batch_id"])
+    # The new state is derived from the partition it replaces, so it is written
+    # to the shared checkpoint folder first.
+    with scratch_table(rows, "control") as state:
+        TB.replace_partitions(state, lake.control, ["batch_id"])
 
 
 def _empty_control(spark: SparkSession) -> DataFrame:
@@ -97,7 +105,9 @@ def mark_started(spark: SparkSession, lake: Lake, batch_id: str) -> None:
     ctl = read_control(spark, lake)
     ctl = ctl if ctl is not None else _empty_control(spark)
     ids = spark.createDataFrame([(batch_id,)], "batch_id string")
-    _write_control(spark, lake, C.start_batches(ctl.filter(F.col("batch_id") == batch_id), ids),
+    # a rerun starts over, whatever the last run came to
+    every = (K.STATUS_FAILED, K.STATUS_COMPLETED, K.STATUS_IN_PROGRESS)
+    _write_control(spark, lake, C.start_batches(ctl.filter(F.col("batch_id") == batch_id), ids, every),
                    batch_id)
 
 
@@ -109,7 +119,7 @@ def mark_completed(spark: SparkSession, lake: Lake, batch_id: str) -> None:
 
 def mark_failed(spark: SparkSession, lake: Lake, batch_id: str, message: str) -> None:
     ctl = read_control(spark, lake).filter(F.col("batch_id") == batch_id)
-    _write_control(spark, lake, C.fail_batches(ctl, F.lit(True), message[:1000]), batch_id)
+    _write_control(spark, lake, C.fail_batches(ctl, F.lit(True), message), batch_id)
 
 
 def next_batch_id(spark: SparkSession, landing_base: str, lake: Lake,
@@ -124,12 +134,38 @@ def load_bronze(spark: SparkSession, landing_base: str, lake: Lake, batch_id: st
                 glob: str = "*.json", mode: str = "replace") -> bool:
     """Read the batch's landing folder and write its bronze partition."""
     day = _check_batch_id(batch_id)
-    # The existing bronze schema (one footer, no merge) keeps this batch's
-    # partition compatible when inference degrades a type (all-empty arrays).
-    hints = TB.read_table(spark, lake.bronze).schema if TB.table_exists(spark, lake.bronze) else None
+    # The declared schema keeps this batch's partition compatible when
+    # inference degrades a type (all-empty arrays).
+    hints = declared_bronze(spark, lake)
     df = L.read_landing(spark, landing_base, batch_id=batch_id, glob=glob, type_hints=hints)
     df = df.withColumn("ingesta_date", F.lit(day))
-    return TB.write_batch(spark, df, lake.bronze, batch_id, mode=mode)
+    written = TB.write_batch(spark, df, lake.bronze, batch_id, mode=mode)
+    _declare_bronze(spark, lake, batch_id, hints, df.schema)
+    return written
+
+
+def declared_bronze(spark: SparkSession, lake: Lake) -> T.StructType | None:
+    """Bronze columns and types seen so far, the richest type of each."""
+    path = lake.path("bronze_schema")
+    versions = [v for v in subfolders(spark, path) if path_exists(spark, f"{path}/{v}/_SUCCESS")]
+    if not versions:
+        return None
+    text = spark.read.text(f"{path}/{versions[-1]}", wholetext=True).first()
+    return T.StructType.fromJson(json.loads(text[0]))
+
+
+def _declare_bronze(spark: SparkSession, lake: Lake, batch_id: str, known: T.StructType | None,
+                    seen: T.StructType) -> None:
+    """A new version of the declared schema, if this batch adds to it."""
+    types = {f.name: f.dataType for f in known.fields} if known else {}
+    for f in seen.fields:
+        types[f.name] = L.widen(types[f.name], f.dataType) if f.name in types else f.dataType
+    now = T.StructType([T.StructField(n, t, True) for n, t in types.items()])
+    if known is None or now != known:
+        path = lake.path("bronze_schema")
+        version = len(subfolders(spark, path))
+        spark.createDataFrame([(now.json(),)], "value string").coalesce(1) \
+            .write.text(f"{path}/v{version:06d}-{batch_id}")
 
 
 def load_silver(spark: SparkSession, lake: Lake, batch_id: str) -> DataFrame:
@@ -149,7 +185,15 @@ def load_silver(spark: SparkSession, lake: Lake, batch_id: str) -> DataFrame:
                         guard=lambda t, s: s("batch_id") >= t("batch_id"),
                         keep_cols=["created_timestamp"], touched={"updated_timestamp": now},
                         schema=SC.SILVER)
-    return TB.scan_batch(TB.read_table(spark, lake.silver, SC.SILVER), "batch_id", batch_id)
+    return silver_of(spark, lake, batch_id)
+
+
+def silver_of(spark: SparkSession, lake: Lake, batch_id: str) -> DataFrame:
+    """The batch's snapshot rows: its date partition alone, and in it the rows
+    that are this batch's."""
+    day = _check_batch_id(batch_id)
+    silver = TB.read_table(spark, lake.silver, SC.SILVER).filter(F.col("ingesta_date") == F.lit(day))
+    return TB.scan_batch(silver, "batch_id", batch_id)
 
 
 def _dimension(spark: SparkSession, lake: Lake, name: str) -> DataFrame | None:
@@ -159,99 +203,190 @@ def _dimension(spark: SparkSession, lake: Lake, name: str) -> DataFrame | None:
 
 def load_gold(spark: SparkSession, lake: Lake, batch_id: str, *, fact_mode: str = "replace"
               ) -> dict[str, int]:
-    """Insert new dimension members, then replace the batch's fact and audit partitions."""
+    """Insert new dimension members, then replace the batch's fact and audit
+    partitions.  Returns the rows of the batch in silver, fact and audit.
+
+    The batch must not be empty nor hold a NULL product or date, and every
+    silver row must end up in the fact or in the audit; else this raises.
+    """
     day = _check_batch_id(batch_id)
-    src = TB.scan_batch(TB.read_table(spark, lake.silver, SC.SILVER), "batch_id", batch_id)
-    src = materialize(src, "silver-batch")  # read by the dimension loads, the fact and the audit
-    if TB.create_if_missing(spark, lake.dim("etiquetado"), SC.DIM_ETIQUETADO):
-        TB.append_table(G.label_junk(spark), lake.dim("etiquetado"))
-    dims = {}
-    for name, (key, nk, builder) in G.DIMENSIONS.items():
-        old = _dimension(spark, lake, name)
-        new = G.extend_dimension(old, builder(src), key, nk)
-        TB.append_table(new.select(*SC.DIMENSION_SCHEMAS[name].fieldNames()), lake.dim(name))
-        dims[name] = _dimension(spark, lake, name)
-    dims["etiquetado"] = _dimension(spark, lake, "etiquetado")
-    if fact_mode == "skip" and TB.table_exists(spark, lake.fact) and TB.batch_exists_in(
-            spark, lake.fact, "ingesta_date", day, SC.FACT):
-        return {"fact": -1}
-    # The batch's partitions are rewritten even when empty (no stale rows).
-    fact = G.fact_rows(src, dims).select(*[c for c in SC.FACT.fieldNames() if c != "ingesta_date"])
-    TB.overwrite_partition(fact, lake.fact, "ingesta_date", day)
-    audit = G.audit_rows(src, dims).select(*[c for c in SC.AUDIT.fieldNames()
-                                             if c != "ingesta_date"])
-    TB.overwrite_partition(audit, lake.audit, "ingesta_date", day)
-    return {"fact": TB.read_table(spark, lake.fact, SC.FACT)
-            .filter(F.col("ingesta_date") == F.lit(day)).count()}
+    with scratch_table(silver_of(spark, lake, batch_id), "silver-batch") as src:
+        enforce_gate(src, ["productid"], "ingesta_date")
+        if TB.create_if_missing(spark, lake.dim("etiquetado"), SC.DIM_ETIQUETADO):
+            TB.append_table(G.label_junk(spark), lake.dim("etiquetado"))
+        dims = {}
+        for name, (key, nk, builder) in G.DIMENSIONS.items():
+            old = _dimension(spark, lake, name)
+            with scratch_table(G.new_members(old, builder(src), nk), f"new-{name}") as rows:
+                new = G.number_members(old, rows, key, nk)
+                TB.append_table(new.select(*SC.DIMENSION_SCHEMAS[name].fieldNames()), lake.dim(name))
+            dims[name] = _dimension(spark, lake, name)
+        dims["etiquetado"] = _dimension(spark, lake, "etiquetado")
+        if fact_mode == "skip" and TB.table_exists(spark, lake.fact) and TB.batch_exists_in(
+                spark, lake.fact, "ingesta_date", day, SC.FACT):
+            return {"fact": -1}
+        # The batch's partitions are rewritten even when empty (no stale rows).
+        fact = G.fact_rows(src, dims).select(*[c for c in SC.FACT.fieldNames() if c != "ingesta_date"])
+        TB.overwrite_partition(fact, lake.fact, "ingesta_date", day)
+        audit = G.audit_rows(src, dims).select(*[c for c in SC.AUDIT.fieldNames()
+                                                 if c != "ingesta_date"])
+        TB.overwrite_partition(audit, lake.audit, "ingesta_date", day)
+        counts = {"silver": src.count()}
+    for name, path, schema in (("fact", lake.fact, SC.FACT), ("audit", lake.audit, SC.AUDIT)):
+        counts[name] = TB.read_table(spark, path, schema).filter(
+            F.col("ingesta_date") == F.lit(day)).count()
+    if counts["silver"] != counts["fact"] + counts["audit"]:
+        raise BatchGateError(f"batch {batch_id} does not add up: {counts}")
+    return counts
+
+
+#: Price states kept; older ones are deleted.
+STATES_KEPT = 3
+
+
+def _states(spark: SparkSession, lake: Lake) -> dict[dt.date, str]:
+    """Day → folder of its newest complete price state, oldest day first."""
+    root, out = lake.path("gold/last_prices"), {}
+    for name in subfolders(spark, root):
+        whole = [v for v in subfolders(spark, f"{root}/{name}")
+                 if path_exists(spark, f"{root}/{name}/{v}/_SUCCESS")]
+        if name.startswith("as_of=") and whole:
+            out[dt.date.fromisoformat(name.removeprefix("as_of="))] = f"{root}/{name}/{whole[-1]}"
+    return out
+
+
+def _write_state(spark: SparkSession, lake: Lake, day: dt.date, state: DataFrame) -> None:
+    """Write a day's state beside its older versions, which go only when the new
+    one is complete."""
+    folder = lake.path(f"gold/last_prices/as_of={day}")
+    older = subfolders(spark, folder)
+    version = 1 + max((int(v.removeprefix("v")) for v in older), default=0)
+    state.write.parquet(f"{folder}/v{version:06d}")
+    for v in older:
+        delete_path(spark, f"{folder}/{v}")
 
 
 def load_price_moves(spark: SparkSession, lake: Lake, batch_id: str) -> None:
-    """Append the batch's price moves without rescanning history.
-
-    State table ``gold/last_prices``: per product its latest valid price and
-    the one before (two deep, so rerunning the latest batch starts from the
-    same state and writes the same moves).  Moves go to ``gold/price_moves``,
-    partitioned by date (the batch's partition is rewritten).  Batches must
-    arrive in date order; an older batch than the state raises.
+    """Write the batch's price moves without rescanning history.
+
+    ``gold/last_prices/as_of=<day>`` holds each product's latest valid price up
+    to that day.  A batch newer than all states joins the newest one before it
+    and writes the state of its own day; rerunning it does the same again.
+    A late batch (there is a state of a later day) changes two days of each of
+    its products: its own, and the next day with a valid price.  Both are
+    recomputed from the products' history in silver, and the later states take
+    over its prices where they are the later ones.  A state is never written in
+    place, so a crash leaves the one before it.
     """
     day = _check_batch_id(batch_id)
-    batch = TB.scan_batch(TB.read_table(spark, lake.silver, SC.SILVER), "batch_id", batch_id)
-    state_path, moves_path = lake.path("gold/last_prices"), lake.path("gold/price_moves")
-    state = TB.read_table(spark, state_path) if TB.table_exists(spark, state_path) else None
-    if state is not None:
-        newest = state.agg(F.max("fecha")).first()[0]
-        if newest is not None and newest > day:
-            raise ValueError(f"batch {batch_id} is older than the price state ({newest})")
-        rerun = F.col("fecha") == F.lit(day)
-        before = state.select(
-            "productid",
-            F.when(rerun, F.col("fecha_prev")).otherwise(F.col("fecha")).alias("fecha"),
-            F.when(rerun, F.col("precio_prev")).otherwise(F.col("precio")).alias("precio"),
-        ).filter(F.col("fecha").isNotNull())
-    else:
-        before = None
+    moves_path = lake.path("gold/price_moves")
+    states = _states(spark, lake)
+    batch = silver_of(spark, lake, batch_id)
+    now = batch.filter(F.col("precio_valido")).select(
+        "productid", F.lit(day).alias("fecha"), F.col("precio_regular").alias("precio"))
+    later = [d for d in states if d > day]
+    if later:
+        _late_moves(spark, lake, batch, moves_path)
+        for d in later:
+            _write_state(spark, lake, d, _latest_prices(spark.read.parquet(states[d]), now))
+        return
+    earlier = [d for d in states if d < day]
+    before = spark.read.parquet(states[earlier[-1]]) if earlier else None
     moves, _ = A.next_price_moves(before, batch, date_col="ingesta_date")
     TB.overwrite_partition(moves.drop("fecha"), moves_path, "fecha", day)
-    cur = batch.filter(F.col("precio_valido")).select(
-        "productid", F.lit(day).alias("fecha"), F.col("precio_regular").alias("precio"))
-    if before is None:
-        new_state = cur.select("*", F.lit(None).cast("date").alias("fecha_prev"),
-                               F.lit(None).cast("double").alias("precio_prev"))
-    else:
-        moved = cur.join(before.select("productid", F.col("fecha").alias("fecha_prev"),
-                                       F.col("precio").alias("precio_prev")), "productid", "left")
-        untouched = state.join(cur.select("productid"), "productid", "left_anti")
-        new_state = untouched.unionByName(moved)
-    # Derived from the table it replaces: materialise, then overwrite.
-    TB.overwrite_table(materialize(new_state, "last-prices"), state_path)
+    _write_state(spark, lake, day, now if before is None else _latest_prices(before, now))
+    for old in earlier[:-STATES_KEPT + 1]:
+        delete_path(spark, lake.path(f"gold/last_prices/as_of={old}"))
+
+
+def _latest_prices(state: DataFrame, now: DataFrame) -> DataFrame:
+    """For each product the price of its later day."""
+    newest = F.max(F.struct("fecha", "precio")).alias("_p")
+    return state.unionByName(now).groupBy("productid").agg(newest).select("productid", "_p.*")
+
+
+def _late_moves(spark: SparkSession, lake: Lake, batch: DataFrame, moves_path: str) -> None:
+    """Recompute the moves that a late batch adds or changes."""
+    silver = TB.read_table(spark, lake.silver, SC.SILVER)
+    with scratch_table(batch.select("productid", "ingesta_date").distinct(), "late-products") as late:
+        day = late.select("ingesta_date").first()[0]
+        ids = late.select("productid")
+        history = silver.join(ids, "productid", "left_semi")
+        later = history.filter(F.col("precio_valido") & (F.col("ingesta_date") > F.lit(day)))
+        following = later.groupBy("productid").agg(F.min("ingesta_date").alias("fecha"))
+        moved = A.price_moves(history, date_col="ingesta_date")
+        with scratch_table(following, "late-following") as after:
+            days = [day, *[r[0] for r in after.select("fecha").distinct().collect()]]  # one for each batch at most
+            changed = after.unionByName(ids.withColumn("fecha", F.lit(day))).distinct()
+            rows = moved.join(changed, ["productid", "fecha"], "left_semi")
+            if TB.table_exists(spark, moves_path):
+                old = spark.read.parquet(moves_path).withColumn("fecha", F.to_date("fecha")).filter(
+                    F.col("fecha").isin(days))
+                rows = old.join(changed, ["productid", "fecha"], "left_anti").select(*rows.columns) \
+                    .unionByName(rows)
+            with scratch_table(rows, "late-moves") as fresh:
+                for d in days:
+                    TB.overwrite_partition(fresh.filter(F.col("fecha") == F.lit(d)).drop("fecha"),
+                                           moves_path, "fecha", d)
+
+
+def require_complete(spark: SparkSession, landing_base: str, batch_id: str, expected: list[str],
+                     glob: str = "*.json") -> None:
+    """Raise unless the batch has a file of every expected section."""
+    files = L.landing_files(spark, landing_base, glob=glob).filter(F.col("batch_id") == batch_id)
+    found = L.landing_completeness(files, expected).first()
+    if found is None or not found["completo"]:
+        missing = sorted(expected) if found is None else found["faltantes"]
+        raise L.LandingError(f"batch {batch_id} lacks the sections {missing}")
 
 
 def run_daily_batch(spark: SparkSession, landing_base: str, lake: Lake, batch_id: str, *,
-                    glob: str = "*.json") -> None:
-    """One batch end to end under control: IN_PROGRESS → COMPLETED, or FAILED."""
+                    glob: str = "*.json", expected_sections: list[str] | None = None) -> dict[str, int]:
+    """One batch end to end under control: IN_PROGRESS → COMPLETED, or FAILED.
+
+    With ``expected_sections`` the batch fails while any of them is missing, and
+    is taken up again by the next run.  Returns the rows of each stage.
+    """
     _check_batch_id(batch_id)
     mark_started(spark, lake, batch_id)
     try:
+        if expected_sections is not None:
+            require_complete(spark, landing_base, batch_id, expected_sections, glob)
         load_bronze(spark, landing_base, lake, batch_id, glob=glob)
+        counts = {"bronze": TB.read_partition(spark, lake.bronze, "batch_id", batch_id).count()}
         load_silver(spark, lake, batch_id)
-        load_gold(spark, lake, batch_id)
+        counts |= load_gold(spark, lake, batch_id)
         load_price_moves(spark, lake, batch_id)
     except Exception as e:
         mark_failed(spark, lake, batch_id, f"{type(e).__name__}: {e}")
         raise
     mark_completed(spark, lake, batch_id)
+    return counts
+
+
+class PendingBatchesFailed(RuntimeError):
+    pass
 
 
 def run_pending(spark: SparkSession, landing_base: str, lake: Lake, *, glob: str = "*.json",
-                max_batches: int | None = None) -> list[str]:
-    """Process pending landing batches oldest first; returns the ids processed."""
-    done = []
-    while max_batches is None or len(done) < max_batches:
-        b = next_batch_id(spark, landing_base, lake, glob=glob)
-        if b is None or b in done:
-            break
-        run_daily_batch(spark, landing_base, lake, b, glob=glob)
-        done.append(b)
+                max_batches: int | None = None, expected_sections: list[str] | None = None) -> list[str]:
+    """Process pending landing batches oldest first; returns the ids processed.
+
+    A batch that fails does not hold up the others: it stays FAILED, the next
+    ones run, and ``PendingBatchesFailed`` names it at the end.
+    """
+    files = L.landing_files(spark, landing_base, glob=glob)
+    pending = C.pending_batches(files, read_control(spark, lake))
+    ids = sorted(r[0] for r in pending.collect())  # one for each day not yet loaded
+    done, failed = [], {}
+    for b in ids[:max_batches]:
+        try:
+            run_daily_batch(spark, landing_base, lake, b, glob=glob, expected_sections=expected_sections)
+            done.append(b)
+        except Exception as e:  # noqa: BLE001 - whatever it was is in the control table, and raised below
+            failed[b] = e
+    if failed:
+        raise PendingBatchesFailed(f"done {done}, failed {failed}") from next(iter(failed.values()))
     return done
 
 

@@ -28,6 +28,7 @@ from shelfwise import constants as K
 from shelfwise.functions.dates import calendar_columns
 from shelfwise.operators.keys import assign_surrogate_keys, max_key
 from shelfwise.operators.merge import merge_insert_only
+from shelfwise.session import materialize, scratch_table
 
 DATE = "ingesta_date"
 LABEL_COLS = ["alto_sodio", "alto_azucar", "alto_saturadas", "num_octogonos"]
@@ -103,27 +104,39 @@ DIMENSIONS = {
 }
 
 
+def new_members(existing: DataFrame | None, rows: DataFrame, natural_key: list[str]) -> DataFrame:
+    """Rows whose natural key is not in the dimension yet."""
+    return rows if existing is None else merge_insert_only(existing, rows, natural_key)
+
+
+def number_members(existing: DataFrame | None, new: DataFrame, key_name: str,
+                   natural_key: list[str]) -> DataFrame:
+    """``new`` with keys after the largest one issued.  They are read twice (to
+    size the buckets, to number the rows), so they should be a written table."""
+    base = 0 if existing is None else max_key(existing, key_name)
+    return assign_surrogate_keys(new, natural_key, key_name, base=base)
+
+
 def extend_dimension(existing: DataFrame | None, rows: DataFrame, key_name: str,
                      natural_key: list[str]) -> DataFrame:
     """Rows to append: natural keys not yet present, numbered after the largest key."""
-    if existing is None:
-        new = rows
-        base = 0
-    else:
-        new = merge_insert_only(existing, rows, natural_key)
-        base = max_key(existing, key_name)
-    return assign_surrogate_keys(new, natural_key, key_name, base=base)
+    return number_members(existing, new_members(existing, rows, natural_key), key_name, natural_key)
 
 
 def build_dimensions(src: DataFrame, existing: dict[str, DataFrame] | None = None
                      ) -> dict[str, DataFrame]:
-    """Every dimension after loading ``src``: existing rows plus new ones."""
+    """Every dimension after loading ``src``: existing rows plus new ones.
+
+    Each is written once to the shared scratch folder, as a load would, and read
+    back: its true size then decides how the fact is joined to it.
+    """
     existing = existing or {}
     out = {}
     for name, (key, nk, builder) in DIMENSIONS.items():
         old = existing.get(name)
-        new = extend_dimension(old, builder(src), key, nk)
-        out[name] = new if old is None else old.unionByName(new)
+        with scratch_table(new_members(old, builder(src), nk), f"new-{name}") as rows:
+            new = number_members(old, rows, key, nk)
+            out[name] = materialize(new if old is None else old.unionByName(new), f"dim-{name}")
     junk = existing.get("etiquetado")
     out["etiquetado"] = junk if junk is not None else label_junk(src.sparkSession)
     return out

@@ -88,6 +88,34 @@ def q_landing_completeness(spark, d):
     return c.withColumn("faltantes", F.array_join("faltantes", ","))
 
 
+@query("landing_json_lines", sql=LANDING_SQL)
+def q_landing_json_lines(spark, d):
+    """JSON lines in ``*.json`` files, found by the default pattern."""
+    base = scratch_path(spark, "landing-lines")
+    L.write_landing_lines(_raw_events(spark, d), base)
+    return L.read_landing(spark, base, multiline=False)
+
+
+@query("landing_rejects", sql="""
+SELECT strftime(ts, '%Y-%m-%d') AS batch_id, count(*) FILTER (WHERE event_id % 7 <> 0) AS leidas,
+       count(*) FILTER (WHERE event_id % 7 = 0) AS rechazadas
+FROM events GROUP BY 1
+""")
+def q_landing_rejects(spark, d):
+    """Every seventh line cut off in the middle: lines read and rejected, by batch."""
+    base = scratch_path(spark, "landing-broken")
+    raw = _raw_events(spark, d)
+    line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in raw.columns if c not in ("batch_id", "seccion")]))
+    cut = F.when(F.col("eventId") % 7 == 0, F.substring(line, 1, 12)).otherwise(line)
+    raw.select(cut.alias("value"), "batch_id", "seccion").write.partitionBy("batch_id", "seccion").text(base)
+    schema = raw.drop("batch_id", "seccion").schema
+    read = L.read_landing(spark, base, glob="*.txt", multiline=False, schema=schema, on_error="divert")
+    lost = L.landing_rejects(spark, base, glob="*.txt", multiline=False, schema=schema)
+    both = read.select("batch_id", F.lit(1).alias("ok")).unionByName(lost.select("batch_id", F.lit(0).alias("ok")))
+    return both.groupBy("batch_id").agg(F.count_if(F.col("ok") == 1).alias("leidas"),
+                                        F.count_if(F.col("ok") == 0).alias("rechazadas"))
+
+
 # --- parquet table writes ------------------------------------------------------------------
 
 def _obs_rows(spark, d):

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfwise.plans import analytics as A
-from shelfwise.plans.bindings import observations, snapshot, table
+from shelfwise.plans.bindings import latest_snapshot, observations, snapshot, table
 from shelfwise.plans.oracle_sql import OBS_CTE, SNAP_COLS, SNAP_CTE, money, pct
 from shelfwise.plans.registry import query
 from shelfwise.sources.tables import scan_batch, tag_batch
@@ -40,7 +40,7 @@ SELECT {SNAP_COLS}, array_to_string(secciones_origen, ',') AS secciones_origen
 FROM snap WHERE ingesta_date = (SELECT ingesta_date FROM u)
 """)
 def q_latest_batch_rows(spark, d):
-    return _joined_sections(A.latest_batch_rows(snapshot(spark, d)))
+    return _joined_sections(A.latest_batch_rows(latest_snapshot(spark, d)))
 
 
 @query("previous_batch", sql=f"""
@@ -51,23 +51,21 @@ SELECT {SNAP_COLS}, array_to_string(secciones_origen, ',') AS secciones_origen
 FROM snap WHERE ingesta_date = (SELECT d FROM p)
 """)
 def q_previous_batch(spark, d):
-    return _joined_sections(A.previous_batch_rows(snapshot(spark, d)))
+    return _joined_sections(A.previous_batch_rows(latest_snapshot(spark, d, 2)))
 
 
 @query("latest_batch_kpis", sql=f"""
-WITH {SNAP_CTE},
-base AS (SELECT * FROM snap WHERE ingesta_date = (SELECT max(ingesta_date) FROM snap))
-SELECT COUNT(*) AS total_productos,
-       CAST(SUM(CASE WHEN disponible THEN 1 ELSE 0 END) AS BIGINT) AS disponibles,
-       CAST(SUM(CASE WHEN NOT disponible THEN 1 ELSE 0 END) AS BIGINT) AS sin_stock,
-       CAST(SUM(CASE WHEN en_promocion THEN 1 ELSE 0 END) AS BIGINT) AS con_sip,
-       {money('avg(CASE WHEN precio_valido THEN precio_regular END)')} AS precio_promedio,
-       round(avg(CASE WHEN en_promocion THEN descuento_tarjeta_sip_pct END), 1)
-         AS descuento_sip_promedio
-FROM base
+WITH {SNAP_CTE}
+SELECT count(*) AS total_productos,
+       count(*) FILTER (WHERE disponible) AS disponibles,
+       count(*) FILTER (WHERE NOT disponible) AS sin_stock,
+       count(*) FILTER (WHERE en_promocion) AS con_sip,
+       {money('avg(precio_regular) FILTER (WHERE precio_valido)')} AS precio_promedio,
+       round(avg(descuento_tarjeta_sip_pct) FILTER (WHERE en_promocion), 1) AS descuento_sip_promedio
+FROM snap WHERE ingesta_date IN (SELECT max(CAST(ts AS DATE)) FROM events)
 """)
 def q_latest_batch_kpis(spark, d):
-    return A.latest_batch_kpis(snapshot(spark, d))
+    return A.latest_batch_kpis(latest_snapshot(spark, d))
 
 
 # --- trends and moves -------------------------------------------------------------------
@@ -88,17 +86,15 @@ def q_top_category_trend(spark, d):
 
 @query("price_movers", sql=f"""
 WITH {SNAP_CTE},
-lagged AS (
-  SELECT productid, productname, categoria_principal, ingesta_date AS fecha,
-         precio_regular AS precio_actual,
-         lag(precio_regular) OVER (PARTITION BY productid ORDER BY ingesta_date) AS precio_anterior
-  FROM snap WHERE precio_valido),
-moves AS (
-  SELECT productid, productname, categoria_principal, fecha, precio_anterior, precio_actual,
-         round(precio_actual - precio_anterior, 2) AS variacion,
-         round((precio_actual - precio_anterior) / precio_anterior * 100, 1) AS variacion_pct
-  FROM lagged WHERE precio_anterior IS NOT NULL AND precio_actual <> precio_anterior)
-SELECT * FROM moves ORDER BY abs(variacion_pct) DESC, productid, fecha LIMIT 15
+priced AS (SELECT * FROM snap WHERE precio_valido)
+SELECT now.productid, now.productname, now.categoria_principal, now.ingesta_date AS fecha,
+       old.precio_regular AS precio_anterior, now.precio_regular AS precio_actual,
+       round(now.precio_regular - old.precio_regular, 2) AS variacion,
+       round(100 * (now.precio_regular - old.precio_regular) / old.precio_regular, 1) AS variacion_pct
+FROM priced now ASOF JOIN priced old
+  ON now.productid = old.productid AND now.ingesta_date > old.ingesta_date
+WHERE now.precio_regular IS DISTINCT FROM old.precio_regular
+ORDER BY abs(variacion_pct) DESC, now.productid, fecha LIMIT 15
 """)
 def q_price_movers(spark, d):
     return A.price_movers(snapshot(spark, d), k=15)
@@ -117,7 +113,7 @@ SELECT categoria_principal,
 FROM base GROUP BY categoria_principal
 """)
 def q_promo_share(spark, d):
-    return A.promo_share_by_category(snapshot(spark, d))
+    return A.promo_share_by_category(latest_snapshot(spark, d))
 
 
 @query("stockout_by_category", sql=f"""
@@ -132,24 +128,22 @@ SELECT categoria_principal,
 FROM base GROUP BY categoria_principal
 """)
 def q_stockout(spark, d):
-    return A.stockout_by_category(snapshot(spark, d))
+    return A.stockout_by_category(latest_snapshot(spark, d))
 
 
 @query("catalog_churn", sql=f"""
 WITH {SNAP_CTE},
-u AS (SELECT max(ingesta_date) AS d FROM snap),
-b AS (SELECT max(ingesta_date) AS d FROM snap WHERE ingesta_date < (SELECT d FROM u)),
-last AS (SELECT * FROM snap WHERE ingesta_date = (SELECT d FROM u)),
-prev AS (SELECT * FROM snap WHERE ingesta_date = (SELECT d FROM b)),
-nuevos AS (SELECT 'Nuevo' AS tipo, productid, categoria_principal FROM last l
-           WHERE NOT EXISTS (SELECT 1 FROM prev p WHERE p.productid = l.productid)),
-gone AS (SELECT 'Descontinuado' AS tipo, productid, categoria_principal FROM prev p
-         WHERE NOT EXISTS (SELECT 1 FROM last l WHERE l.productid = p.productid))
-SELECT tipo, COUNT(*) AS total, COUNT(DISTINCT categoria_principal) AS categorias_afectadas
-FROM (SELECT * FROM nuevos UNION ALL SELECT * FROM gone) GROUP BY tipo
+days AS (SELECT ingesta_date AS d, dense_rank() OVER (ORDER BY ingesta_date DESC) AS back
+         FROM (SELECT DISTINCT ingesta_date FROM snap)),
+seen AS (SELECT productid, any_value(categoria_principal) AS categoria,
+                list_sort(list(back)) AS back
+         FROM snap JOIN days ON ingesta_date = d WHERE back <= 2 GROUP BY productid)
+SELECT CASE WHEN back = [1] THEN 'Nuevo' ELSE 'Descontinuado' END AS tipo, count(*) AS total,
+       count(DISTINCT categoria) AS categorias_afectadas
+FROM seen WHERE len(back) = 1 GROUP BY tipo
 """)
 def q_catalog_churn(spark, d):
-    return A.catalog_churn(snapshot(spark, d))
+    return A.catalog_churn(latest_snapshot(spark, d, 2))
 
 
 # --- scans, projections, casts ----------------------------------------------------------

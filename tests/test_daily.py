@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfwise import schemas as SC
@@ -106,9 +107,98 @@ def test_two_batches_end_to_end_and_rerun(spark, scratch):
     again_moves = sorted(map(tuple, TB.read_table(spark, moves_path).select(
         "productid", F.to_date("fecha").alias("fecha"), "precio_anterior", "precio_actual").collect()))
     assert again_moves == got
-    import pytest
-    with pytest.raises(ValueError):  # a backfill would corrupt the incremental state
-        DY.load_price_moves(spark, lake, "2024-06-01")
+
+
+def moves_of(spark, lake):
+    return sorted(map(tuple, TB.read_table(spark, lake.path("gold/price_moves")).select(
+        "productid", F.to_date("fecha").alias("fecha"), "precio_anterior", "precio_actual").collect()))
+
+
+def test_a_late_batch_loads_and_corrects_the_next_day(spark, scratch):
+    landing, lake = scratch("landing"), DY.Lake(scratch("lake"))
+    write(landing, "2024-06-02", "abarrotes", [product("1", 11.0), product("2", 5.0)])
+    assert DY.run_pending(spark, landing, lake) == ["2024-06-02"]
+    write(landing, "2024-06-01", "abarrotes", [product("1", 10.0), product("3", 4.0)])
+    write(landing, "2024-06-03", "abarrotes", [product("1", 12.0), product("2", 5.0), product("3", 6.0)])
+    assert DY.run_pending(spark, landing, lake) == ["2024-06-01", "2024-06-03"]
+    from shelfwise.plans import analytics as A
+    silver = TB.read_table(spark, lake.silver, SC.SILVER)
+    want = sorted(map(tuple, A.price_moves(silver).select(
+        "productid", "fecha", "precio_anterior", "precio_actual").collect()))
+    assert moves_of(spark, lake) == want and len(want) == 3
+    DY.run_daily_batch(spark, landing, lake, "2024-06-01")  # again, late once more
+    assert moves_of(spark, lake) == want
+
+
+def test_an_unfinished_price_state_is_not_read(spark, scratch):
+    landing, lake = scratch("landing"), DY.Lake(scratch("lake"))
+    write(landing, "2024-06-01", "abarrotes", [product("1", 10.0)])
+    write(landing, "2024-06-02", "abarrotes", [product("1", 11.0)])
+    DY.run_pending(spark, landing, lake)
+    folder = f"{lake.path('gold/last_prices')}/as_of=2024-06-02"
+    os.makedirs(f"{folder}/v000009")  # as a crash in the middle of a write would leave it
+    DY.run_daily_batch(spark, landing, lake, "2024-06-02")
+    assert [(m[0], m[2], m[3]) for m in moves_of(spark, lake)] == [("1", 10.0, 11.0)]
+    assert len(os.listdir(folder)) == 1
+
+
+def test_a_failing_rerun_is_failed_and_does_not_hold_up_others(spark, scratch):
+    landing, lake = scratch("landing"), DY.Lake(scratch("lake"))
+    write(landing, "2024-06-01", "abarrotes", [product("1", 10.0)])
+    DY.run_pending(spark, landing, lake)
+    with open(f"{landing}/batch_id=2024-06-01/abarrotes.json", "w") as f:
+        f.write('[{"productId": "1"')
+    with pytest.raises(Exception):
+        DY.run_daily_batch(spark, landing, lake, "2024-06-01")
+    assert DY.read_control(spark, lake).first().status == "FAILED"
+    write(landing, "2024-06-02", "abarrotes", [product("1", 11.0)])
+    with pytest.raises(DY.PendingBatchesFailed, match="2024-06-01"):
+        DY.run_pending(spark, landing, lake)
+    assert {r.batch_id: r.status for r in DY.read_control(spark, lake).collect()} == {
+        "2024-06-01": "FAILED", "2024-06-02": "COMPLETED"}
+
+
+def test_a_batch_waits_for_all_its_sections(spark, scratch):
+    landing, lake = scratch("landing"), DY.Lake(scratch("lake"))
+    write(landing, "2024-06-01", "abarrotes", [product("1", 10.0)])
+    need = ["abarrotes", "bebidas"]
+    with pytest.raises(DY.PendingBatchesFailed, match="bebidas"):
+        DY.run_pending(spark, landing, lake, expected_sections=need)
+    assert "bebidas" in DY.read_control(spark, lake).first().error_message
+    assert not TB.table_exists(spark, lake.bronze)
+    write(landing, "2024-06-01", "bebidas", [product("2", 3.0)])
+    counts = DY.run_daily_batch(spark, landing, lake, "2024-06-01", expected_sections=need)
+    assert counts == {"bronze": 2, "silver": 2, "fact": 2, "audit": 0}
+
+
+@pytest.mark.parametrize("broken", ['[{"productId": "2"}, {"productId"', "no json at all"])
+def test_a_truncated_file_fails_the_batch(spark, scratch, broken):
+    landing, lake = scratch("landing"), DY.Lake(scratch("lake"))
+    write(landing, "2024-06-01", "abarrotes", [product("1", 10.0)])
+    with open(f"{landing}/batch_id=2024-06-01/bebidas.json", "w") as f:
+        f.write(broken)
+    with pytest.raises(Exception):
+        DY.run_daily_batch(spark, landing, lake, "2024-06-01")
+    assert DY.read_control(spark, lake).first().status == "FAILED"
+
+
+def test_scratch_files_go_when_a_batch_is_done(spark, scratch):
+    from shelfwise.session import checkpoint_root
+    landing, lake = scratch("landing"), DY.Lake(scratch("lake"))
+    write(landing, "2024-06-01", "abarrotes", [product("1", 10.0)])
+    root = checkpoint_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    DY.run_pending(spark, landing, lake)
+    left = {n for n in set(os.listdir(root)) - before if not n.startswith("lake-")}
+    assert left == set()
+
+
+def test_daily_reads_are_pruned_to_the_day(spark, scratch):
+    landing, lake = scratch("landing"), DY.Lake(scratch("lake"))
+    write(landing, "2024-06-01", "abarrotes", [product("1", 10.0)])
+    DY.run_pending(spark, landing, lake)
+    plan = DY.silver_of(spark, lake, "2024-06-01")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingesta_date" in plan
 
 
 def test_failed_batch_is_marked_and_restartable(spark, scratch):
