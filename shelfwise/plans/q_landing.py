@@ -164,6 +164,35 @@ def q_create_or_replace_roundtrip(spark, d):
     return TB.read_table(spark, path)
 
 
+@query("create_table_if_missing", sql="""
+SELECT event_id, user_id, value, strftime(ts, '%Y-%m-%d') AS batch_id,
+       true AS creada_primero, false AS creada_despues
+FROM events
+""")
+def q_create_table_if_missing(spark, d):
+    """An empty typed table made once, filled, and left alone by a second CREATE."""
+    path = scratch_path(spark, "created")
+    rows = _obs_rows(spark, d)
+    first = TB.create_if_missing(spark, path, rows.schema, ["batch_id"])
+    TB.append_table(rows, path, ["batch_id"])
+    again = TB.create_if_missing(spark, path, rows.schema, ["batch_id"])
+    return TB.read_table(spark, path, rows.schema).withColumns(
+        {"creada_primero": F.lit(first), "creada_despues": F.lit(again)})
+
+
+@query("temp_view_sql", sql=f"""
+WITH {SNAP_CTE}
+SELECT categoria_principal, count(*) AS filas, max(precio_regular) AS precio_maximo
+FROM snap WHERE precio_valido GROUP BY categoria_principal HAVING count(*) > 1
+""")
+def q_temp_view_sql(spark, d):
+    """SQL over a temporary view of the snapshot."""
+    snapshot(spark, d).createOrReplaceTempView("snap_view")
+    return spark.sql("""
+        SELECT categoria_principal, count(*) AS filas, max(precio_regular) AS precio_maximo
+        FROM snap_view WHERE precio_valido GROUP BY categoria_principal HAVING count(*) > 1""")
+
+
 MERGE_DAY = "2024-01-15"
 SNAP_OUT = ["productid", "ingesta_date", "batch_id", "precio_regular", "event_id"]
 
