@@ -62,8 +62,14 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b",
     def star(pairs: DataFrame) -> DataFrame:
         return pairs.filter("a > b").distinct()
 
+    def fingerprint(pairs: DataFrame) -> tuple:
+        """The same for the same set of pairs, in one small job."""
+        return tuple(pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")),
+                               F.bit_xor(F.xxhash64(F.lit(1), "a", "b"))).first())
+
     now = materialize(star(edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))),
                       "cc-edges")
+    mark = fingerprint(now)
     for _ in range(max_rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(
@@ -76,12 +82,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b",
         small = star(joined.select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b"))
                      .unionByName(joined.select("a", F.col("m").alias("b"))))
         small = materialize(small, "cc-small")
-        changed = small.join(now, ["a", "b"], "left_anti").limit(1).count() or \
-            small.count() != now.count()
+        before, mark = mark, fingerprint(small)
         drop_scratch(large)
         drop_scratch(now)
         now = small
-        if not changed:
+        if mark == before:
             roots = now.select(F.col("b").alias("node")).distinct()
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
                 roots.select("node", F.col("node").alias("component")))

@@ -7,16 +7,19 @@ the overlap of every two documents.  It is worked out in blocks of columns:
    first n-grams in a global order (rare ones by hash, then frequent ones).
    Two sets over the threshold share one of their first ``n - need + 1``
    n-grams, so only pairs meeting there are entries of the product at all.
-2. Their overlap in the quarter is accumulated; a pair that could not reach the
-   size-derived bound ``t / (1 + t) * (a + b)`` with all remaining columns is
-   discarded.
+2. A pair is discarded when it cannot reach the size-derived bound
+   ``t / (1 + t) * (a + b)``: first by the parities of its n-grams in 256 bins (as
+   many n-grams as there are unequal bins are in one set only), then by their
+   overlap in the quarter, accumulated, plus all remaining columns.
 3. *Remaining block.*  Survivors accumulate the rest and are decided exactly.
 
 Equal sets are one row of the matrix.  Only components are asked for, so pairs
-whose documents are linked through others already are not worked out again: a
-first pass links every document to one other of its leading n-gram, and the
-full product then only takes pairs across the components found.  No pair of
-different components is left out, and no group is expanded into all its pairs.
+whose documents are linked through others already are not worked out again.  A
+first pass tries every document with one other of its leading n-gram; some more
+try, for every n-gram, one document of each component that has it with one of
+them; the full product then takes the pairs across the components found.  No
+pair of different components is left out, and a group of documents that are
+alike is never expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -29,14 +32,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import (chained, connected_components, fresh, require_columns, text_runs,
-                                  word_hashes)
+from shelfwise.llm.common import (chained, connected_components, drop_scratch, fresh, require_columns,
+                                  text_runs, word_hashes)
 from shelfwise.session import materialize
 
 #: Hashes (unsigned) below this are the leading quarter of the columns.
 LEAD = 1 << 62
 #: An n-gram in more documents than this comes last in the global order.
 FREQUENT = 48
+#: Words of 64 bins each in which the parities of a set's n-grams are kept.
+PARITY = [f"p{i}" for i in range(4)]
+#: Passes between components before the full product: they only save work.
+PASSES = 3
 #: Keys that may be broadcast (of 8 bytes); more are joined by shuffling.
 BROADCAST_KEYS = 2_000_000
 
@@ -68,6 +75,12 @@ def _set_id(s: np.ndarray) -> int | None:
     return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64)) if len(s) else None
 
 
+def _parities(s: np.ndarray) -> np.ndarray:
+    """Whether the number of hashes in each of 256 bins is odd, as four words."""
+    odd = np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
+
+
 def prefix_length(n, percent: int):
     """First n-grams of a set of ``n`` of which one is shared with any set that
     is similar enough."""
@@ -76,14 +89,14 @@ def prefix_length(n, percent: int):
 
 def _sketch(k: int, percent: int, id_type: T.DataType):
     """Documents → identifier, set size, set hash, text hash, and once for each
-    set and partition the set's leading hashes in order and how many of them
-    lie in the leading quarter."""
+    set and partition the set's leading hashes in order, how many of them lie in
+    the leading quarter, and the parities."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in text_runs(texts):
-                ns, ids, lead, inside = [], [], [], []
+                ns, ids, lead, inside, odd = [], [], [], [], []
                 for s in shingle_sets(texts[a:b], k):
                     key = _set_id(s)
                     ns.append(len(s))
@@ -91,20 +104,24 @@ def _sketch(k: int, percent: int, id_type: T.DataType):
                     if key is None or key in seen:
                         lead.append(None)
                         inside.append(None)
+                        odd.append((None,) * len(PARITY))
                         continue
                     seen.add(key)
                     q = int(np.searchsorted(s, np.uint64(LEAD)))
                     lead.append(s[:max(q, prefix_length(len(s), percent))].view(np.int64))
                     inside.append(q)
+                    odd.append(_parities(s).tolist())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[a:b], batch.column(2)[a:b], pa.array(ns, pa.int64()),
                      pa.array(ids, pa.int64()), pa.array(lead, pa.list_(pa.int64())),
-                     pa.array(inside, pa.int64())], ["id", "th", "n", "sid", "lead", "inside"])
+                     pa.array(inside, pa.int64()), *[pa.array(x, pa.int64()) for x in zip(*odd)]],
+                    ["id", "th", "n", "sid", "lead", "inside", *PARITY])
 
     return run, T.StructType([
         T.StructField("id", id_type), T.StructField("th", T.LongType()),
         T.StructField("n", T.LongType()), T.StructField("sid", T.LongType()),
-        T.StructField("lead", T.ArrayType(T.LongType())), T.StructField("inside", T.LongType())])
+        T.StructField("lead", T.ArrayType(T.LongType())), T.StructField("inside", T.LongType()),
+        *[T.StructField(p, T.LongType()) for p in PARITY]])
 
 
 def _whole_sets(k: int):
@@ -131,6 +148,16 @@ def _needed(na: Column, nb: Column, percent: int) -> Column:
     return F.ceil(percent * (na + nb) / F.lit(100 + percent))
 
 
+def _possible(na: Column, nb: Column, percent: int) -> Column:
+    """Can sets of these sizes, with their parities as ``p0_a``, ``p0_b``, ..., be
+    similar enough?"""
+    unequal = F.lit(0)
+    for p in PARITY:
+        unequal = unequal + F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b")))
+    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (
+        unequal <= na + nb - 2 * _needed(na, nb, percent))
+
+
 def _semi(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose key is in the written table ``keys``: broadcast up
     to a checked size, else by shuffling."""
@@ -164,20 +191,24 @@ class _Product:
         left = both.filter(most >= _needed(F.col("na"), F.col("nb"), self.percent)) \
             .select("a", "b", "na", "nb")
         left = materialize(left, "ngram-left")
-        rows = left.select(F.col("a").alias("sid")).union(left.select("b")).distinct()
-        texts = materialize(lead.join(rows, "sid", "left_semi").select("th").distinct(), "ngram-texts")
+        named = left.select(F.col("a").alias("sid")).union(left.select("b")).distinct()
+        texts = materialize(lead.join(named, "sid", "left_semi").select("th").distinct(), "ngram-texts")
         run, schema = _whole_sets(self.k)
         whole = _semi(self.docs.select("text", "th"), texts, "th").mapInArrow(run, schema) \
             .dropDuplicates(["sid"])
         whole = materialize(whole, "ngram-whole")
         both = left.join(side(whole, "a", "whole"), "a").join(side(whole, "b", "whole"), "b")
         overlap = F.size(F.array_intersect("whole_a", "whole_b"))
-        return both.filter(100 * overlap >= self.percent * (F.col("na") + F.col("nb") - overlap)) \
-            .select("a", "b")
+        found = materialize(both.filter(
+            100 * overlap >= self.percent * (F.col("na") + F.col("nb") - overlap)).select("a", "b"),
+            "ngram-links")
+        for done in (pairs, rows, lead, left, texts, whole):
+            drop_scratch(done)
+        return found
 
 
 def _leading_entries(sketches: DataFrame, percent: int) -> DataFrame:
-    """(h, sid, n, at): the n-grams among each set's first in the global order,
+    """A written table (h, sid, n, at): the n-grams among each set's first in the global order,
     of those that more than one set or copy has.
 
     The order: n-grams of the leading quarter by hash, the frequent ones of
@@ -201,7 +232,10 @@ def _leading_entries(sketches: DataFrame, percent: int) -> DataFrame:
     at = F.when(F.col("frequent"), F.col("inside") - F.size("late") + behind) \
         .when(in_quarter, F.col("pos") - behind).otherwise(F.col("pos"))
     first = F.expr(f"n - (({percent} * n + 99) div 100) + 1")
-    return ranked.select("h", "sid", "n", at.cast("long").alias("at")).filter(F.col("at") < first)
+    out = materialize(ranked.select("h", "sid", "n", at.cast("long").alias("at"))
+                      .filter(F.col("at") < first), "ngram-entries")
+    drop_scratch(live)
+    return out
 
 
 def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
@@ -224,32 +258,68 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     run, schema = _sketch(k, percent, df.schema[id_col].dataType)
     sketches = materialize(docs.select("id", "text", "th").mapInArrow(run, schema), "ngram-sketches")
     product = _Product(docs, sketches, k, percent)
-    entries = materialize(_leading_entries(sketches, percent), "ngram-entries")
+    entries = _leading_entries(sketches, percent)
+
+    known = materialize(sketches.filter("lead is not null").join(
+        entries.select("sid").distinct(), "sid", "left_semi").select("sid", *PARITY)
+        .dropDuplicates(["sid"]), "ngram-parities")
+
+    def named(side: str, *cols: str) -> list[Column]:
+        return [F.col(c).alias(f"{c}_{side}") for c in cols]
 
-    # First pass: every set with the smallest one that has the same first shared n-gram.
+    # First pass: every set with the smallest one of the same first shared n-gram.
     first = entries.groupBy("sid").agg(F.min_by("h", "at").alias("h"), F.first("n").alias("n"))
-    heads = first.groupBy(F.col("h").alias("p_h")).agg(
-        F.min("sid").alias("a"), F.min_by("n", "sid").alias("na"))
-    near = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    seeds = first.join(heads, F.col("h") == F.col("p_h")).filter("sid <> a").select(
-        "a", F.col("sid").alias("b"), "na", F.col("n").alias("nb")).filter(near)
-    seed_links = materialize(product.links(seeds), "ngram-seeds")
-    so_far = materialize(connected_components(seed_links), "ngram-so-far")
-
-    # Full product over the leading block, across the components found.
-    placed = entries.join(so_far, F.col("sid") == F.col("node"), "left").select(
-        "h", "sid", "n", F.coalesce("component", "sid").alias("c"))
-    placed = materialize(placed, "ngram-placed")
-    mixed = placed.groupBy(F.col("h").alias("m_h")).agg(F.min("c").alias("lo"), F.max("c").alias("hi")) \
-        .filter("lo <> hi").select("m_h")
-    open_ = placed.join(mixed, F.col("h") == F.col("m_h"), "left_semi")
-    left = open_.select("h", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    right = open_.select(F.col("h").alias("h2"), F.col("sid").alias("b"), F.col("n").alias("nb"),
-                         F.col("c").alias("cb"))
-    pairs = left.join(right, (F.col("h") == F.col("h2")) & (F.col("a") < F.col("b"))
-                      & (F.col("ca") != F.col("cb")) & near).select("a", "b", "na", "nb").distinct()
-    links = seed_links.unionByName(product.links(pairs))
-    groups = connected_components(links)
+    first = first.join(known, "sid")
+    heads = first.groupBy("h").agg(F.min("sid").alias("sid"))
+    heads = first.join(heads.select(F.col("sid").alias("head")), F.col("sid") == F.col("head"), "left_semi")
+    possible = _possible(F.col("n_a"), F.col("n_b"), percent)
+    seeds = heads.select(*named("a", "h", "sid", "n", *PARITY)).join(
+        first.select(*named("b", "h", "sid", "n", *PARITY)),
+        (F.col("h_a") == F.col("h_b")) & (F.col("sid_a") != F.col("sid_b")) & possible).select(
+        F.col("sid_a").alias("a"), F.col("sid_b").alias("b"), F.col("n_a").alias("na"),
+        F.col("n_b").alias("nb"))
+    groups = materialize(connected_components(product.links(seeds)), "ngram-groups")
+
+    def open_entries() -> DataFrame:
+        """Entries of the n-grams that several components have, with their component ``c``."""
+        placed = materialize(entries.join(groups, F.col("sid") == F.col("node"), "left").select(
+            "h", "sid", "n", F.coalesce("component", "sid").alias("c")), "ngram-placed")
+        mixed = placed.groupBy(F.col("h").alias("m_h")).agg(
+            F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("m_h")
+        out = materialize(placed.join(mixed, F.col("h") == F.col("m_h"), "left_semi"), "ngram-open")
+        drop_scratch(placed)
+        return out
+
+    def joined(left: DataFrame, right: DataFrame, which: Column) -> DataFrame:
+        """Pairs with a common n-gram that ``which`` holds for and that are possible."""
+        return left.join(known, "sid").select(*named("a", "h", "sid", "n", "c", *PARITY)).join(
+            right.join(known, "sid").select(*named("b", "h", "sid", "n", "c", *PARITY)),
+            (F.col("h_a") == F.col("h_b")) & which & (F.col("c_a") != F.col("c_b")) & possible).select(
+            F.col("sid_a").alias("a"), F.col("sid_b").alias("b"), F.col("n_a").alias("na"),
+            F.col("n_b").alias("nb")).distinct()
+
+    def grown(more: DataFrame) -> DataFrame:
+        so_far = groups.filter("node <> component").select(
+            F.col("node").alias("a"), F.col("component").alias("b"))
+        return materialize(connected_components(so_far.unionByName(more)), "ngram-groups")
+
+    # Between components: one of each, picked anew in each pass, with one of the n-gram.
+    for turn in range(PASSES):
+        entry = open_entries()
+        pick = F.xxhash64(F.lit(turn), "sid")
+        ones = entry.groupBy("h", "c").agg(F.min_by(F.struct("sid", "n"), pick).alias("one")) \
+            .select("h", "c", "one.*")
+        heads = ones.groupBy("h").agg(F.min_by(F.struct("sid", "n", "c"), pick).alias("one")) \
+            .select("h", "one.*")
+        more = product.links(joined(heads, ones, F.lit(True)))
+        drop_scratch(entry)
+        if more.isEmpty():
+            break
+        groups = grown(more)
+
+    # The full product, across the components found.
+    entry = open_entries()
+    groups = grown(product.links(joined(entry, entry, F.col("sid_a") < F.col("sid_b"))))
 
     rows = sketches.select("id", "n", "sid", "th")
     classed = rows.join(groups, F.col("sid") == F.col("node"), "left").select(
