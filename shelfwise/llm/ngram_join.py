@@ -8,7 +8,7 @@ the overlap of every two documents.  It is worked out in blocks of columns:
    Two sets over the threshold share one of their first ``n - need + 1``
    n-grams, so only pairs meeting there are entries of the product at all.
 2. A pair is discarded when it cannot reach the size-derived bound
-   ``t / (1 + t) * (a + b)``: first by the parities of its n-grams in 256 bins (as
+   ``t / (1 + t) * (a + b)``: first by the parities of its n-grams in 512 bins (as
    many n-grams as there are unequal bins are in one set only), then by their
    overlap in the quarter, accumulated, plus all remaining columns.
 3. *Remaining block.*  Survivors accumulate the rest and are decided exactly.
@@ -41,7 +41,7 @@ LEAD = 1 << 62
 #: An n-gram in more documents than this comes last in the global order.
 FREQUENT = 48
 #: Words of 64 bins each in which the parities of a set's n-grams are kept.
-PARITY = [f"p{i}" for i in range(4)]
+PARITY = [f"p{i}" for i in range(8)]
 #: Passes between components before the full product: they only save work.
 PASSES = 3
 #: Keys that may be broadcast (of 8 bytes); more are joined by shuffling.
@@ -76,8 +76,9 @@ def _set_id(s: np.ndarray) -> int | None:
 
 
 def _parities(s: np.ndarray) -> np.ndarray:
-    """Whether the number of hashes in each of 256 bins is odd, as four words."""
-    odd = np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    """Whether the number of hashes in each bin is odd, as words of 64 bins."""
+    bins = 64 * len(PARITY)
+    odd = np.bincount((s % np.uint64(bins)).astype(np.int64), minlength=bins) & 1
     return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
 
 
