@@ -76,7 +76,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) \
         or context.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        if not context.master.startswith("local["):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
         spark.conf.set("spark.checkpoint.dir", root)
