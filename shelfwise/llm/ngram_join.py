@@ -243,7 +243,8 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
                        percent: int = 80) -> DataFrame:
     """One row for each row of ``df``: its identifier, ``n_shingles`` (size of
     its set of ``k``-word shingles), ``component_id`` (smallest identifier
-    reachable over links) and ``text_hash`` (xxhash64 of its text).
+    reachable over links), ``group`` (a number for its component, null for an
+    empty set) and ``text_hash`` (xxhash64 of its text).
 
     Two documents are linked when 100 * intersection >= ``percent`` * union of
     their sets; the decision is exact but for 64-bit hashes standing for
@@ -331,18 +332,22 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     out = classed.join(least, F.col("class") == F.col("l_class"), "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                       F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("least"))
-                      .alias("component_id"), F.col("th").alias("text_hash"))
+                      .alias("component_id"), F.col("class").alias("group"), F.col("th").alias("text_hash"))
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
              percent: int = 80) -> DataFrame:
     """Rows of ``df`` with one row of each component left: one with its smallest
-    identifier.  Rows with an empty set all stay.  Columns stay as they are.
+    identifier (null after all others).  Rows with an empty set all stay.
+    Columns stay as they are.
     """
     found = materialize(similar_components(df, id_col, text_col, k, percent), "ngram-found")
     c, t = fresh(df, "kept_id", "kept_hash")
-    keep = found.filter(F.col("n_shingles") > 0).filter(F.col(id_col).eqNullSafe(F.col("component_id"))) \
-        .groupBy(F.col("component_id").alias(c)).agg(F.min("text_hash").alias(t))
+    # by group, not by identifier: different texts may share one, or have none
+    first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias(c),
+                           F.col("text_hash").alias(t))).alias("first")
+    keep = found.filter("group is not null").groupBy("group").agg(first).select(
+        f"first.{c}", f"first.{t}")
     nothing = found.filter(F.col("n_shingles") == 0).select(
         F.col(id_col).alias(c), F.col("text_hash").alias(t)).distinct()
     here = (F.col(id_col).eqNullSafe(F.col(c))) & (F.xxhash64(text_col) == F.col(t))

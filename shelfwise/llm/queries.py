@@ -71,7 +71,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 4-word shingles are alike to 85 %."""
     return ngram_join.similar_components(documents(spark, sf_dir), k=4, percent=85) \
-        .drop("text_hash")
+        .drop("group", "text_hash")
 
 
 @query("op4_source_mix")

@@ -80,7 +80,7 @@ def test_join_against_brute_force(rows, k, percent):
     data = [(i, t) for i, t in enumerate(texts)]
     data += [(None, texts[0] or "some words alone"), (None, "nobody has these words at all"), (3, texts[3])]
     df = rows("doc_id long, text string, th string, n string", [(*d, "x", "y") for d in data], 5)
-    out = ngram_join.similar_components(df, k=k, percent=percent).drop("text_hash").collect()
+    out = ngram_join.similar_components(df, k=k, percent=percent).drop("group", "text_hash").collect()
     assert sorted(map(tuple, out), key=str) == joined_by_hand(data, k, percent)
 
 
@@ -88,11 +88,13 @@ def test_one_of_each_stays(rows):
     r = random.Random(9)
     group = near_copies(r, 6, words=120, changes=1)
     data = [(i, t, "x") for i, t in enumerate(group)] + [(10, "alone in the world here", "x")]
-    data += [(11, "", "x"), (12, None, None), (12, None, None), (0, group[0], "x"), (None, "no id at all", "x")]
+    data += [(11, "", "x"), (12, None, None), (12, None, None), (0, group[0], "x"), (None, "no id at all", "x"),
+             (None, "another one without an id", "x"), (10, "the same id and quite another text", "x")]
     df = rows("doc_id long, text string, kept_id string", data)
     out = ngram_join.keep_one(df)
     assert out.columns == df.columns
-    assert sorted((x["doc_id"] for x in out.collect()), key=str) == [0, 10, 11, 12, 12, None]
+    assert sorted((x["doc_id"] for x in out.collect()), key=str) == \
+        [0, 10, 10, 11, 12, 12, None, None]
     assert ngram_join.keep_one(df.limit(0)).count() == 0
 
 
