@@ -1,10 +1,10 @@
 """Quality rules with risk-controlled cutoffs.
 
 Rules are cutoffs on ratios of a text (symbols to words, repeated lines to
-lines, ...).  Labelled holdout documents choose them: for each stratum and
-feature the sharpest cutoff of a fixed ladder for which an exact binomial test
-shows that good documents are rejected less often than allowed, corrected for
-all the tests made.  Where the labels are too few to show it, nothing is cut.
+lines, ...).  Labelled holdout documents choose them: for each stratum the
+sharpest of a sequence of rule sets for which exact binomial tests show that
+good documents are rejected less often than allowed by all rules together.
+Where the labels are too few to show it, nothing is cut.
 
 Only DataFrame functions are used: counting, testing and choosing are joins and
 aggregates, and texts are measured row by row inside the JVM.
@@ -121,32 +121,72 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
 def choose_cutoffs(labelled: DataFrame, stratum: str, good: str = "good",
                    max_false: float = 0.02, confidence: float = 0.95,
                    ladders: Mapping[str, Sequence[float]] = LADDERS) -> DataFrame:
-    """One row for each stratum of ``labelled`` (a row for each labelled
-    document: the stratum, ``good``, and the features): the stratum and a
-    column for each feature with its cutoff, null where none could be shown.
+    """One row for each stratum of ``labelled`` that has good documents (a row
+    for each document: the stratum, ``good``, and the features): the stratum and
+    a column for each feature with its cutoff, null where none could be shown.
 
     With the given confidence, for all strata at once, at most ``max_false`` of
-    a stratum's good documents fall to all the rules together: each feature may
-    take an equal part of that, and each (stratum, feature, cutoff) is tested at
-    ``1 - confidence`` divided by the number of tests (Bonferroni).  Rows with a
-    null label are left out.
+    a stratum's good documents fall to all the rules together.  Each stratum has
+    a path of rule sets, every one with one more cutoff than the last and a
+    feature's cutoffs from mild to sharp; the sets are tested in turn for what
+    all their rules reject together, and the last one before the first that
+    fails is taken.  Such a fixed sequence needs no correction for its length,
+    so the level is ``1 - confidence`` over the number of strata.  Strata in
+    which no false rejection at all would still show nothing are not tested.
+
+    The order of the path has to be known without the good documents: cutoffs
+    that catch many bad ones for all those not known to be good that they reject
+    come first, then the order of ``ladders``.  Rows with a null label count for
+    that order only.
     """
-    per_rule = max_false / len(ladders)
-    sums = [F.sum(F.when(F.col(f) > c, 1).otherwise(0)).alias(f"{f}__{i}")
-            for f, cuts in ladders.items() for i, c in enumerate(cuts)]
-    counts = labelled.filter(F.col(good) == 1).groupBy(stratum).agg(F.count("*").alias("n"), *sums)
-    steps = sum(map(len, ladders.values()))
-    tests = counts.withColumn("tests", F.count("*").over(Window.partitionBy()) * steps)
-    level = (1 - confidence) / F.col("tests")
-
-    def cutoff(f: str, cuts: Sequence[float]) -> Column:
-        def shown(i: int) -> Column:
-            k = F.col(f"{f}__{i}")
-            # more rejected than allowed cannot pass; their tail is not worked out
-            return (k <= per_rule * F.col("n")) & (binomial_tail(k, F.col("n"), per_rule) <= level)
-        return F.coalesce(*[F.when(shown(i), F.lit(float(c))) for i, c in enumerate(cuts)]).alias(f)
-
-    return tests.select(stratum, *[cutoff(f, cuts) for f, cuts in ladders.items()])
+    steps = [(f, float(c)) for f, cuts in ladders.items() for c in reversed(cuts)]
+    places = {f: [i for i, (g, _) in enumerate(steps) if g == f] for f in ladders}
+    firsts = {f: f"{f}__first" for f in ladders}  # the mildest step of the feature that rejects
+    label = F.when(F.col(good) == 1, 1).when(F.col(good).isNotNull(), 0)
+    groups = labelled.select(F.col(stratum).alias("g_stratum"), label.alias("g_good"), *[
+        F.coalesce(*[F.when(F.col(f) > steps[i][1], F.lit(i)) for i in at]).alias(firsts[f])
+        for f, at in places.items()])
+    groups = materialize(groups.groupBy(*groups.columns).agg(F.count("*").alias("rows")),
+                         "quality-groups")
+
+    def rows(which: Column) -> Column:
+        return F.coalesce(F.sum(F.when(which, F.col("rows"))), F.lit(0))
+
+    def worth(i: int) -> Column:
+        here = F.col(firsts[steps[i][0]]) == i
+        return rows(here & (F.col("g_good") == 0)) / F.greatest(
+            rows(here & ~F.col("g_good").eqNullSafe(1)), F.lit(1))
+
+    strata = groups.groupBy(F.col("g_stratum").alias("p_stratum")).agg(
+        rows(F.col("g_good") == 1).alias("n"),
+        F.array(*[worth(i) for i in range(len(steps))]).alias("worth")).filter("n > 0")
+    # a mild step is worth as much as the best of the sharper ones behind it
+    ranks = [F.struct((-F.array_max(F.slice("worth", i + 1, places[f][-1] - i + 1))).alias("w"),
+                      F.lit(i).alias("i")) for i, (f, _) in enumerate(steps)]
+    strata = strata.withColumn("path", F.transform(F.sort_array(F.array(*ranks)), lambda x: x["i"]))
+    # one row a stratum: as many of the largest as can show something at their common level
+    strata = strata.withColumn("nth", F.count("*").over(Window.orderBy(F.desc("n"))))
+    able = F.when(F.col("n") * math.log1p(-max_false) <= F.log((1 - confidence) / F.col("nth")),
+                  F.col("nth"))
+    strata = strata.withColumn("tested", F.max(able).over(Window.partitionBy()))
+
+    at_step = F.array_min(F.array(*[F.array_position("path", F.col(c)) for c in firsts.values()]))
+    counts = groups.filter("g_good = 1").join(
+        strata, F.col("g_stratum").eqNullSafe(F.col("p_stratum"))).withColumn("at_step", at_step)
+    counts = counts.groupBy("p_stratum", "n", "path", "nth", "tested").agg(F.array(*[
+        rows(F.col("at_step") <= k) for k in range(1, len(steps) + 1)]).alias("rejected"))
+    level = (1 - confidence) / F.col("tested")
+
+    def shown(k: Column) -> Column:
+        # more rejected than allowed cannot pass; their tail is not worked out
+        return F.when(k <= max_false * F.col("n"), binomial_tail(k, F.col("n"), max_false) <= level) \
+            .otherwise(False)
+    # sets only grow along the path, so those that pass are its beginning
+    done = F.when(F.col("nth") <= F.col("tested"), F.size(F.filter("rejected", shown))).otherwise(0)
+    counts = counts.withColumn("done", done)
+    return counts.select(F.col("p_stratum").alias(stratum), *[F.coalesce(*[
+        F.when(F.array_position("path", F.lit(i)) <= F.col("done"), F.lit(steps[i][1]))
+        for i in reversed(at)]).alias(f) for f, at in places.items()])
 
 
 def apply_rules(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -156,7 +196,7 @@ def apply_rules(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     ``base_failed`` and ``kept``.
 
     Cutoffs are chosen on the documents of ``labels`` (identifier, label 0 or 1)
-    that pass the base rules.  A stratum without labels of its own has no
+    that pass the base rules (see :func:`choose_cutoffs`).  A stratum without labels of its own has no
     cutoffs.  A null stratum is a stratum; null identifiers match no label; a
     document with several labels counts as good only if all say so.  Null and
     empty texts fail the base rules.  Repeated rows are rows of their own, and
@@ -171,7 +211,10 @@ def apply_rules(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
 
     one = labels.filter(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("l_id")).agg(
         F.min(label_col).alias("good"))
-    held = scored.filter(~F.col("base_failed")).join(one, F.col("id") == F.col("l_id"))
+    passed = scored.filter(~F.col("base_failed"))
+    held = passed.filter("id is not null").join(one, F.col("id") == F.col("l_id"), "left").drop("l_id")
+    # null identifiers would all meet in one task of the join
+    held = held.unionByName(passed.filter("id is null"), allowMissingColumns=True)
     cutoffs = choose_cutoffs(held, "stratum", "good", max_false, confidence)
     cutoffs = materialize(cutoffs.select(F.col("stratum").alias("c_stratum"), *[
         F.col(f).alias(f"cut_{f}") for f in LADDERS]), "quality-cutoffs")

@@ -146,6 +146,42 @@ def test_false_rejections_stay_below_the_limit(rows):
     assert wrong <= 1
 
 
+def test_few_labels_are_enough(rows):
+    """Strata of some hundred good labels get cutoffs, and small ones do not
+    take them from the others."""
+    data = [(s, 1, 0.0, 0.001 * (i % 5)) for s in "abcd" for i in range(250)]
+    data += [(s, 0, 0.3, 0.0) for s in "abcd" for _ in range(30)]
+    data += [(f"small {i}", 1, 0.0, 0.0) for i in range(300)]
+    ladders = {"g": (0.002, 0.5), "f": (0.1, 0.2, 0.6)}
+    out = quality_rules.choose_cutoffs(rows("s string, good int, f double, g double", data), "s",
+                                       ladders=ladders).collect()
+    got = {x["s"]: (x["g"], x["f"]) for x in out}
+    assert len(got) == 304
+    # f > 0.2 catches the bad ones and so comes first; g > 0.002 would cost 100 good ones
+    assert all(got[s] == (0.5, 0.2) for s in "abcd")
+    assert all(got[f"small {i}"] == (None, None) for i in range(300))
+
+
+def test_rules_together_keep_the_risk(rows):
+    """Each of two rules alone would pass, both together would not."""
+    data = [("a", 1, float(i < 9), float(9 <= i < 18)) for i in range(1000)] + [("a", 0, 1.0, 0.0)]
+    out = quality_rules.choose_cutoffs(rows("s string, good int, f double, g double", data), "s",
+                                       ladders={"g": (0.5,), "f": (0.5,)}).first()
+    assert (out["f"], out["g"]) == (0.5, None)
+
+
+def test_bad_documents_of_every_language_go(spark):
+    """The given tables: all four languages have labels enough."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    out = quality_rules.apply_rules(docs, labels).join(labels, "doc_id").filter("not base_failed")
+    got = {(r["lang"], r["quality"]): (r["n"], r["gone"]) for r in out.groupBy("lang", "quality").agg(
+        F.count("*").alias("n"), F.sum((~F.col("kept")).cast("int")).alias("gone")).collect()}
+    for lang in ("de", "en", "es", "fr"):
+        (n_bad, bad), (n_good, good) = got[lang, 0], got[lang, 1]
+        assert bad >= 0.9 * n_bad and good <= 0.02 * n_good
+
+
 def test_rules_on_odd_rows(rows):
     docs = [(1, "w " * 20, "en", "x"), (2, None, "en", None), (None, "", None, "x"), (4, "a b c d e " * 9, "de", "x"),
             (5, "one two three four five six seven eight nine ten", None, "x")]
