@@ -29,8 +29,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without the boilerplate lines of their source."""
-    return line_dedup.drop_boilerplate(docs, "source").select(*docs.columns)
+    """The documents without the boilerplate lines of their source.  Copies count
+    once, and documents that are mostly such lines stay whole: they are copies,
+    of which the next stage keeps one."""
+    return line_dedup.drop_boilerplate(docs, "source", distinct_pages=True, max_part=0.5) \
+        .select(*docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

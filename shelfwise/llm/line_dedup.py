@@ -33,7 +33,8 @@ def line_keys(text: Column) -> Column:
 
 
 def drop_boilerplate(df: DataFrame, host: Column | str = "source", text_col: str = "text",
-                     max_ratio: float = 0.02, min_pages: int = 5) -> DataFrame:
+                     max_ratio: float = 0.02, min_pages: int = 5, distinct_pages: bool = False,
+                     max_part: float = 1.0) -> DataFrame:
     """Rows of ``df`` with boilerplate lines taken from ``text_col``, and the
     columns ``n_lines`` (lines that hold anything) and ``n_dropped`` (of those,
     the lines taken).
@@ -44,7 +45,10 @@ def drop_boilerplate(df: DataFrame, host: Column | str = "source", text_col: str
     are.  A text of which nothing is left is empty, not null.
 
     A null host is a host; a null text is a page without lines and stays null.
-    Repeated rows are pages of their own.  Empty input gives an empty table.
+    Repeated rows are pages of their own, or with ``distinct_pages`` equal texts
+    of a host are one page together.  A page of whose characters, white space
+    around lines aside, boilerplate makes up more than ``max_part`` is taken for
+    a copy of others and stays whole.  Empty input gives an empty table.
     Existing columns ``n_lines`` and ``n_dropped`` are replaced; all others stay.
     """
     require_columns(df, [text_col])
@@ -55,10 +59,19 @@ def drop_boilerplate(df: DataFrame, host: Column | str = "source", text_col: str
     pages = df.withColumn(hc, F.xxhash64(host.cast("string"), host.isNull())) \
         .withColumn(k1, F.xxhash64(text_col)).withColumn(k2, F.xxhash64(F.lit(1), F.col(text_col)))
 
-    totals = pages.groupBy(F.col(hc).alias("t_host")).agg(F.count("*").alias("pages"))
+    each = pages.select(hc, k1, k2)
+    totals = (each.distinct() if distinct_pages else each).groupBy(F.col(hc).alias("t_host")).agg(
+        F.count("*").alias("pages"))
     lines = pages.select(hc, k1, k2, F.explode(line_keys(F.col(text_col))).alias("key")) \
         .select(F.col(hc).alias("host"), F.col(k1).alias("p1"), F.col(k2).alias("p2"), "key.*")
-    counts = lines.groupBy("host", "h1", "h2").agg(F.count("*").alias("n")) \
+    counted = lines
+    if distinct_pages:
+        # copies are combined before the shuffle, which carries hashes only
+        bodies = pages.select(hc, k1, k2, line_keys(F.col(text_col)).alias("keys")) \
+            .groupBy(hc, k1, k2).agg(F.first("keys").alias("keys"))
+        counted = bodies.select(F.col(hc).alias("host"), F.explode("keys").alias("key")) \
+            .select("host", "key.*")
+    counts = counted.groupBy("host", "h1", "h2").agg(F.count("*").alias("n")) \
         .filter(F.col("n") >= min_pages)
     frequent = counts.join(totals, F.col("host") == F.col("t_host")) \
         .filter(F.col("n") > F.lit(max_ratio) * F.col("pages")) \
@@ -76,6 +89,11 @@ def drop_boilerplate(df: DataFrame, host: Column | str = "source", text_col: str
 
     every = F.split(F.col(text_col), "\n")
     kept = F.filter(every, lambda x: ~F.array_contains(F.col(bad), _line_key(x)) | (F.trim(x) == ""))
+    if max_part < 1:
+        def chars(lines: Column) -> Column:
+            return F.aggregate(lines, F.lit(0).cast("long"), lambda a, x: a + F.length(F.trim(x)))
+        joined = joined.withColumn(bad, F.when(
+            F.col(bad).isNotNull() & (chars(kept) >= (1 - max_part) * chars(every)), F.col(bad)))
     full = F.when(F.col(text_col).isNull(), 0).otherwise(
         F.size(F.filter(every, lambda x: F.trim(x) != "")))
     text = F.when(F.col(bad).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))

@@ -112,6 +112,18 @@ def test_lines_keep_other_columns(rows):
     assert line_dedup.drop_boilerplate(df.limit(0), "host").count() == 0
 
 
+def test_copies_count_once_and_stay_whole(rows):
+    data = [(i, "a", f"own {i}\nmenu") for i in range(20)]
+    data += [(100 + i, "a", "one\ntwo\nmenu") for i in range(30)]  # copies, one page together
+    data += [(200 + i, "a", f"a long line in all of them\nshort {i}") for i in range(10)]
+    out = line_dedup.drop_boilerplate(rows("doc_id long, source string, text string", data), "source", "text",
+                                      0.3, 5, distinct_pages=True, max_part=0.6).collect()
+    got = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in out}
+    assert len(out) == 60 and all(got[i] == (f"own {i}", 1) for i in range(20))
+    assert all(got[100 + i] == ("one\ntwo", 1) for i in range(30))
+    assert all(got[200 + i] == (f"a long line in all of them\nshort {i}", 0) for i in range(10))
+
+
 def test_host_of(rows):
     data = [("http://www.A.example.com/x?y",), ("https://b.example.org",), ("nothing",), (None,)]
     got = {r[0]: r[1] for r in rows("u string", data).select(

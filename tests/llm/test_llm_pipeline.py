@@ -51,3 +51,25 @@ def test_stages_on_odd_documents(spark, rows):
             docs = stage(spark, docs, SF).cache()
             docs.count()
     assert len(corpus_pipeline.STAGES) == 5
+
+
+@pytest.mark.parametrize("near", [False, True])
+def test_one_of_many_copies_keeps_its_text(spark, near):
+    """A third of a source is one document and copies of it: one comes out, whole."""
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    words = [f"w{i}" for i in range(160)]
+
+    def copy(i):
+        some = list(words)
+        if near:
+            some[i * 7 % 160] = f"other{i}"
+        return "\n".join(" ".join(some[a:a + 20]) for a in range(0, 160, 20))
+    data = [(i, copy(i), "en", "a", 1) for i in range(60)]
+    data += [(i, "\n".join(f"text {i} line {k} " + " ".join(f"v{i}x{k}x{j}" for j in range(9))
+                           for k in range(5)) + "\nall rights reserved", "en", "a", 1) for i in range(60, 180)]
+    docs = spark.createDataFrame(data, schema).repartition(4)
+    for name, stage in corpus_pipeline.STAGES[1:3]:
+        docs = stage(spark, docs, SF).cache()
+    out = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert set(out) == {0, *range(60, 180)} and out[0] == copy(0)
+    assert not any("rights" in t for t in out.values())  # boilerplate goes as before
