@@ -37,26 +37,30 @@ def _byte_letters() -> dict[str, int]:
 
 
 @cache
-def encoder(path: str) -> Callable[[str], bytes]:
+def encoder(path: str, added: bool = False) -> Callable[[str], bytes]:
     """Text → token ids as little-endian unsigned 32-bit numbers, for a
     byte-level BPE in a ``tokenizers`` file.
 
     The file's vocabulary is run by ``tiktoken``, which gives the same ids (the
-    tests compare them) in a third of the time.  Strings of special tokens are
-    ordinary text.
+    tests compare them) in a third of the time.  Strings of added tokens are
+    ordinary text, or with ``added`` those tokens, as ``tokenizers`` has it if
+    not told otherwise.
     """
     import tiktoken
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     if spec["pre_tokenizer"]["type"] != "ByteLevel" or spec["model"]["type"] != "BPE":
         raise ValueError(f"{path} is no byte-level BPE")
-    special = {t["content"] for t in spec["added_tokens"]}
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    if any(t[k] for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip")):
+        raise ValueError(f"{path} has added tokens that take more than their own string")
     letters = _byte_letters()
     ranks = {bytes(letters[c] for c in w): i for w, i in spec["model"]["vocab"].items()
              if w not in special}
     core = tiktoken.Encoding("file", pat_str=WORDS, mergeable_ranks=ranks,
-                             special_tokens={})._core_bpe
-    return lambda text: bytes(core.encode_to_tiktoken_buffer(text, set()))
+                             special_tokens=special if added else {})._core_bpe
+    allowed = set(special) if added else set()
+    return lambda text: bytes(core.encode_to_tiktoken_buffer(text, allowed))
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -71,14 +75,14 @@ def token_pieces(df: DataFrame, tokenizer_path: str, capacity: int = 2048,
     """Every document's tokens and one ``end_id``, cut into pieces of at most
     ``capacity``: ``id, piece, start, length, ids_crc32, ids``.
 
-    A null text counts as empty and gives one piece of the end token alone.
+    Strings of the file's added tokens are those tokens.  A null text counts as empty and gives one piece of the end token alone.
     """
     require_columns(df, [id_col, text_col])
     id_type = df.schema[id_col].dataType
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path)
+        encode = encoder(tokenizer_path, True)
         for batch in batches:
             rows, total = [], 0
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):

@@ -65,6 +65,19 @@ def test_ids_equal_the_tokenizers_own():
         assert np.frombuffer(encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_as_the_tokenizer_has_them(rows):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(tokenizer_file())
+    texts = ["<|endoftext|>", "a <|endoftext|> b", "x  <|endoftext|>\n\n y", "<|endoftext|><|endoftext|>z",
+             "<|endoftext", "a  \t<|endoftext|>é"]
+    want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    encode = packing.encoder(tokenizer_file(), True)
+    assert [np.frombuffer(encode(x), "<u4").tolist() for x in texts] == want
+    out = packing.token_pieces(rows("doc_id long, text string", list(enumerate(texts))), tokenizer_file())
+    got = {r["id"]: np.frombuffer(r["ids"], "<u4").tolist()[:-1] for r in out.collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
 @pytest.mark.parametrize("n, want", [(1, [(0, 1)]), (8, [(0, 8)]), (9, [(0, 1), (1, 8)]),
                                      (17, [(0, 1), (1, 8), (9, 8)]), (16, [(0, 8), (8, 8)])])
 def test_cut(n, want):
