@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import (embedding_dedup, fill_in_middle, html_extract, language_id, line_dedup, mixing, ngram_join,
+from shelfwise.llm import (cost_packing, embedding_dedup, fill_in_middle, html_extract, language_id, line_dedup, mixing, ngram_join,
                            packing, pii_crf, quality_rules, sharding)
 from shelfwise.llm.common import documents
 
@@ -166,3 +166,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
                        F.sha2("output", 256).alias("output_sha256"),
                        F.sha2(back, 256).alias("restored_sha256"))
+
+
+@query("op12_cost_packing")
+def op12_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2,048 tokens without padding, with
+    balanced attention cost."""
+    return cost_packing.pack_balanced(documents(spark, sf_dir), tokenizer_file(), 2048).drop("cost")
