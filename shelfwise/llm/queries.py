@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import (cost_packing, embedding_dedup, fill_in_middle, html_extract, language_id, line_dedup, mixing, ngram_join,
-                           packing, pii_crf, quality_rules, sharding)
+from shelfwise.llm import (conversation_trie, cost_packing, embedding_dedup, fill_in_middle,
+                           html_extract, language_id, line_dedup, mixing, ngram_join, packing, pii_crf,
+                           quality_rules, sharding)
 from shelfwise.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,3 +174,37 @@ def op12_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2,048 tokens without padding, with
     balanced attention cost."""
     return cost_packing.pack_balanced(documents(spark, sf_dir), tokenizer_file(), 2048).drop("cost")
+
+
+@query("op13_conversation_trie", """
+WITH t AS (SELECT conv_id AS c, length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS x,
+                  strlen(coalesce(text, '')) AS bytes, row_number() OVER (
+                    PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                    md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS i
+           FROM conversations WHERE conv_id IS NOT NULL),
+v AS (SELECT DISTINCT c, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+               list_transform(string_split(c::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+               lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda p, q:
+                 CASE WHEN p & 1 = 1 THEN xor(p >> 1, 3988292384) ELSE p >> 1 END))) % 9 AS h FROM t),
+o AS (SELECT v.c, t.i AS pos, t.x, t.bytes FROM v JOIN t ON t.c = v.c - v.c % 5 AND t.i < v.h),
+s AS (SELECT v.c, v.h - count(o.c) AS up FROM v LEFT JOIN o USING (c) GROUP BY v.c, v.h),
+r AS (SELECT * FROM o UNION ALL
+      SELECT t.c, t.i - s.up, t.x, t.bytes FROM t JOIN v USING (c) JOIN s USING (c) WHERE t.i >= v.h),
+m AS (SELECT c, 0 AS d, '' AS k, '' AS pk, 0 AS bytes FROM v UNION ALL
+      SELECT c, pos + 1, k, coalesce(lag(k) OVER (PARTITION BY c ORDER BY pos), ''), bytes
+      FROM (SELECT c, pos, bytes, md5(string_agg(md5(x), '') OVER (PARTITION BY c ORDER BY pos)) AS k FROM r)),
+z AS (SELECT c, max(d) AS d FROM m GROUP BY c),
+n AS (SELECT m.d, m.k, any_value(m.pk) AS pk, min(m.c) AS c, count(*) AS n, any_value(m.bytes) AS bytes,
+             coalesce(string_agg(m.c::VARCHAR, ',' ORDER BY m.c) FILTER (z.d = m.d), '') AS ends
+      FROM m JOIN z USING (c) GROUP BY m.d, m.k),
+q AS (SELECT d - 1 AS d, pk AS k, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1, 2),
+u AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN q USING (d, k)),
+w AS (SELECT m.d, m.k, count(*) FILTER (u.n_children = 0) AS n_leaves, sum((u.n - 1) * u.bytes) AS saved
+      FROM u JOIN m ON m.c = u.c AND m.d <= u.d GROUP BY m.d, m.k)
+SELECT u.c AS conv_id, u.d::BIGINT AS depth, p.c AS parent_conv_id, u.n AS n_convs, u.n_children,
+       w.n_leaves, w.saved::BIGINT AS saved_tokens, sha256(u.ends) AS ends_sha256
+FROM u JOIN w USING (d, k) LEFT JOIN u AS p ON p.d = u.d - 1 AND p.k = u.pk
+""")
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, rebuilt with shared openings."""
+    return conversation_trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
