@@ -14,7 +14,10 @@ Table layout under one lake root (all parquet):
 Rerunning a failed or repeated batch converges to the same tables: bronze, fact
 and move partitions are replaced, the silver merge is guarded by batch id,
 dimensions only insert keys they have not seen, and a price state is a folder of
-its own that a rerun writes anew from the state before it.  Batches may come in
+its own that a rerun writes anew from the state before it.  Each of these writes is
+published at once (``sources.versions``): a crash leaves the table as it was before.
+One driver at a time works on a batch: it holds the batch's lease, which expires if
+it dies (``claim_batch``).  Batches may come in
 any order: a late one recomputes the moves of the products it holds.  Work is
 distributed throughout; the driver only sees batch ids, folder names, one-row
 gates and the largest issued key of each dimension.
@@ -24,9 +27,12 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import time
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,9 +43,11 @@ from shelfwise.plans import analytics as A
 from shelfwise.plans import control as C
 from shelfwise.plans import gold as G
 from shelfwise.plans import silver as S
+from shelfwise.session import (delete_path, path_exists, publish_file, read_text, scratch_table, subfolders,
+                               subpaths)
 from shelfwise.sources import landing as L
 from shelfwise.sources import tables as TB
-from shelfwise.session import delete_path, path_exists, scratch_table, subfolders
+from shelfwise.sources import versions as V
 
 ISO = "%Y-%m-%d"
 
@@ -91,10 +99,7 @@ def read_control(spark: SparkSession, lake: Lake) -> DataFrame | None:
 
 def _write_control(spark: SparkSession, lake: Lake, new_state: DataFrame, batch_id: str) -> None:
     rows = new_state.filter(F.col("batch_id") == batch_id).select(*SC.CONTROL.fieldNames())
-    # The new state is derived from the partition it replaces, so it is written
-    # to the shared checkpoint folder first.
-    with scratch_table(rows, "control") as state:
-        TB.replace_partitions(state, lake.control, ["batch_id"])
+    TB.replace_partitions(rows, lake.control, ["batch_id"])
 
 
 def _empty_control(spark: SparkSession) -> DataFrame:
@@ -128,6 +133,40 @@ def next_batch_id(spark: SparkSession, landing_base: str, lake: Lake,
     return C.next_batch(files, read_control(spark, lake)).first()["siguiente_batch"]
 
 
+# --- the lease of a batch -------------------------------------------------------------
+
+class BatchClaimedError(RuntimeError):
+    """Another driver is at work on the batch."""
+
+
+def claim_batch(spark: SparkSession, lake: Lake, batch_id: str, owner: str, hours: float = 6.0,
+                clock: Callable[[], float] = time.time) -> str:
+    """Take the batch for ``owner``; returns the lease, for ``release_batch``.
+
+    Leases of a batch are numbered files, each made by an exclusive create, so of
+    two drivers that start at once one gets the number and the other raises
+    ``BatchClaimedError``.  A lease whose time is over, or that was given back, may
+    be followed by the next one; an owner may take its own batch again.
+    """
+    folder = lake.path(f"claims/{batch_id}")
+    names = subpaths(spark, folder)
+    last = max((n for n in names if n.endswith(".json")), default=None)
+    if last is not None and f"{last}.released" not in names:
+        held = json.loads(read_text(spark, f"{folder}/{last}"))
+        if held["owner"] != owner and held["until"] > clock():
+            raise BatchClaimedError(f"batch {batch_id} is held by {held['owner']} until {held['until']:.0f}")
+    number = 1 if last is None else int(last.removesuffix(".json")) + 1
+    lease = f"{folder}/{number:06d}.json"
+    if not publish_file(spark, lease, json.dumps({"owner": owner, "until": clock() + 3600 * hours})):
+        raise BatchClaimedError(f"batch {batch_id} has just been taken by another driver")
+    return lease
+
+
+def release_batch(spark: SparkSession, lease: str) -> None:
+    """Give a lease back."""
+    publish_file(spark, f"{lease}.released", "")
+
+
 # --- layers ------------------------------------------------------------------------------
 
 def load_bronze(spark: SparkSession, landing_base: str, lake: Lake, batch_id: str, *,
@@ -168,17 +207,19 @@ def _declare_bronze(spark: SparkSession, lake: Lake, batch_id: str, known: T.Str
             .write.text(f"{path}/v{version:06d}-{batch_id}")
 
 
-def load_silver(spark: SparkSession, lake: Lake, batch_id: str) -> DataFrame:
+def load_silver(spark: SparkSession, lake: Lake, batch_id: str, reading: Observation | None = None
+                ) -> DataFrame:
     """Build the batch's snapshot from bronze and upsert it into silver.
 
     Guard: an existing row is replaced only by a source row whose batch id is
-    not older; the created timestamp of an existing row is kept.
+    not older; the created timestamp of an existing row is kept.  ``reading`` counts,
+    while the snapshot is built, the rows read and the values that each cast rejects.
     """
     _check_batch_id(batch_id)
     bronze = TB.read_partition(spark, lake.bronze, "batch_id", batch_id)
     enforce_gate(bronze, ["productid"], "ingesta_date")
     now = F.current_timestamp()
-    snap = (S.build_silver(bronze)
+    snap = (S.build_silver(bronze, reading=reading)
             .withColumn("created_timestamp", now).withColumn("updated_timestamp", now)
             .select(*SC.SILVER.fieldNames()))
     TB.merge_into_table(spark, lake.silver, snap, ["productid", "ingesta_date"], "ingesta_date",
@@ -192,7 +233,8 @@ def silver_of(spark: SparkSession, lake: Lake, batch_id: str) -> DataFrame:
     """The batch's snapshot rows: its date partition alone, and in it the rows
     that are this batch's."""
     day = _check_batch_id(batch_id)
-    silver = TB.read_table(spark, lake.silver, SC.SILVER).filter(F.col("ingesta_date") == F.lit(day))
+    silver = TB.read_table(spark, lake.silver, SC.SILVER, only=("ingesta_date", [day])).filter(
+        F.col("ingesta_date") == F.lit(day))
     return TB.scan_batch(silver, "batch_id", batch_id)
 
 
@@ -233,8 +275,7 @@ def load_gold(spark: SparkSession, lake: Lake, batch_id: str, *, fact_mode: str
         TB.overwrite_partition(audit, lake.audit, "ingesta_date", day)
         counts = {"silver": src.count()}
     for name, path, schema in (("fact", lake.fact, SC.FACT), ("audit", lake.audit, SC.AUDIT)):
-        counts[name] = TB.read_table(spark, path, schema).filter(
-            F.col("ingesta_date") == F.lit(day)).count()
+        counts[name] = TB.read_table(spark, path, schema, only=("ingesta_date", [day])).count()
     if counts["silver"] != counts["fact"] + counts["audit"]:
         raise BatchGateError(f"batch {batch_id} does not add up: {counts}")
     return counts
@@ -319,15 +360,13 @@ def _late_moves(spark: SparkSession, lake: Lake, batch: DataFrame, moves_path: s
             days = [day, *[r[0] for r in after.select("fecha").distinct().collect()]]  # one for each batch at most
             changed = after.unionByName(ids.withColumn("fecha", F.lit(day))).distinct()
             rows = moved.join(changed, ["productid", "fecha"], "left_semi")
-            if TB.table_exists(spark, moves_path):
-                old = spark.read.parquet(moves_path).withColumn("fecha", F.to_date("fecha")).filter(
-                    F.col("fecha").isin(days))
+            base = V.current(spark, moves_path)
+            if base is not None:
+                old = V.read_version(spark, moves_path, base, only=("fecha", days))
                 rows = old.join(changed, ["productid", "fecha"], "left_anti").select(*rows.columns) \
                     .unionByName(rows)
-            with scratch_table(rows, "late-moves") as fresh:
-                for d in days:
-                    TB.overwrite_partition(fresh.filter(F.col("fecha") == F.lit(d)).drop("fecha"),
-                                           moves_path, "fecha", d)
+            # all days in one version: the other products' moves are there before and after
+            TB.overwrite_partitions(rows, moves_path, "fecha", days, base)
 
 
 def require_complete(spark: SparkSession, landing_base: str, batch_id: str, expected: list[str],
@@ -340,28 +379,51 @@ def require_complete(spark: SparkSession, landing_base: str, batch_id: str, expe
         raise L.LandingError(f"batch {batch_id} lacks the sections {missing}")
 
 
+class BatchCounts(dict):
+    """Rows of each stage; ``rejects``: for each cast column the values that were
+    there and could not be read as its type."""
+    rejects: dict[str, int]
+
+
 def run_daily_batch(spark: SparkSession, landing_base: str, lake: Lake, batch_id: str, *,
-                    glob: str = "*.json", expected_sections: list[str] | None = None) -> dict[str, int]:
+                    glob: str = "*.json", expected_sections: list[str] | None = None,
+                    owner: str | None = None) -> BatchCounts:
     """One batch end to end under control: IN_PROGRESS → COMPLETED, or FAILED.
 
     With ``expected_sections`` the batch fails while any of them is missing, and
-    is taken up again by the next run.  Returns the rows of each stage.
+    is taken up again by the next run.  Returns the rows of each stage, with the
+    rejected values.  Raises ``BatchClaimedError``, and changes nothing, while another
+    ``owner`` (default: one for each call) holds the batch.
     """
     _check_batch_id(batch_id)
-    mark_started(spark, lake, batch_id)
+    lease = claim_batch(spark, lake, batch_id, owner or uuid.uuid4().hex)
     try:
-        if expected_sections is not None:
-            require_complete(spark, landing_base, batch_id, expected_sections, glob)
-        load_bronze(spark, landing_base, lake, batch_id, glob=glob)
-        counts = {"bronze": TB.read_partition(spark, lake.bronze, "batch_id", batch_id).count()}
-        load_silver(spark, lake, batch_id)
-        counts |= load_gold(spark, lake, batch_id)
-        load_price_moves(spark, lake, batch_id)
-    except Exception as e:
-        mark_failed(spark, lake, batch_id, f"{type(e).__name__}: {e}")
-        raise
-    mark_completed(spark, lake, batch_id)
-    return counts
+        mark_started(spark, lake, batch_id)
+        try:
+            if expected_sections is not None:
+                require_complete(spark, landing_base, batch_id, expected_sections, glob)
+            load_bronze(spark, landing_base, lake, batch_id, glob=glob)
+            seen = Observation("silver")
+            load_silver(spark, lake, batch_id, seen)
+            counts = BatchCounts(bronze=seen.get["rows_read"])
+            counts.rejects = {c: n for c, n in seen.get.items() if c in S.CASTS}
+            counts |= load_gold(spark, lake, batch_id)
+            load_price_moves(spark, lake, batch_id)
+        except Exception as e:
+            mark_failed(spark, lake, batch_id, f"{type(e).__name__}: {e}")
+            raise
+        mark_completed(spark, lake, batch_id)
+        return counts
+    finally:
+        release_batch(spark, lease)
+
+
+def vacuum(spark: SparkSession, lake: Lake, keep: int = 2, older_than_hours: float = 24 * 7) -> None:
+    """Delete files of the lake's tables that only older versions need."""
+    dims = [lake.dim(n) for n in SC.DIMENSION_SCHEMAS]
+    for path in (lake.bronze, lake.silver, lake.fact, lake.audit, lake.control,
+                 lake.path("gold/price_moves"), *dims):
+        V.vacuum(spark, path, keep, older_than_hours)
 
 
 class PendingBatchesFailed(RuntimeError):

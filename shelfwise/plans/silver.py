@@ -72,21 +72,54 @@ def _best_discount_or_null(df: DataFrame, teasers: Column) -> Column:
     return SF.best_discount(teasers) if ok else F.lit(None).cast("double")
 
 
+def _item_seller_offer() -> tuple[Column, Column, Column]:
+    item = SF.first_item("items")
+    seller = SF.first(item["sellers"])
+    return item, seller, seller["commertialoffer"]
+
+
+#: Columns made by a cast, and their types.
+CASTS = {"precio_regular": "double", "precio_online": "double", "unit_multiplier": "double",
+         "disponible": "boolean", "cantidad_disponible": "int", "fecha_lanzamiento": "date"}
+
+
+def _raw() -> dict[str, Column]:
+    """What each cast column is made from."""
+    item, _, offer = _item_seller_offer()
+    return {"precio_regular": offer["listprice"], "precio_online": offer["price"],
+            "unit_multiplier": item["unitmultiplier"], "disponible": offer["isavailable"],
+            "cantidad_disponible": offer["availablequantity"], "fecha_lanzamiento": F.col("releasedate")}
+
+
+def _typed(name: str) -> Column:
+    raw = _raw()[name]
+    return SF.parse_batch_date("releasedate") if name == "fecha_lanzamiento" else raw.try_cast(CASTS[name])
+
+
+def reject_counts() -> list[Column]:
+    """For each cast column of a bronze frame, how many values are there (blank text
+    counts as none) and cannot be read as the column's type."""
+    out = []
+    for name, raw in _raw().items():
+        there = raw.isNotNull() & (F.trim(raw.cast("string")) != "")
+        out.append(F.count_if(there & _typed(name).isNull()).alias(name))
+    return out
+
+
+def cast_rejects(bronze: DataFrame) -> DataFrame:
+    """One row: ``filas_bronze`` and the rejected values of each cast column."""
+    return bronze.agg(F.count(F.lit(1)).alias("filas_bronze"), *reject_counts())
+
+
 def enrich(bronze: DataFrame) -> DataFrame:
     """All per-row derivations, before any filter (pure projections)."""
     df = bronze.select(*BRONZE_COLUMNS)
-    item = SF.first_item("items")
-    seller = SF.first(item["sellers"])
-    offer = seller["commertialoffer"]
+    item, seller, offer = _item_seller_offer()
     df = df.select(
         "*",
         item["itemid"].alias("itemid"),
         seller["sellername"].alias("sellername"),
-        offer["listprice"].try_cast("double").alias("precio_regular"),
-        offer["price"].try_cast("double").alias("precio_online"),
-        item["unitmultiplier"].try_cast("double").alias("unit_multiplier"),
-        offer["isavailable"].try_cast("boolean").alias("disponible"),
-        offer["availablequantity"].try_cast("int").alias("cantidad_disponible"),
+        *[_typed(c).alias(c) for c in CASTS if c != "fecha_lanzamiento"],
         _best_discount_or_null(df, offer["promotionteasers"]).alias("mejor_descuento"),
         SF.first("categories").alias("categoria_raw"),
     )
@@ -103,7 +136,7 @@ def enrich(bronze: DataFrame) -> DataFrame:
         "categoria_principal": lv[0], "subcategoria": lv[1], "grupo_producto": lv[2],
         "vendedor": SF.seller_name("vendido_por", "sellername"),
         "sku": SF.sku("productreferencecode", "itemid"),
-        "fecha_lanzamiento": SF.parse_batch_date("releasedate"),
+        "fecha_lanzamiento": _typed("fecha_lanzamiento"),
     }
     cols.update(SF.delivery_flags("tag_stock_tienda", "tag_stock_cd", "tipo_de_envio"))
     cols.update(SF.label_flags("tipodeoctogono"))
@@ -126,12 +159,16 @@ def filtered(bronze: DataFrame) -> DataFrame:
     return keep_valid_channels(normalize_text(exclude_promotional(enrich(bronze))))
 
 
-def build_silver(bronze: DataFrame, observation: Observation | None = None) -> DataFrame:
+def build_silver(bronze: DataFrame, observation: Observation | None = None,
+                 reading: Observation | None = None) -> DataFrame:
     """The snapshot: one row per (product, day), sections consolidated.
 
-    ``observation`` (optional) collects the row counts after each filter
-    during whatever action runs the result.
+    Two optional observations collect counts during whatever action runs the result:
+    ``observation`` the rows after the filters, ``reading`` the rows read and the
+    rejected values of each cast column.
     """
+    if reading is not None:
+        bronze = bronze.observe(reading, F.count(F.lit(1)).alias("rows_read"), *reject_counts())
     rows = filtered(bronze)
     if observation is not None:
         rows = rows.observe(observation, F.count(F.lit(1)).alias("rows_after_filters"))

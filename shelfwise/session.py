@@ -17,6 +17,7 @@ one under the warehouse folder.
 
 from __future__ import annotations
 
+import os
 import uuid
 from contextlib import contextmanager
 
@@ -117,6 +118,52 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory())
 
 
+def subpaths(spark: SparkSession, path: str) -> list[str]:
+    """Names of all that is in a folder (none if it is not there)."""
+    hpath, fs = _hadoop_path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else []
+
+
+def modified(spark: SparkSession, path: str) -> float:
+    """When a file or folder was last changed, in seconds since 1970."""
+    hpath, fs = _hadoop_path(spark, path)
+    return fs.getFileStatus(hpath).getModificationTime() / 1000
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as one text, read by the driver."""
+    hpath, fs = _hadoop_path(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")  # noqa: SLF001
+    finally:
+        stream.close()
+
+
+def publish_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with its whole text at once; False if there is one.
+
+    The text is written under another name first and then gets its own: by a hard
+    link on a local or mounted file system, elsewhere by a rename, which must
+    refuse to replace a file (HDFS and stores with atomic renames do).
+    """
+    hpath, fs = _hadoop_path(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(  # noqa: SLF001
+        hpath.getParent(), f".{hpath.getName()}-{uuid.uuid4().hex}")
+    stream = fs.create(draft, False)
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+    try:
+        if fs.getScheme() == "file":
+            os.link(draft.toUri().getPath(), hpath.toUri().getPath())
+            return True
+        return not fs.exists(hpath) and bool(fs.rename(draft, hpath))
+    except FileExistsError:
+        return False
+    finally:
+        fs.delete(draft, False)
+
+
 @contextmanager
 def scratch_table(df, name: str):
     """``materialize`` for the time of a ``with`` block; the files go at its end."""
