@@ -162,6 +162,9 @@ def pack_balanced(df: DataFrame, tokenizer_path: str, capacity: int = 2048, cell
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     begins = totals.select(F.col("part").alias("of"),
                            F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("begin"))
+    # written, so that its true size decides how it comes to the rests: with the ids
+    # on them they should not be shuffled for it
+    begins = materialize(begins, "line-begins")
     room = cell * capacity
     placed = rests.join(begins, F.col("part") == F.col("of")).select(
         "id", "start", "doc_tokens", "ids", (F.col("begin") + F.col("at")).alias("low"),
