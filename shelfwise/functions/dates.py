@@ -35,6 +35,8 @@ def parse_batch_date(c: Column | str) -> Column:
     return F.try_to_date(as_col(c))
 
 
-def today_batch_id(tz: str) -> Column:
-    """Today's batch id in a time zone (``yyyy-MM-dd`` of the local date)."""
-    return F.date_format(F.from_utc_timestamp(F.current_timestamp(), tz), "yyyy-MM-dd")
+def today_batch_id(tz: str, at: Column | None = None) -> Column:
+    """Batch id of the local date in a time zone (``yyyy-MM-dd``), now or ``at`` an
+    instant."""
+    now = F.current_timestamp() if at is None else at
+    return F.date_format(F.from_utc_timestamp(now, tz), "yyyy-MM-dd")

@@ -45,17 +45,30 @@ def _ascii_forms() -> tuple[str, str, dict[str, str]]:
     return "".join(single), "".join(forms), longer
 
 
+def _ranges(chars) -> str:
+    """A regular expression's class of characters, runs of neighbours as ranges."""
+    runs: list[list[int]] = []
+    for cp in sorted(map(ord, chars)):
+        if runs and runs[-1][1] == cp - 1:
+            runs[-1][1] = cp
+        else:
+            runs.append([cp, cp])
+    return "[" + "".join(chr(a) if a == b else f"{chr(a)}-{chr(b)}" for a, b in runs) + "]"
+
+
 def fold_accents(c: Column | str) -> Column:
     """Replace characters by their ASCII form (``é`` → ``e``, ``º`` → ``o``, ``ﬁ`` →
     ``fi``); characters without one stay."""
     single, forms, longer = _ascii_forms()
     c = as_col(c)
-    # few texts hold a character with a longer form; only they are taken apart
+    # Texts of ASCII alone, nearly all, are left as they are after one look, and of the
+    # rest only those that hold a character with a longer form are taken apart.
     table = F.create_map(*[F.lit(x) for pair in longer.items() for x in pair])
     spelled = F.array_join(F.transform(F.split(c, ""), lambda ch: F.coalesce(
         F.try_element_at(table, ch), ch)), "")
-    rare = c.rlike(f"[{''.join(longer)}]")
-    return F.translate(F.when(rare, spelled).otherwise(c), single, forms)
+    rare = c.rlike(_ranges(longer))
+    folded = F.translate(F.when(rare, spelled).otherwise(c), single, forms)
+    return F.when(c.rlike(r"[^\x00-\x7F]"), folded).otherwise(c)
 
 
 def slugify(c: Column | str) -> Column:
@@ -82,7 +95,7 @@ def is_bundle_name(c: Column | str, words: list[str] | None = None) -> Column:
 
 def is_yes(c: Column | str) -> Column:
     """True when the value is "Si" with or without the accent."""
-    return fold_accents(F.trim(as_col(c))) == F.lit("Si")
+    return F.trim(as_col(c)).isin("Si", "Sí")
 
 
 # --- schema (driver metadata) -----------------------------------------------

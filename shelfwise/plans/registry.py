@@ -32,4 +32,4 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from shelfwise.plans import (q_gold, q_landing, q_quality, q_silver,  # noqa: F401
-                                 q_snapshot)
+                                 q_snapshot, q_tables)
