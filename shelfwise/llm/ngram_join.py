@@ -44,6 +44,8 @@ FREQUENT = 48
 PARITY = [f"p{i}" for i in range(8)]
 #: Passes between components before the full product: they only save work.
 PASSES = 3
+#: Entries of a set that are carried along to tell where a pair meets first.
+BEFORE = 16
 #: Keys that may be broadcast (of 8 bytes); more are joined by shuffling.
 BROADCAST_KEYS = 2_000_000
 
@@ -285,17 +287,17 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     def open_entries() -> DataFrame:
         """Entries of the n-grams that several components have, with their component ``c``."""
         placed = materialize(entries.join(groups, F.col("sid") == F.col("node"), "left").select(
-            "h", "sid", "n", F.coalesce("component", "sid").alias("c")), "ngram-placed")
+            "h", "sid", "n", "at", F.coalesce("component", "sid").alias("c")), "ngram-placed")
         mixed = placed.groupBy(F.col("h").alias("m_h")).agg(
             F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("m_h")
         out = materialize(placed.join(mixed, F.col("h") == F.col("m_h"), "left_semi"), "ngram-open")
         drop_scratch(placed)
         return out
 
-    def joined(left: DataFrame, right: DataFrame, which: Column) -> DataFrame:
+    def joined(left: DataFrame, right: DataFrame, which: Column, *more: str) -> DataFrame:
         """Pairs with a common n-gram that ``which`` holds for and that are possible."""
-        return left.join(known, "sid").select(*named("a", "h", "sid", "n", "c", *PARITY)).join(
-            right.join(known, "sid").select(*named("b", "h", "sid", "n", "c", *PARITY)),
+        return left.join(known, "sid").select(*named("a", "h", "sid", "n", "c", *more, *PARITY)).join(
+            right.join(known, "sid").select(*named("b", "h", "sid", "n", "c", *more, *PARITY)),
             (F.col("h_a") == F.col("h_b")) & which & (F.col("c_a") != F.col("c_b")) & possible).select(
             F.col("sid_a").alias("a"), F.col("sid_b").alias("b"), F.col("n_a").alias("na"),
             F.col("n_b").alias("nb")).distinct()
@@ -319,9 +321,19 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
             break
         groups = grown(more)
 
-    # The full product, across the components found.
-    entry = open_entries()
-    groups = grown(product.links(joined(entry, entry, F.col("sid_a") < F.col("sid_b"))))
+    # The full product, across the components found.  A pair has an entry at each
+    # n-gram its sets share among their first; it is taken at the first of them in the
+    # global order, behind which lies all they share: the rest of both has to be long
+    # enough.  ``before``, a set's first entries ahead of this one, tells later ones
+    # (not all of them: a pair may then come up again, and is decided once).
+    entry = open_entries().groupBy("sid", "n", "c").agg(
+        F.array_sort(F.collect_list(F.struct("at", "h"))).alias("own")).select(
+        "sid", "n", "c", "own", F.posexplode("own").alias("pos", "e")).select(
+        "sid", "n", "c", "e.h", "e.at", F.slice("own.h", 1, F.least("pos", F.lit(BEFORE))).alias("before"))
+    rest = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    at_first = (F.col("sid_a") < F.col("sid_b")) & (rest >= _needed(F.col("n_a"), F.col("n_b"), percent)) \
+        & ~F.arrays_overlap("before_a", "before_b")
+    groups = grown(product.links(joined(entry, entry, at_first, "at", "before")))
 
     rows = sketches.select("id", "n", "sid", "th")
     classed = rows.join(groups, F.col("sid") == F.col("node"), "left").select(
