@@ -228,12 +228,16 @@ def prefix_trie(convs: DataFrame, turns: DataFrame, block: int = BLOCK) -> DataF
     zero = F.lit(0).cast("long")
     root = convs.agg(F.count("*").alias("n"), F.min("conv").alias("conv")).filter("n > 0").select(
         "n", "conv", *[zero.alias(c) for c in KEY], *[zero.alias(c) for c in ("p1", "p2", "pre")])
-    nodes = materialize(root.unionByName(alone.select(*found)).unionByName(apart.select(*found)), "trie-turns")
-
-    children = nodes.filter("depth > 0").groupBy(
-        (F.col("depth") - 1).alias("depth"), F.col("p1").alias("f1"), F.col("p2").alias("f2")).agg(
-        F.count("*").alias("n_children"))
-    nodes = materialize(nodes.join(children, KEY, "left").fillna(0, ["n_children"]), "trie-nodes")
+    turns_apart = root.unionByName(alone.select(*found)).unionByName(apart.select(*found))
+    # every node is counted at its parent's key, where the parent itself is as well
+    own = F.struct(*KEY, F.lit(0).alias("children"), *[c for c in found if c not in KEY])
+    at_parent = F.struct((F.col("depth") - 1).alias("depth"), F.col("p1").alias("f1"), F.col("p2").alias("f2"),
+                         F.lit(1).alias("children"),
+                         *[F.lit(None).cast("long").alias(c) for c in found if c not in KEY])
+    nodes = turns_apart.select(F.explode(F.when(F.col("depth") > 0, F.array(own, at_parent))
+                                         .otherwise(F.array(own))).alias("x")).select("x.*")
+    nodes = materialize(nodes.groupBy(*KEY).agg(
+        F.sum("children").alias("n_children"), *[F.max(c).alias(c) for c in found if c not in KEY]), "trie-nodes")
 
     # one number for each conversation: bytes shared with smaller ones, leaves it stands for
     stands = nodes.groupBy("conv").agg(F.min("pre").alias("before"),
