@@ -15,6 +15,7 @@ from shelfwise.plans.registry import query
 from shelfwise.session import scratch_path
 from shelfwise.sources import landing as L
 from shelfwise.sources import tables as TB
+from shelfwise.sources import versions as V
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 EXPECTED_SECTIONS = EVENT_TYPES + ["refund"]
@@ -116,6 +117,43 @@ def q_landing_rejects(spark, d):
                                         F.count_if(F.col("ok") == 0).alias("rechazadas"))
 
 
+@query("case_colliding_keys", sql="""
+WITH e AS (SELECT (event_id % 2 = 0)::INT + (event_id % 3 = 0)::INT + (event_id % 5 = 0)::INT AS tags,
+                  (event_id % 2 = 0)::INT + (event_id % 7 > 0)::INT AS valores FROM events)
+SELECT 'tag_stock' AS clave, 'TAG Stock,Tag Stock,tag stock' AS formas,
+       count(*) FILTER (tags > 0) AS filas, count(*) FILTER (tags > 1) AS filas_con_varias FROM e
+UNION ALL
+SELECT 'valor', 'VALOR,valor', count(*) FILTER (valores > 0), count(*) FILTER (valores > 1) FROM e
+""")
+def q_case_colliding_keys(spark, d):
+    """Records whose keys differ only by case: for each normal key, the rows that set
+    several of its spellings."""
+    base = scratch_path(spark, "landing-case")
+    n = F.col("event_id")
+    ev = table(spark, d, "events").select(
+        n, F.date_format("ts", "yyyy-MM").alias("batch_id"), F.col("event_type").alias("seccion"))
+
+    def field(key, when):
+        return F.when(when, F.concat(F.lit(f'"{key}":'), n.cast("string")))
+    record = F.concat(F.lit("{"), F.concat_ws(",", F.concat(F.lit('"id":'), n.cast("string")),
+                                              field("tag stock", n % 2 == 0), field("Tag Stock", n % 3 == 0),
+                                              field("TAG Stock", n % 5 == 0), field("valor", n % 2 == 0),
+                                              field("VALOR", n % 7 > 0)), F.lit("}"))
+    ev.select(record.alias("value"), "batch_id", "seccion").write.partitionBy("batch_id", "seccion").text(base)
+    found = L.colliding_counts(spark, base, glob="*.txt", multiline=False, overrides={})
+    return found.withColumn("formas", F.array_join("formas", ","))
+
+
+@query("section_from_file_name", sql=LANDING_SQL)
+def q_section_from_file_name(spark, d):
+    """Landing files named by their section, ``batch_id=<day>/<section>.json``, and
+    read back with the section taken from the name."""
+    written, base = scratch_path(spark, "landing-parts"), scratch_path(spark, "landing-named")
+    L.write_landing(_raw_events(spark, d), written, id_col="eventId")
+    L.publish_landing(spark, written, base)
+    return L.read_landing(spark, base)
+
+
 # --- parquet table writes ------------------------------------------------------------------
 
 def _obs_rows(spark, d):
@@ -231,3 +269,37 @@ def q_landing_stream_bronze(spark, d):
     q = start_bronze_stream(spark, base, bronze, scratch_path(spark, "stream-ckpt"), glob="*.txt")
     q.awaitTermination()
     return TB.read_table(spark, bronze, merge_schema=True)
+
+
+@query("silver_stream_upsert", sql=f"""
+WITH {SNAP_CTE}
+SELECT productid, ingesta_date, batch_id, precio_regular, event_id FROM snap
+""")
+def q_silver_stream_upsert(spark, d):
+    """A file stream keeps the snapshot in step with the landing folder, a few files at
+    a time: each micro-batch upserts the days it touches, and the last one, played
+    again, changes nothing."""
+    from shelfwise.operators.dedup import asc, best_row_per_key, desc
+    from shelfwise.streaming.landing_stream import start_silver_stream, upsert_epoch
+    base = scratch_path(spark, "landing-stream")
+    bronze, silver = scratch_path(spark, "bronze-stream"), scratch_path(spark, "silver-stream")
+    L.write_landing_lines(_raw_events(spark, d).withColumn("seccion", F.lit("eventos")), base)
+
+    def build(rows):
+        typed = rows.select(F.col("userid").alias("productid"), F.to_date("batch_id").alias("ingesta_date"),
+                            "batch_id", F.col("valor_unitario").cast("double").alias("precio_regular"),
+                            F.col("eventid").alias("event_id"))
+        return best_row_per_key(typed, ["productid", "ingesta_date"], [desc("precio_regular"), asc("event_id")])
+    keys = ["productid", "ingesta_date"]
+    q = start_silver_stream(spark, base, bronze, silver, scratch_path(spark, "stream-ckpt"), build=build,
+                            keys=keys, partition_col="ingesta_date", multiline=False,
+                            max_files_per_trigger=10)
+    q.awaitTermination()
+    now = V.current(spark, silver)
+    (stream, epoch), = now.epochs.items()
+    again = upsert_epoch(spark, base, bronze, silver, ["2024-01-01"], (stream, epoch),
+                         lambda rows: build(rows).withColumn("precio_regular", F.lit(-1.0)), keys,
+                         "ingesta_date", multiline=False)
+    if again or V.current(spark, silver).number != now.number:
+        raise AssertionError("a micro-batch was applied twice")
+    return TB.read_table(spark, silver).select(*SNAP_OUT)

@@ -124,6 +124,15 @@ def subpaths(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else []
 
 
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file within its file system; its new folder is made if need be."""
+    source, fs = _hadoop_path(spark, path)
+    target, _ = _hadoop_path(spark, to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"cannot move {path} to {to}")
+
+
 def modified(spark: SparkSession, path: str) -> float:
     """When a file or folder was last changed, in seconds since 1970."""
     hpath, fs = _hadoop_path(spark, path)

@@ -9,10 +9,11 @@ The reader is one distributed scan:
   from a ``seccion=`` partition folder when the files were written by Spark;
 * raw keys are renamed to their normal form on the *schema* — driver-side
   metadata only, rows are never shipped to the driver.  Keys that differ only
-  by case are told apart by inferring with ``spark.sql.caseSensitive=true``
-  and renamed by position (a cast of the record struct), so they never reach
-  the planner; keys that normalise to the same name are coalesced (the
-  alphabetically later raw key wins where both are set).
+  by case are told apart in a side session with ``spark.sql.caseSensitive=true``,
+  which reads the records one by one as always and writes them with names of
+  their own; keys that normalise to the same name are coalesced (the
+  alphabetically later raw key wins where both are set), and
+  ``colliding_counts`` tells how many rows set several of them.
 
 A multi-line JSON file is not splittable: read parallelism is the number of
 files.  For large landings prefer many files, or JSON lines (``multiline=False``).
@@ -30,7 +31,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from shelfwise.functions.text import normalize_key
-from shelfwise.session import materialize
+from shelfwise.session import delete_path, materialize, move_path, scratch_path, subfolders, subpaths
 
 
 class LandingError(RuntimeError):
@@ -53,16 +54,22 @@ def _partition_columns(spark: SparkSession, paths: list[str], base: str, glob: s
     return [c for c in files.columns if c not in ("path", "modificationTime", "length", "content")]
 
 
+def _case_sensitive(spark: SparkSession) -> SparkSession:
+    """A side session in which names that differ by case are different names."""
+    side = spark.newSession()
+    side.conf.set("spark.sql.caseSensitive", "true")
+    for k in ("spark.sql.session.timeZone", "spark.sql.sources.partitionColumnTypeInference.enabled"):
+        side.conf.set(k, spark.conf.get(k))
+    return side
+
+
 def infer_landing_schema(spark: SparkSession, path: str | list[str], *, base: str | None = None,
                          glob: str = "*.json", multiline: bool = True) -> T.StructType:
     """Schema of the landing records, inferred with case-sensitive names (one
     pass over the files).  Columns from folder names are left out; the session's
     own settings are not touched."""
     paths = [path] if isinstance(path, str) else list(path)
-    side = spark.newSession()
-    side.conf.set("spark.sql.caseSensitive", "true")
-    side.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-    sch = (side.read.option("multiLine", str(multiline).lower())
+    sch = (_case_sensitive(spark).read.option("multiLine", str(multiline).lower())
            .option("pathGlobFilter", glob).option("basePath", base or paths[0])
            .json(paths).schema)
     folders = set(_partition_columns(spark, paths, base or paths[0], glob))
@@ -97,6 +104,14 @@ def widen(inferred: T.DataType, hint: T.DataType) -> T.DataType:
 
 
 CORRUPT = "_corrupt_record"
+#: ``<section>.json``, or ``<section>~<number>.json`` if it takes several files.
+SECTION_FILE = r"([^/]+?)(?:~\d+)?\.json$"
+
+
+def _section_of(path: str, pattern: str) -> Column:
+    """The section in the name of a file; paths come with URL escapes."""
+    name = F.regexp_extract(path, pattern, 1)
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
 def _typed(fields: list[T.StructField], hints: T.StructType | None,
@@ -115,37 +130,28 @@ def _records(spark: SparkSession, path, base: str, glob: str, multiline: bool,
     """Records as a struct ``_r`` with the field names ``temp``, the text of what
     did not parse as ``_bad``, the file's path, and the columns of the folders.
 
-    Names that differ in more than case go through the JSON reader, which
-    streams the records of a file.  Names that differ only by case cannot be
-    columns of one scan; then each file is one text, parsed into a struct that
-    is renamed by position.
+    All goes through the JSON reader, which streams the records of a file.  Names
+    that differ only by case cannot be columns of one scan here: then a side
+    session that minds the case reads and renames them, and what it gives is
+    written to the shared scratch folder.
     """
-    schema = T.StructType(fields)
-    renamed = T.StructType([T.StructField(t, f.dataType, True) for t, f in zip(temp, fields)])
-    read = spark.read.option("pathGlobFilter", glob).option("basePath", base)
-    if len({f.name.lower() for f in fields}) == len(fields):
-        rows = (read.schema(T.StructType([*fields, T.StructField(CORRUPT, T.StringType())]))
-                .option("multiLine", str(multiline).lower()).option("mode", "PERMISSIVE")
-                .option("columnNameOfCorruptRecord", CORRUPT)
-                .json(path))
-        record = F.struct(*[F.col(f"`{f.name}`").alias(t) for f, t in zip(fields, temp)])
-        folders = [c for c in rows.columns if c not in schema.fieldNames() and c != CORRUPT]
-        return rows.select(record.alias("_r"), F.col(CORRUPT).alias("_bad"),
-                           F.col("_metadata.file_path").alias("_file"), *folders), folders
-    text = read.text(path, wholetext=multiline)
-    folders = [c for c in text.columns if c != "value"]
-    keep = [F.col("value"), F.col("_metadata.file_path").alias("_file"), *folders]
-    parsed = F.from_json("value", T.ArrayType(schema) if multiline else schema)
-    rows = text.filter(F.trim("value") != "").select(parsed.alias("_p"), *keep)
-    bad = F.when(F.col("_p").isNull(), F.col("value"))
-    if multiline:  # a file that does not parse stays as one row
-        one = F.when(F.col("_p").isNull(), F.array(F.lit(None).cast(schema))).otherwise(F.col("_p"))
-        rows = rows.select(F.explode(one).alias("_p"), bad.alias("_bad"), "_file", *folders)
-    else:
-        # a line is bad if it gives no record, or is no JSON object at all
-        lost = F.when(F.try_parse_json("value").isNull(), F.col("value"))
-        rows = rows.select("_p", F.coalesce(bad, lost).alias("_bad"), "_file", *folders)
-    return rows.select(F.col("_p").cast(renamed).alias("_r"), "_bad", "_file", *folders), folders
+    alike = len({f.name.lower() for f in fields}) < len(fields)
+    reader = _case_sensitive(spark) if alike else spark
+    names = {f.name for f in fields}
+    rows = (reader.read.option("pathGlobFilter", glob).option("basePath", base)
+            .schema(T.StructType([*fields, T.StructField(CORRUPT, T.StringType())]))
+            .option("multiLine", str(multiline).lower()).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT)
+            .json(path))
+    folders = [c for c in rows.columns if c not in names and c != CORRUPT]
+    record = F.struct(*[F.col(f"`{f.name}`").alias(t) for f, t in zip(fields, temp)])
+    rows = rows.select(record.alias("_r"), F.col(CORRUPT).alias("_bad"),
+                       F.col("_metadata.file_path").alias("_file"), *folders)
+    if alike:
+        place = scratch_path(spark, "landing-records")
+        rows.write.parquet(place)
+        rows = spark.read.schema(rows.schema).parquet(place)
+    return rows, folders
 
 
 def _scan(spark: SparkSession, base: str, batch_id, glob: str, multiline: bool,
@@ -172,7 +178,7 @@ def read_landing(spark: SparkSession, base: str, *, batch_id: str | list[str] |
                  glob: str = "*.json", multiline: bool = True,
                  schema: T.StructType | None = None,
                  type_hints: T.StructType | None = None,
-                 section_pattern: str = r"([^/]+)\.json$", section_col: str = "seccion",
+                 section_pattern: str = SECTION_FILE, section_col: str = "seccion",
                  overrides: dict[str, str] | None = None, on_error: str = "fail") -> DataFrame:
     """Read landing batches (all, or some) as a normalised bronze frame.
 
@@ -199,8 +205,7 @@ def read_landing(spark: SparkSession, base: str, *, batch_id: str | list[str] |
     else:
         keep = F.length(some) < 0
     rows = rows.filter(F.when(F.col("_bad").isNull(), True).otherwise(F.coalesce(keep, F.lit(False))))
-    section = F.col(section_col) if section_col in folders else F.regexp_extract(
-        "_file", section_pattern, 1)
+    section = F.col(section_col) if section_col in folders else _section_of("_file", section_pattern)
     # the later of several raw keys with one normal form wins where it is set
     # (as text, if they are of several types)
     types = {f.name: f.dataType for f in rows.schema["_r"].dataType.fields}
@@ -231,15 +236,43 @@ def landing_rejects(spark: SparkSession, base: str, *, batch_id: str | list[str]
         F.to_json("_r").alias("read")), "rejects")
 
 
+def colliding_counts(spark: SparkSession, base: str, *, batch_id: str | list[str] | None = None,
+                     glob: str = "*.json", multiline: bool = True,
+                     overrides: dict[str, str] | None = None) -> DataFrame:
+    """For each normal key that several raw keys have: those raw keys (sorted), the
+    rows that set any of them, and the rows that set more than one, of which
+    ``read_landing`` keeps one value only."""
+    raw = infer_landing_schema(spark, [f"{base.rstrip('/')}/batch_id={b}" for b in (
+        [batch_id] if isinstance(batch_id, str) else batch_id)] if batch_id else base,
+        base=base, glob=glob, multiline=multiline)
+    groups = normalized_names([f.name for f in raw.fields if f.name != CORRUPT], overrides)
+    rows, _, places = _scan(spark, base, batch_id, glob, multiline, raw, None, overrides)
+    several = {norm: temps for norm, temps in places.items() if len(temps) > 1}
+    if not several:
+        return spark.createDataFrame([], "clave string, formas array<string>, filas long, filas_con_varias long")
+
+    def how_many(temps: list[str]) -> Column:
+        n = F.lit(0)
+        for t in temps:
+            n = n + F.col(f"_r.{t}").isNotNull().cast("int")
+        return n
+    counted = rows.agg(*[x.alias(f"{k}{i}") for i, temps in enumerate(several.values()) for k, x in (
+        ("any", F.count_if(how_many(temps) > 0)), ("many", F.count_if(how_many(temps) > 1)))])
+    return counted.select(F.explode(F.array(*[F.struct(
+        F.lit(norm).alias("clave"), F.array(*[F.lit(x) for x in sorted(groups[norm])]).alias("formas"),
+        F.col(f"any{i}").alias("filas"), F.col(f"many{i}").alias("filas_con_varias"))
+        for i, norm in enumerate(several)])).alias("x")).select("x.*")
+
+
 def landing_files(spark: SparkSession, base: str, glob: str = "*.json",
-                  section_pattern: str = r"([^/]+)\.json$",
+                  section_pattern: str = SECTION_FILE,
                   section_col: str = "seccion") -> DataFrame:
     """One row per landing file: batch, section, size.  File contents are not read
     (the ``binaryFile`` source skips content when it is not selected)."""
     f = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
          .option("basePath", base).load(base))
     section = F.col(section_col) if section_col in f.columns else F.regexp_extract(
-        "path", section_pattern, 1)
+        "path", section_pattern, 1)  # paths of this source come without escapes
     return f.select("batch_id", section.alias(section_col), "path", "length")
 
 
@@ -282,3 +315,33 @@ def write_landing_lines(df: DataFrame, base: str, *, batch_col: str = "batch_id"
     """Write ``df`` as JSON lines in ``batch_id=/seccion=`` folders: splittable,
     and written without gathering anything."""
     df.write.mode("overwrite").partitionBy(batch_col, section_col).json(base)
+
+
+def publish_landing(spark: SparkSession, written: str, base: str, batch_col: str = "batch_id",
+                    section_col: str = "seccion") -> int:
+    """Move what ``write_landing`` or ``write_landing_lines`` has written to the
+    landing layout proper, ``<base>/batch_id=<day>/<section>.json`` (further files of a
+    section are ``<section>~1.json``, ...); returns the number of files.
+
+    Each file appears whole, by a rename on the file system; a section's files of an
+    earlier delivery go first.  Only names pass through the driver.
+    """
+    moved = 0
+    for batch in subfolders(spark, written):
+        for folder in subfolders(spark, f"{written}/{batch}"):
+            section = folder.removeprefix(f"{section_col}=")
+            if not batch.startswith(f"{batch_col}=") or section == folder:
+                continue
+            old = [n for n in subpaths(spark, f"{base}/{batch}")
+                   if n == f"{section}.json" or n.startswith(f"{section}~") and n[len(section) + 1:-5].isdigit()]
+            for name in old:
+                delete_path(spark, f"{base}/{batch}/{name}")
+            for i, path in enumerate(_part_files(spark, f"{written}/{batch}/{folder}")):
+                move_path(spark, path, f"{base}/{batch}/{section}{f'~{i}' if i else ''}.json")
+                moved += 1
+    return moved
+
+
+def _part_files(spark: SparkSession, folder: str) -> list[str]:
+    own = [f"{folder}/{n}" for n in subpaths(spark, folder) if n.startswith("part-")]
+    return own + [f for sub in subfolders(spark, folder) for f in _part_files(spark, f"{folder}/{sub}")]
