@@ -14,6 +14,7 @@ from shelfwise.operators.keys import assign_surrogate_keys
 from shelfwise.plans import analytics as A
 from shelfwise.plans import gold as G
 from shelfwise.plans import silver as S
+from shelfwise.plans import star as ST
 from shelfwise.plans.bindings import catalogue_records, table
 from shelfwise.plans.oracle_sql import money, pct
 from shelfwise.plans.q_silver import NEST_CTE
@@ -33,9 +34,14 @@ def _silver_materialised(spark, d):
     return materialize(_silver(spark, d), "silver")
 
 
+def _loaded(spark, d):
+    """A star loaded for this query alone, without its fact."""
+    return ST.write_star(spark, _silver(spark, d), fact=False)
+
+
 def _star(spark, d):
-    src = _silver_materialised(spark, d)
-    return src, G.build_dimensions(src)
+    """The star of these tables, written once for all queries that analyse it."""
+    return ST.star_of(spark, d, lambda: _silver(spark, d))
 
 
 FIRST_BY_DATE = """
@@ -163,8 +169,9 @@ def _natural_fact(fact, dims):
 
 @query("fact_load", sql=FACT_SQL)
 def q_fact_load(spark, d):
-    src, dims = _star(spark, d)
-    return _natural_fact(G.fact_rows(src, dims), dims)
+    star = _loaded(spark, d)
+    dims = star.dims()
+    return _natural_fact(G.fact_rows(star.silver, dims), dims)
 
 
 @query("join_composite_key", sql=f"""
@@ -221,7 +228,8 @@ AUDIT_REASONS = """
 
 
 def _partial_star(spark, d):
-    src, dims = _star(spark, d)
+    star = _loaded(spark, d)
+    src, dims = star.silver, star.dims()
     dims["fecha"] = dims["fecha"].filter(F.dayofmonth("fecha") <= 25)
     dims["producto"] = dims["producto"].filter(~F.col("productid").endswith("7"))
     dims["marca"] = dims["marca"].filter(~F.col("brandid").endswith("5"))
@@ -268,8 +276,8 @@ SELECT ingesta_date AS fecha, COUNT(*) AS filas
 FROM silver WHERE coalesce(num_octogonos, 0) BETWEEN 0 AND 3 GROUP BY ingesta_date
 """)
 def q_fact_rows_of_batch(spark, d):
-    src, dims = _star(spark, d)
-    fact = G.fact_rows(src, dims)
+    star = _star(spark, d)
+    fact, dims = star.fact, star.dims()
     return (fact.join(F.broadcast(dims["fecha"].select("fecha_key", "fecha")), "fecha_key")
             .groupBy("fecha").agg(F.count(F.lit(1)).alias("filas")))
 
@@ -299,17 +307,17 @@ latest AS (SELECT * FROM star WHERE fecha = (SELECT max(ingesta_date) FROM silve
 
 
 def _star_flat(spark, d):
-    src, dims = _star(spark, d)
-    return G.star_view(G.fact_rows(src, dims), dims)
+    star = _star(spark, d)
+    return G.star_view(star.fact, star.dims(by_key=True))
 
 
 def _star_latest(spark, d):
     """Star rows and the latest-batch selector taken from the calendar
     dimension (every loaded batch has a date row, even one whose rows were
     all lost to the audit)."""
-    src, dims = _star(spark, d)
-    latest = dims["fecha"].agg(F.max("fecha").alias("fecha"))
-    return G.star_view(G.fact_rows(src, dims), dims), latest
+    star = _star(spark, d)
+    latest = star.dims()["fecha"].agg(F.max("fecha").alias("fecha"))
+    return G.star_view(star.fact, star.dims(by_key=True)), latest
 
 
 @query("star_latest_batch_kpis", sql=STAR_BASE_SQL + f"""
@@ -389,9 +397,9 @@ ORDER BY veces DESC, productid LIMIT 10
 """)
 def q_fact_duplicate_products(spark, d):
     """Products with more than one fact row (fact ⋈ product), most repeated first."""
-    src, dims = _star(spark, d)
-    fact = G.fact_rows(src, dims).join(dims["producto"].select("producto_key", "productid"),
-                                       "producto_key")
+    star = _star(spark, d)
+    fact = star.fact.join(star.dims(by_key=True)["producto"].select("producto_key", "productid"),
+                          "producto_key")
     return duplicate_keys(fact, ["productid"], top=10)
 
 
