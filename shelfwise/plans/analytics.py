@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise import constants as K
 from shelfwise.functions.money import money_round, pct_of
@@ -45,16 +46,21 @@ def batch_pair(snap: DataFrame, date_col: str = DATE) -> DataFrame:
 def latest_batch_rows(snap: DataFrame, date_col: str = DATE, latest=None) -> DataFrame:
     """Rows of the latest batch.
 
-    By default a broadcast join to the one-row ``max`` selector.  ``latest``
-    may instead be a one-row frame, or the latest value itself (e.g. from
-    ``sources.tables.latest_partition_value``, a file listing): a literal
-    filter is a static partition filter, so only that partition is listed and
-    read.
+    By default a broadcast join to the one-row ``max`` selector.  On a table
+    partitioned by the date only the selected partition is then read: the planner
+    prunes the scan at run time by what the selector gives (it does so for a selector
+    with a filter that may leave rows out, hence the one below, which leaves out
+    none).  ``latest`` may instead be a one-row frame, or the latest value itself
+    (e.g. from ``sources.tables.latest_partition_value``): a literal filter is a
+    static partition filter, so only that partition is listed.
     """
     if latest is not None and not isinstance(latest, DataFrame):
         return snap.filter(F.col(date_col) == F.lit(latest))
     sel = latest if latest is not None else latest_batch(snap, date_col)
-    return snap.join(F.broadcast(sel.select(date_col)), date_col)
+    sel = sel.select(date_col)
+    if isinstance(sel.schema[date_col].dataType, T.DateType):
+        sel = sel.filter(F.col(date_col) >= F.make_date(F.lit(1), F.lit(1), F.lit(1)))
+    return snap.join(F.broadcast(sel), date_col)
 
 
 def previous_batch_rows(snap: DataFrame, date_col: str = DATE) -> DataFrame:

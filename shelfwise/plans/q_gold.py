@@ -336,12 +336,10 @@ def q_star_latest_batch_kpis(spark, d):
 
 
 @query("star_promo_share_by_category", sql=STAR_BASE_SQL + f"""
-SELECT categoria_principal, COUNT(*) AS total_productos,
-       CAST(SUM(CASE WHEN en_promocion THEN 1 ELSE 0 END) AS BIGINT) AS con_sip,
-       {pct('SUM(CASE WHEN en_promocion THEN 1 ELSE 0 END)', 'COUNT(*)')} AS pct_con_sip,
-       round(avg(CASE WHEN en_promocion THEN descuento_tarjeta_sip_pct END), 1)
-         AS descuento_sip_promedio
-FROM latest WHERE categoria_principal IS NOT NULL GROUP BY categoria_principal
+SELECT categoria_principal, count(*) AS total_productos, count(*) FILTER (en_promocion) AS con_sip,
+       {pct('count(*) FILTER (en_promocion)', 'count(*)')} AS pct_con_sip,
+       round(avg(descuento_tarjeta_sip_pct) FILTER (en_promocion), 1) AS descuento_sip_promedio
+FROM latest GROUP BY categoria_principal HAVING categoria_principal IS NOT NULL
 """)
 def q_star_promo_share(spark, d):
     star, latest = _star_latest(spark, d)
@@ -349,11 +347,10 @@ def q_star_promo_share(spark, d):
 
 
 @query("star_stockout_by_category", sql=STAR_BASE_SQL + f"""
-SELECT categoria_principal, COUNT(*) AS total,
-       CAST(SUM(CASE WHEN disponible THEN 1 ELSE 0 END) AS BIGINT) AS disponibles,
-       CAST(SUM(CASE WHEN NOT disponible THEN 1 ELSE 0 END) AS BIGINT) AS sin_stock,
-       {pct('SUM(CASE WHEN NOT disponible THEN 1 ELSE 0 END)', 'COUNT(*)')} AS pct_sin_stock
-FROM latest WHERE categoria_principal IS NOT NULL GROUP BY categoria_principal
+SELECT categoria_principal, count(*) AS total, count(*) FILTER (disponible) AS disponibles,
+       count(*) FILTER (NOT disponible) AS sin_stock,
+       {pct('count(*) FILTER (NOT disponible)', 'count(*)')} AS pct_sin_stock
+FROM latest GROUP BY categoria_principal HAVING categoria_principal IS NOT NULL
 """)
 def q_star_stockout(spark, d):
     star, latest = _star_latest(spark, d)

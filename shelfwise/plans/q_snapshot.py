@@ -100,32 +100,27 @@ def q_price_movers(spark, d):
     return A.price_movers(snapshot(spark, d), k=15)
 
 
+# The newest day's rows with a category.
+NEWEST_SQL = "(SELECT * FROM snap QUALIFY dense_rank() OVER (ORDER BY ingesta_date DESC NULLS LAST) = 1)"
+
+
 @query("promo_share_by_category", sql=f"""
-WITH {SNAP_CTE},
-base AS (SELECT * FROM snap WHERE ingesta_date = (SELECT max(ingesta_date) FROM snap)
-         AND categoria_principal IS NOT NULL)
-SELECT categoria_principal,
-       COUNT(*) AS total_productos,
-       CAST(SUM(CASE WHEN en_promocion THEN 1 ELSE 0 END) AS BIGINT) AS con_sip,
-       {pct('SUM(CASE WHEN en_promocion THEN 1 ELSE 0 END)', 'COUNT(*)')} AS pct_con_sip,
-       round(avg(CASE WHEN en_promocion THEN descuento_tarjeta_sip_pct END), 1)
-         AS descuento_sip_promedio
-FROM base GROUP BY categoria_principal
+WITH {SNAP_CTE}
+SELECT categoria_principal, count(*) AS total_productos, count(*) FILTER (en_promocion) AS con_sip,
+       {pct('count(*) FILTER (en_promocion)', 'count(*)')} AS pct_con_sip,
+       round(avg(descuento_tarjeta_sip_pct) FILTER (en_promocion), 1) AS descuento_sip_promedio
+FROM {NEWEST_SQL} GROUP BY categoria_principal HAVING categoria_principal IS NOT NULL
 """)
 def q_promo_share(spark, d):
     return A.promo_share_by_category(latest_snapshot(spark, d))
 
 
 @query("stockout_by_category", sql=f"""
-WITH {SNAP_CTE},
-base AS (SELECT * FROM snap WHERE ingesta_date = (SELECT max(ingesta_date) FROM snap)
-         AND categoria_principal IS NOT NULL)
-SELECT categoria_principal,
-       COUNT(*) AS total,
-       CAST(SUM(CASE WHEN disponible THEN 1 ELSE 0 END) AS BIGINT) AS disponibles,
-       CAST(SUM(CASE WHEN NOT disponible THEN 1 ELSE 0 END) AS BIGINT) AS sin_stock,
-       {pct('SUM(CASE WHEN NOT disponible THEN 1 ELSE 0 END)', 'COUNT(*)')} AS pct_sin_stock
-FROM base GROUP BY categoria_principal
+WITH {SNAP_CTE}
+SELECT categoria_principal, count(*) AS total, count(*) FILTER (disponible) AS disponibles,
+       count(*) FILTER (NOT disponible) AS sin_stock,
+       {pct('count(*) FILTER (NOT disponible)', 'count(*)')} AS pct_sin_stock
+FROM {NEWEST_SQL} GROUP BY categoria_principal HAVING categoria_principal IS NOT NULL
 """)
 def q_stockout(spark, d):
     return A.stockout_by_category(latest_snapshot(spark, d))

@@ -12,9 +12,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from shelfwise.functions.dates import today_batch_id
+from shelfwise.plans import analytics as A
 from shelfwise.plans import silver as S
 from shelfwise.plans.bindings import catalogue_records, snapshot, table
-from shelfwise.plans.oracle_sql import SNAP_CTE
+from shelfwise.plans.oracle_sql import SNAP_CTE, money
 from shelfwise.plans.registry import query
 from shelfwise.session import scratch_path
 from shelfwise.sources import catalog as CT
@@ -92,6 +93,22 @@ def q_batch_type_changes(spark, d):
     return TB.read_table(spark, path).select("event_id", "batch_id", "precio", "cantidad")
 
 
+@query("latest_kpis_of_partitioned_table", sql=f"""
+WITH {SNAP_CTE}, newest AS (SELECT max(ingesta_date) AS dia FROM snap)
+SELECT count(*) AS total_productos, sum(disponible::INT)::BIGINT AS disponibles,
+       sum((NOT disponible)::INT)::BIGINT AS sin_stock, sum(en_promocion::INT)::BIGINT AS con_sip,
+       {money('avg(precio_regular) FILTER (precio_valido)')} AS precio_promedio,
+       round(avg(descuento_tarjeta_sip_pct) FILTER (en_promocion), 1) AS descuento_sip_promedio
+FROM snap JOIN newest ON ingesta_date = dia
+""")
+def q_latest_kpis_of_partitioned_table(spark, d):
+    """The latest batch's figures over a written table partitioned by the day: the
+    selector prunes the scan to one partition at run time."""
+    path = scratch_path(spark, "by-day")
+    TB.overwrite_table(snapshot(spark, d), path, ["ingesta_date"])
+    return A.latest_batch_kpis(TB.read_table(spark, path))
+
+
 # --- named schemas and tables -------------------------------------------------------------
 
 def _fresh_schema(spark, kind: str) -> tuple[str, str]:

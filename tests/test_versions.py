@@ -218,3 +218,22 @@ def test_a_name_over_odd_partition_values(spark, scratch):
     CT.name_version(spark, f"{name}.t", f"{folder}/t")
     assert sorted(map(tuple, spark.table(f"{name}.t").collect())) == data
     assert got(TB.read_table(spark, f"{folder}/t")) == data
+
+
+def test_the_latest_batch_is_pruned_at_run_time(spark, scratch):
+    from shelfwise.plans import analytics as A
+    path = scratch("pruned")
+    df = spark.range(60).select("id", F.date_add(F.to_date(F.lit("2024-01-01")), (F.col("id") % 20).cast("int"))
+                                .alias("ingesta_date"))
+    TB.overwrite_table(df, path, ["ingesta_date"])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = A.latest_batch_rows(TB.read_table(spark, path))
+        assert sorted(r.id for r in out.collect()) == [19, 39, 59]
+        plan = out._jdf.queryExecution().executedPlan()  # noqa: SLF001 - test introspection
+        assert "dynamicpruning" in plan.toString()
+        leaves = plan.collectLeaves()
+        read = [leaves.apply(i).metrics().get("numPartitions") for i in range(leaves.size())]
+        assert [m.get().value() for m in read if m.isDefined()][0] == 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
