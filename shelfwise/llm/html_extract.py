@@ -14,8 +14,9 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -44,102 +45,158 @@ ENDS_P = BLOCKS - {"br", "button", "head", "html", "body", "title", "option", "o
                    "th", "tr", "tbody", "thead", "tfoot", "caption", "legend", "noscript", "select", "p",
                    "frameset", "textarea"} | {"p"}
 
-_PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-                    re.S)
+# What a "<" begins, by the HTML standard's tokeniser.  A comment ends at "-->" or
+# "--!>", and "<!-->" is one; a quote has a meaning only behind "=" (one that is never
+# closed is part of a name).  Possessive repeats never go back, so no start is tried
+# twice; a tag that does not end by the end of the page is no tag.
+_COMMENT = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*+>?", re.S)
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+" + _VALUE + r"?+)?+|=)*+)>")
 _LABEL = re.compile(r"""\b(?:class|id|role|itemprop|hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""",
                     re.I)
+_RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"[^\W_]+")
 
 PATH_SIZE, WORD_SIZE, COUNTS = 48, 24, 10
 INPUT = PATH_SIZE + WORD_SIZE + COUNTS
 HIDDEN = 16
+#: Blocks that go through the network at a time (some 2 KB each).
+STEPS = 20_000
+
+
+class Place:
+    """An element's place in the tree: its parent's and its own label, that is its tag
+    with the words of its class, id and role.  The vector of the path from the root is
+    made once, from the parent's."""
+    __slots__ = ("parent", "label", "_vector")
+
+    def __init__(self, parent: Place | None, label: str):
+        self.parent, self.label, self._vector = parent, label, None
+
+    def vector(self) -> np.ndarray:
+        todo, at = [], self
+        while at._vector is None and at.parent is not None:
+            todo.append(at)
+            at = at.parent
+        if at._vector is None:
+            at._vector = _label_vector(at.label)
+        for place in reversed(todo):
+            place._vector = place.parent._vector + _label_vector(place.label)
+        return self._vector
 
 
 class Block(NamedTuple):
-    path: tuple[str, ...]  # tags from the root, each with the words of its class, id and role
+    place: Place  # of the innermost open element
     text: str
     link_chars: int
 
 
 def blocks(page: str) -> list[Block]:
     """Texts between the borders of block elements, in page order; references
-    decoded, white space made single spaces, empty ones left out."""
+    decoded, white space made single spaces, empty ones left out.
+
+    One scan forward; what is open is counted by tag, so that looking for an element
+    that is not open costs nothing, and looking for one that is closes all it passes.
+    """
     out: list[Block] = []
-    open_: list[tuple[str, str]] = []  # (tag, label)
+    open_: list[str] = []
+    places = [Place(None, "")]
+    counts: Counter[str] = Counter()
     text: list[str] = []
-    links = 0
+    links = open_blocks = 0
 
     def end_block() -> None:
         nonlocal links
         if text:
             joined = _SPACE.sub(" ", "".join(text)).strip()
             if joined:
-                out.append(Block(tuple(label for _, label in open_ if label), joined, links))
+                out.append(Block(places[-1], joined, links))
             text.clear()
         links = 0
 
     def close(upto: int) -> None:
-        if any(t in BLOCKS for t, _ in open_[upto:]):
+        """Close all but the first ``upto`` open elements; a block ends before, if
+        one of them is of a block."""
+        if open_blocks and any(t in BLOCKS for t in open_[upto:]):
             end_block()
-        del open_[upto:]
+        drop(upto)
+
+    def drop(upto: int) -> None:
+        nonlocal open_blocks
+        for t in open_[upto:]:
+            counts[t] -= 1
+            open_blocks -= t in BLOCKS
+        del open_[upto:], places[upto + 1:]
+
+    def push(tag: str, label: str) -> None:
+        nonlocal open_blocks
+        open_.append(tag)
+        places.append(Place(places[-1], label))
+        counts[tag] += 1
+        open_blocks += tag in BLOCKS
+
+    def innermost(tags) -> int:
+        """Place of the innermost open one of ``tags``, which are open."""
+        return next(k for k in range(len(open_) - 1, -1, -1) if open_[k] in tags)
 
     def add(raw: str) -> None:
         nonlocal links
         if raw:
             s = entities.unescape(raw) if "&" in raw else raw
             text.append(s)
-            if any(t == "a" for t, _ in open_):
+            if counts["a"]:
                 links += len(s)
 
-    at = 0
+    at = begin = 0  # text from ``begin`` on has not been added yet
     while True:
-        m = _PIECE.search(page, at)
-        if not m:
-            add(page[at:])
+        at = page.find("<", at)
+        if at < 0:
+            add(page[begin:])
             break
-        add(page[at:m.start()])
-        at = m.end()
-        tag = (m[2] or "").lower()
-        if not tag:
+        comment = _COMMENT.match(page, at)
+        m = None if comment else _TAG.match(page, at)
+        if not m and not comment:
+            if page[at + 1:at + 2].isalpha() and page[at + 1:at + 2].isascii() or \
+                    page[at + 1:at + 2] == "/" and page[at + 2:at + 3].isalpha() and page[at + 2:at + 3].isascii():
+                add(page[begin:at])  # a tag that the page ends in
+                break
+            at += 1
+            continue
+        add(page[begin:at])
+        at = begin = (comment or m).end()
+        if comment:
             continue
+        tag = m[2].lower()
         if m[1]:
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] == tag:
-                    close(k)
-                    break
-            else:
-                if tag in BLOCKS:
-                    end_block()
+            if counts[tag]:
+                close(innermost((tag,)))
+            elif tag in BLOCKS:
+                end_block()
             continue
         if tag in BLOCKS:
             end_block()
-        if tag in ENDS_P:
-            k = next((k for k in range(len(open_) - 1, -1, -1) if open_[k][0] == "p"), None)
-            if k is not None:
+        if tag in ENDS_P and counts["p"]:
+            close(innermost(("p",)))
+        if tag in CLOSES and any(counts[t] for t in CLOSES[tag]):
+            k = innermost((*CLOSES[tag], "ul", "ol", "dl", "table", "select"))
+            if open_[k] in CLOSES[tag]:
                 close(k)
-        if tag in CLOSES:
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] in CLOSES[tag]:
-                    close(k)
-                    break
-                if open_[k][0] in ("ul", "ol", "dl", "table", "select"):
-                    break
         if tag in VOID or m[3].rstrip().endswith("/") and tag not in BLOCKS:
             continue
         label = " ".join([tag, *[w.lower() for a in _LABEL.finditer(m[3] or "")
                                  for w in _WORD.findall(a[1] or a[0])]]) if m[3] else tag
         if tag in RAW:
-            stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            stop = _RAW_END[tag].search(page, at)
             inner = page[at:stop.start() if stop else len(page)]
             if tag in ("textarea", "title"):
-                open_.append((tag, label))
+                push(tag, label)
                 add(inner)
                 end_block()
-                open_.pop()
-            at = stop.end() if stop else len(page)
+                drop(len(open_) - 1)
+            at = begin = stop.end() if stop else len(page)
             continue
-        open_.append((tag, label))
+        push(tag, label)
     end_block()
     return out
 
@@ -151,14 +208,11 @@ def _slot(word: str, size: int) -> tuple[int, float]:
     return h % size, 1.0 if h >> 31 else -1.0
 
 
-@cache
-def _path_vector(path: tuple[str, ...]) -> np.ndarray:
+@lru_cache(50_000)
+def _label_vector(label: str) -> np.ndarray:
     v = np.zeros(PATH_SIZE, np.float32)
-    for label in path:
-        if label in ("html", "body"):
-            continue
-        words = label.split()
-        for k, w in enumerate(words):
+    if label not in ("", "html", "body"):
+        for k, w in enumerate(label.split()):
             i, sign = _slot(("tag " if k == 0 else "label ") + w, PATH_SIZE)
             v[i] += sign
     return v
@@ -182,15 +236,13 @@ def vectors(pages: list[list[Block]]) -> list[np.ndarray]:
         longest = max((len(b.text) for b in page), default=1)
         for k, b in enumerate(page):
             n, t = len(b.text), b.text
-            out[at + k, :PATH_SIZE] = _path_vector(b.path)
+            out[at + k, :PATH_SIZE] = b.place.vector()
             out[at + k, -COUNTS:] = (
                 math.log1p(n) / 6, math.log1p(counts[at + k]) / 4, min(1.0, b.link_chars / n), n / longest,
                 t[-1] in ".!?…", (t.count(",") + t.count(";")) / (1 + counts[at + k]), k / len(page),
                 "©" in t or "®" in t, k == 0, 1.0)
         rows.append(out[at:at + len(page)])
         at += len(page)
-    if _path_vector.cache_info().currsize > 200_000:
-        _path_vector.cache_clear()
     return rows
 
 
@@ -278,11 +330,14 @@ class Labeller:
 
     def label(self, pages: list[np.ndarray]) -> list[np.ndarray]:
         """Is it main text, for each block of each page.  Pages of like length
-        go through together."""
+        go through together, as many as make ``STEPS`` blocks when padded to the
+        longest, or one that is longer than that."""
         out: list[np.ndarray] = [np.zeros(0, bool)] * len(pages)
         order = sorted((k for k in range(len(pages)) if len(pages[k])), key=lambda k: len(pages[k]))
-        for a in range(0, len(order), 128):
-            some = order[a:a + 128]
+        while order:
+            n = len(order)  # the longest that are left, while they fit
+            some = order[max(0, n - min(128, max(1, STEPS // len(pages[order[-1]])))):]
+            del order[n - len(some):]
             x, mask = _padded([pages[k] for k in some])
             z = self.logits(x, mask)
             for j, k in enumerate(some):

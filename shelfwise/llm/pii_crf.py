@@ -12,8 +12,12 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from collections.abc import Iterator
+from array import array
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import accumulate
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +43,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _ANCHOR = re.compile(r"[0-9@]++")
+_GAP = re.compile(r"\s")
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|\s+|.", re.S)
 
 
@@ -88,11 +93,18 @@ def _order(span: Span) -> tuple[int, int, int]:
 
 
 def regions(text: str) -> list[tuple[int, int]]:
-    """Stretches around digits and at-signs, cut at white space where there is
-    any in reach."""
+    """Stretches around digits and at-signs: at least ``REACH`` characters on either
+    side, and on to the next white space or end of the text."""
     out: list[list[int]] = []
     for m in _ANCHOR.finditer(text):
+        if out and m.end() + REACH <= out[-1][1]:
+            continue
         a, b = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
+        low = out[-1][1] if out else 0
+        while a > low and not text[a - 1].isspace():
+            a -= 1
+        space = _GAP.search(text, b) if b and not text[b - 1].isspace() else None
+        b = b if b and text[b - 1].isspace() else space.start() if space else len(text)
         if out and a <= out[-1][1]:
             out[-1][1] = max(out[-1][1], b)
         else:
@@ -105,49 +117,91 @@ def _class(token: str) -> str:
     return "9" if "0" <= c <= "9" else "a" if c.isalpha() else " " if c.isspace() else c
 
 
-def segments(tokens: list[str]) -> list[list[tuple[int, list[str]]]]:
-    """For every end (exclusive) the (start, features) of the segments that
-    could be an entity: they hold a digit or an at-sign and begin and end well."""
-    kinds = [_class(t) for t in tokens]
-    out: list[list[tuple[int, list[str]]]] = [[] for _ in range(len(tokens) + 1)]
-    for s, k in enumerate(kinds):
-        if k not in "9a+(":
-            continue
-        for e in range(s + 1, min(len(tokens), s + LONGEST) + 1):
-            last = kinds[e - 1]
-            if last == " " and tokens[e - 1] != " ":
-                break  # a line end or a gap is in no entity
-            if last in "9a" and (set(kinds[s:e]) & {"9", "@"}):
-                f = _features(tokens, kinds, s, e)
-                if f:
-                    out[e].append((s, f))
-    return out
+class Tokens:
+    """The tokens of a stretch of text, their classes (one character each), and what
+    segments over them are made from: lengths of digit groups, digits so far, and for
+    each place the last word and the last gap before it."""
+
+    def __init__(self, tokens: list[str]):
+        self.tokens, self.kinds = tokens, "".join(map(_class, tokens))
+        self.group, self.digits, self.word, self.after_gap = [], [0], [], [0]
+        last, gap = "", 0
+        for i, (t, k) in enumerate(zip(tokens, self.kinds)):
+            n = len(t) if k == "9" else 0
+            self.group.append(min(n, 20))
+            self.digits.append(self.digits[-1] + n)
+            self.word.append(last)
+            if k == "a":
+                last = t.lower()
+            elif k == " " and t != " ":
+                gap = i + 1  # a line end or a wider gap is in no entity
+            self.after_gap.append(gap)
+
+    def ending(self, e: int) -> Iterator[tuple[int, Candidate]]:
+        """The segments that end before token ``e`` and could be an entity, by start:
+        they hold a digit or an at-sign and begin and end well."""
+        kinds = self.kinds
+        if kinds[e - 1] not in "9a":
+            return
+        right = kinds[e] if e < len(kinds) else "$"
+        for s in range(max(self.after_gap[e], e - LONGEST), e):
+            if kinds[s] in "9a+(":
+                n = self.digits[e] - self.digits[s]
+                if n < 4 and kinds.find("@", s, e) < 0:
+                    continue
+                skeleton = kinds[s:e]
+                check = quad = None
+                if 13 <= n <= 19:
+                    check = luhn("".join([t for t, k in zip(self.tokens[s:e], skeleton) if k == "9"]))
+                if skeleton == "9.9.9.9":
+                    quad = all(map(_small, self.tokens[s:e:2]))
+                yield s, Candidate(skeleton, n if n < 20 else 20, tuple(filter(None, self.group[s:e])),
+                                   kinds[s - 1] if s else "^", right, self.word[s], check, quad)
+
+
+class Candidate(NamedTuple):
+    """All that a segment's features are made from; many segments are alike in it."""
+    skeleton: str
+    digits: int
+    groups: tuple[int, ...]
+    left: str
+    right: str
+    word: str
+    check: bool | None
+    quad: bool | None
+
+    def features(self) -> list[str]:
+        out = [*_shape(self.skeleton), *self._details(), "groups=" + "-".join(map(str, self.groups))]
+        return out
+
+    def _details(self) -> list[str]:
+        """Those of neighbours and digits, without the lengths of the groups."""
+        out = [f"digits={self.digits}", "left=" + self.left, "right=" + self.right, "word=" + self.word]
+        if self.check is not None:
+            out.append(f"luhn={self.check}")
+        if self.quad is not None:
+            out.append(f"quad={self.quad}")
+        return out
 
 
-def _features(tokens: list[str], kinds: list[str], s: int, e: int) -> list[str]:
-    skeleton = "".join(kinds[s:e])
-    groups = [len(t) for t, k in zip(tokens[s:e], kinds[s:e]) if k == "9"]
-    n = sum(groups)
-    if "@" not in skeleton and n < 4:
-        return []
-    left = kinds[s - 1] if s else "^"
-    right = kinds[e] if e < len(kinds) else "$"
-    word = next((t.lower() for t, k in zip(tokens[s - 1::-1], kinds[s - 1::-1]) if k == "a"), "") if s else ""
-    out = ["any", "skeleton=" + skeleton, f"digits={min(n, 20)}",
-           "groups=" + "-".join(str(min(g, 20)) for g in groups), "left=" + left, "right=" + right,
-           f"at={skeleton.count('@')}", f"dots={min(skeleton.count('.'), 5)}",
-           f"gaps={min(skeleton.count(' '), 5)}", "word=" + word, "first=" + kinds[s] + (
-               "+" if "+" in skeleton else "") + ("(" if "(" in skeleton else "")]
-    if 13 <= n <= 19:
-        out.append(f"luhn={luhn(''.join(t for t, k in zip(tokens[s:e], kinds[s:e]) if k == '9'))}")
-    if re.fullmatch(r"9\.9\.9\.9", skeleton):
-        out.append(f"quad={all(_small(t) for t in tokens[s:e:2])}")
-    if "@" in skeleton:
-        local, _, domain = skeleton.rpartition("@")
-        out.append(f"mail={bool(local)}{'.' in domain.strip('.')}{' ' in skeleton}{kinds[e - 1]}")
+def _shape(k: str) -> list[str]:
+    """Features of a skeleton alone."""
+    out = ["any", "skeleton=" + k, f"at={k.count('@')}", f"dots={min(k.count('.'), 5)}",
+           f"gaps={min(k.count(' '), 5)}",
+           "first=" + k[0] + ("+" if "+" in k else "") + ("(" if "(" in k else "")]
+    if "@" in k:
+        local, _, domain = k.rpartition("@")
+        out.append(f"mail={bool(local)}{'.' in domain.strip('.')}{' ' in k}{k[-1]}")
     return out
 
 
+def segments(tokens: list[str]) -> list[list[tuple[int, list[str]]]]:
+    """For every end (exclusive) the (start, features) of the segments that could be
+    an entity."""
+    t = Tokens(tokens)
+    return [[]] + [[(s, c.features()) for s, c in t.ending(e)] for e in range(1, len(tokens) + 1)]
+
+
 class Field:
     """Weights of segment features for each kind, of lone outside tokens, and of
     one label following another (0 is outside)."""
@@ -162,29 +216,64 @@ class Field:
         rows = [self.index[f] for f in features if f in self.index]
         return self.weight[rows].sum(axis=0)
 
+    def _scorer(self) -> Callable[[Candidate], list[float]]:
+        """``scores`` of a candidate's features, from sums that many candidates share."""
+        parts: dict = {}
+
+        def part(key, features: Callable[[], list[str]]) -> list[float]:
+            got = parts.get(key)
+            if got is None:
+                if len(parts) > 200_000:
+                    parts.clear()
+                got = parts[key] = self.scores(features()).tolist()
+            return got
+
+        def score(c: Candidate) -> list[float]:
+            shape = part(c.skeleton, lambda: _shape(c.skeleton))
+            rest = part((c.digits, c.left, c.right, c.word, c.check, c.quad), c._details)
+            row = self.index.get("groups=" + "-".join(map(str, c.groups)))
+            if row is None:
+                return [a + b for a, b in zip(shape, rest)]
+            return [a + b + g for a, b, g in zip(shape, rest, self.weight[row].tolist())]
+        return score
+
     def decode(self, text: str) -> list[Span]:
-        """The best segmentation of a stretch of text: its entities."""
+        """The best segmentation of a stretch of text: its entities.
+
+        Segments are bounded, so the work goes with the number of tokens; what is kept
+        of each token is a score and a way back for each label."""
         tokens = _TOKEN.findall(text)
-        segs = segments(tokens)
-        labels = len(KINDS) + 1
-        best = np.full((len(tokens) + 1, labels), -np.inf)
-        best[0, 0] = 0.0
-        back: list[dict[int, tuple[int, int]]] = [{} for _ in range(len(tokens) + 1)]
-        for e in range(1, len(tokens) + 1):
-            into = best[e - 1] + self.follow[:, 0]
-            y = int(into.argmax())
-            best[e, 0] = into[y] + self.outside.get(_class(tokens[e - 1]), 0.0)
-            back[e][0] = (e - 1, y)
-            for s, features in segs[e]:
-                into = best[s][:, None] + self.follow[:, 1:]
-                value = into.max(axis=0) + self.scores(features)
-                for k in np.flatnonzero(value > best[e, 1:]):
-                    best[e, k + 1] = value[k]
-                    back[e][int(k) + 1] = (s, int(into[:, k].argmax()))
-        starts = np.concatenate(([0], np.cumsum([len(t) for t in tokens]))).tolist()
-        e, y, out = len(tokens), int(best[-1].argmax()), []
+        known, labels, size = Tokens(tokens), range(len(KINDS) + 1), len(tokens)
+        follow, kinds, never = self.follow.tolist(), range(1, len(KINDS) + 1), float("-inf")
+        score_of = self._scorer()
+        back_to, back_label = array("i"), array("b")
+        enter: list[tuple[list[float], list[int]]] = []  # best way into an entity after each token
+        best = [0.0] + [never] * len(KINDS)
+        for e in range(size + 1):
+            if e:
+                ways = [best[x] + follow[x][0] for x in labels]
+                y = max(labels, key=ways.__getitem__)
+                best = [ways[y] + self.outside.get(known.kinds[e - 1], 0.0)] + [never] * len(KINDS)
+                to, label = [e - 1] * len(labels), [y] * len(labels)
+                for s, found in known.ending(e):
+                    score = score_of(found)
+                    ways, froms = enter[s]
+                    for k in kinds:
+                        value = ways[k - 1] + score[k - 1]
+                        if value > best[k]:
+                            best[k], to[k], label[k] = value, s, froms[k - 1]
+                back_to.extend(to)
+                back_label.extend(label)
+            froms = [max(labels, key=lambda x: best[x] + follow[x][k]) for k in kinds] \
+                if any(v > never for v in best[1:]) else [0] * len(KINDS)
+            enter.append(([best[x] + follow[x][k] for k, x in zip(kinds, froms)], froms))
+            if e >= LONGEST:
+                enter[e - LONGEST] = ()  # no segment reaches back so far any more
+        starts = [0, *accumulate(map(len, tokens))]
+        e, y, out = size, max(labels, key=best.__getitem__), []
         while e > 0:
-            s, before = back[e][y]
+            at = (e - 1) * len(labels) + y
+            s, before = back_to[at], back_label[at]
             if y:
                 out.append((KINDS[y - 1], starts[s], starts[e]))
             e, y = s, before
@@ -362,18 +451,33 @@ def trained(examples: int = 500, rounds: int = 4) -> Field:
 
 # ---------------------------------------------------------------- on Spark
 
+def _free_of(taken: list[tuple[int, int]]) -> Callable[[int, int], bool]:
+    """Does a span touch none of ``taken``?  Those that overlap are joined, so one
+    look to the left is enough."""
+    joined_spans: list[list[int]] = []
+    for x, y in sorted(taken):
+        if joined_spans and x < joined_spans[-1][1]:
+            joined_spans[-1][1] = max(joined_spans[-1][1], y)
+        else:
+            joined_spans.append([x, y])
+    starts = [x for x, _ in joined_spans]
+
+    def free(s: int, e: int) -> bool:
+        k = bisect_left(starts, e) - 1  # the last that begins before the end
+        return k < 0 or joined_spans[k][1] <= s
+    return free
+
+
 def find(text: str | None, field: Field) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans) of a text, each by start, then kind."""
     text = text or ""
     base = base_spans(text)
+    free = _free_of([(x, y) for _, x, y in base])
     added: list[Span] = []
     for a, b in regions(text):
         for kind, s, e in field.decode(text[a:b]):
-            s, e = s + a, e + a
-            cut = (s == a and a and not text[a - 1].isspace()) or (
-                e == b and b < len(text) and not text[b].isspace())
-            if not cut and all(e <= x or s >= y for _, x, y in base):
-                added.append((kind, s, e))
+            if free(s + a, e + a):
+                added.append((kind, s + a, e + a))
     return base, sorted([*base, *added], key=_order)
 
 

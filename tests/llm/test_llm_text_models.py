@@ -1,7 +1,11 @@
 import random
 import re
+import resource
+import time
+from html.parser import HTMLParser
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.llm import html_extract, pii_crf
@@ -90,6 +94,29 @@ def best_by_hand(field, text):
     return best(0, 0), score(field.decode(text))
 
 
+def test_decoding_goes_with_the_length_of_the_text():
+    r, field, took = random.Random(6), pii_crf.trained(), []
+    for n in (10_000, 40_000):
+        text = " ".join(str(r.randint(0, 10 ** r.randint(1, 9))) for _ in range(n))
+        begin = time.process_time()
+        base, spans = pii_crf.find(text, field)
+        took.append(time.process_time() - begin)
+        assert base == pii_crf.base_spans(text) and set(base) <= set(spans)
+    assert took[1] < 8 * took[0] + 1
+
+
+def test_spans_at_the_borders_of_stretches_are_not_lost():
+    field = pii_crf.trained()
+    call = "call (361) 555-8283 now"
+    assert pii_crf.find(call, field)[1] == [("phone", 5, 19)]
+    for pad in range(0, 130, 7):  # another number at every distance around the reach
+        text = f"{'w' * pad} 12 {'w ' * pad}{call} {'w ' * pad}34 {'w' * pad}"
+        at = text.index("(361)")
+        assert ("phone", at, at + 14) in pii_crf.find(text, field)[1]
+    for a, b in pii_crf.regions("x" * 500 + "1" + "y" * 500 + " z " * 50 + "2"):
+        assert (a, b) in ((0, 1001), (1110, 1152)) or a > 1001
+
+
 def test_decoding_finds_the_best_segmentation():
     field = pii_crf.trained()
     for text in ("a@b.cd 12", "12-34 5678", "+1 23 4567", "x 1.2.3.4", "", "9" * 14):
@@ -137,6 +164,73 @@ def test_blocks_of_broken_markup():
     assert len(texts("<p>" + "w " * 300_000 + "</p>" + "<div>" * 3000 + "deep")) == 2
 
 
+def test_quotes_and_comments_end_as_the_standard_says():
+    page = "<article><p data-x='it's'>One</p><p>Two isn't</p><p>Three</p></article>"
+    assert texts(page) == ["One", "Two isn't", "Three"]
+    assert texts('<p title="5"">Hello') == ["Hello"] and texts("<p a=\"b'c>d\" e='\">'>x") == ["x"]
+    assert texts("<p>x<!-- a --!>y</p><p>z</p>") == ["xy", "z"] and texts("a<!-->b<!--->c<!-- -- >-->d") == ["abcd"]
+    assert texts("<p class=a/>x<p/class=b id>y<p = a='>z") == ["x", "y", "z"]
+    assert texts("<p title='never closed>one</p><p>two</p>") == ["one", "two"]
+    assert texts("x <b y") == ["x"] and texts("1 <2 <") == ["1 <2 <"]
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 350_000, "<div>" * 200_000, '<a b="' * 170_000, "<p title='" * 100_000, "<div>x" * 150_000,
+    "<div>" * 70_000 + "</p></span>" * 60_000, "<ul>" * 60_000 + "<li>x" * 100_000, "<!--" * 250_000,
+    "< " * 500_000, "&amp" * 250_000, '<p class="' * 100_000, "<a " + "=" * 1_000_000, "<script>" * 120_000])
+def test_hostile_pages_of_a_megabyte_take_seconds(page):
+    begin = time.process_time()
+    html_extract.blocks(page)
+    assert time.process_time() - begin < 20
+
+
+def test_a_page_of_200_000_blocks_takes_bounded_memory():
+    net = html_extract.trained()
+    page = "<article>" + "<p>Some words of a sentence, and more." * 200_000 + "</article>"
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    text = html_extract.main_texts([page, "<p>short</p>"] + ["<div>x</div>"] * 100, net)[0]
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1 << 20  # KB
+    assert text.count("\n") > 150_000
+
+
+class Article(HTMLParser):
+    """The blocks of a page's article elements, by the parser of the standard library."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.depth, self.skip, self.parts = 0, 0, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.depth += tag == "article"
+        self.skip += tag in ("script", "style")
+        if tag in html_extract.BLOCKS:
+            self.parts.append("")
+
+    def handle_endtag(self, tag):
+        self.depth -= tag == "article"
+        self.skip -= tag in ("script", "style")
+        if tag in html_extract.BLOCKS:
+            self.parts.append("")
+
+    def handle_data(self, data):
+        if self.depth and not self.skip:
+            self.parts[-1] += data
+
+    def text(self):
+        return "\n".join(t for t in (" ".join(p.split()) for p in self.parts) if t)
+
+
+def test_pages_of_the_table_against_another_parser(spark):
+    out = html_extract.extract_text(spark.read.parquet("/root/testdata/sf0.001/pages.parquet")).collect()
+    wrong = 0
+    for x in out:
+        other = Article()
+        other.feed(x["html"])
+        other.close()
+        wrong += x["main_text"] != other.text()
+    assert len(out) > 10 and wrong <= 0.02 * len(out)
+
+
 def test_gradient_of_the_network():
     r = random.Random(3)
     pages = [html_extract.labelled_page(html_extract.made_up_page(r)) for _ in range(3)]
