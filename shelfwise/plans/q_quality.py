@@ -14,7 +14,7 @@ from shelfwise.plans import quality as Q
 from shelfwise.plans import silver as S
 from shelfwise.plans.bindings import catalogue_records, observations, table
 from shelfwise.plans.oracle_sql import OBS_CTE, money
-from shelfwise.plans.q_silver import NEST_CTE
+from shelfwise.plans.q_silver import NEST_CTE, snapshot_of
 from shelfwise.plans.registry import query
 
 
@@ -58,7 +58,7 @@ WITH {NEST_CTE}
 SELECT num_octogonos, COUNT(*) AS cantidad FROM silver GROUP BY num_octogonos
 """)
 def q_label_count_distribution(spark, d):
-    return Q.label_count_distribution(S.build_silver(catalogue_records(spark, d)))
+    return Q.label_count_distribution(snapshot_of(spark, d))
 
 
 @query("stock_state_case", sql=f"""
@@ -72,7 +72,7 @@ labelled AS (
 SELECT x.estado AS estado, count(*) AS cantidad FROM labelled WHERE x.si GROUP BY 1
 """)
 def q_stock_state_case(spark, d):
-    return Q.stock_state(S.build_silver(catalogue_records(spark, d)))
+    return Q.stock_state(snapshot_of(spark, d))
 
 
 @query("array_size_violation", sql=f"""
@@ -101,8 +101,8 @@ SELECT o.productid, o.ingesta_date, s.precio_tarjeta_sip AS web, o.directo, o.aj
 FROM o JOIN silver s ON o.productid = s.productid AND o.ingesta_date = s.ingesta_date
 """)
 def q_price_reconciliation(spark, d):
-    n = catalogue_records(spark, d)
-    return Q.price_reconciliation(S.enrich(n), S.build_silver(n),
+    n = catalogue_records(spark, d, by_product=True)
+    return Q.price_reconciliation(S.enrich(n), S.build_silver(n, method="window"),
                                   ["productid", "ingesta_date"], "precio_tarjeta_sip")
 
 
