@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from shelfwise.operators.dedup import asc, best_row_per_key, desc
 from shelfwise.plans import registry
 from shelfwise.plans import silver as S
+from shelfwise.plans import star as ST
 from shelfwise.plans.bindings import catalogue_records
 from shelfwise.plans.q_silver import snapshot_of
 
@@ -73,3 +74,11 @@ def test_the_window_form_sorts_once(spark):
                                F.col("id").cast("string").alias("s"))
     text = plan(best_row_per_key(df, ["k"], [desc("v")], gather={"ss": "s"}, method="window"))
     assert text.count("Sort [") == 1 and text.count("Window [") == 1
+
+
+def test_a_star_query_loads_its_own_star(spark, monkeypatch):
+    loaded, write = [], ST.write_star
+    monkeypatch.setattr(ST, "write_star", lambda *a, **kw: loaded.append(1) or write(*a, **kw))
+    registry.load_all()
+    rows = [registry.QUERIES["star_stockout_by_category"](spark, SF).collect() for _ in range(2)]
+    assert loaded == [1, 1] and rows[0] == rows[1]
