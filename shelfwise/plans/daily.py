@@ -176,11 +176,16 @@ def load_bronze(spark: SparkSession, landing_base: str, lake: Lake, batch_id: st
     # The declared schema keeps this batch's partition compatible when
     # inference degrades a type (all-empty arrays).
     hints = declared_bronze(spark, lake)
-    df = L.read_landing(spark, landing_base, batch_id=batch_id, glob=glob, type_hints=hints)
-    df = df.withColumn("ingesta_date", F.lit(day))
-    written = TB.write_batch(spark, df, lake.bronze, batch_id, mode=mode)
-    _declare_bronze(spark, lake, batch_id, hints, df.schema)
-    return written
+    scratch: list[str] = []
+    try:
+        df = L.read_landing(spark, landing_base, batch_id=batch_id, glob=glob, type_hints=hints, scratch=scratch)
+        df = df.withColumn("ingesta_date", F.lit(day))
+        written = TB.write_batch(spark, df, lake.bronze, batch_id, mode=mode)
+        _declare_bronze(spark, lake, batch_id, hints, df.schema)
+        return written
+    finally:
+        for place in scratch:
+            delete_path(spark, place)
 
 
 def declared_bronze(spark: SparkSession, lake: Lake) -> T.StructType | None:

@@ -126,14 +126,14 @@ def _typed(fields: list[T.StructField], hints: T.StructType | None,
 
 
 def _records(spark: SparkSession, path, base: str, glob: str, multiline: bool,
-             fields: list[T.StructField], temp: list[str]) -> tuple[DataFrame, list[str]]:
+             fields: list[T.StructField], temp: list[str], scratch: list[str]) -> tuple[DataFrame, list[str]]:
     """Records as a struct ``_r`` with the field names ``temp``, the text of what
     did not parse as ``_bad``, the file's path, and the columns of the folders.
 
     All goes through the JSON reader, which streams the records of a file.  Names
     that differ only by case cannot be columns of one scan here: then a side
     session that minds the case reads and renames them, and what it gives is
-    written to the shared scratch folder.
+    written to the shared scratch folder, in a place that ``scratch`` then names.
     """
     alike = len({f.name.lower() for f in fields}) < len(fields)
     reader = _case_sensitive(spark) if alike else spark
@@ -149,6 +149,7 @@ def _records(spark: SparkSession, path, base: str, glob: str, multiline: bool,
                        F.col("_metadata.file_path").alias("_file"), *folders)
     if alike:
         place = scratch_path(spark, "landing-records")
+        scratch.append(place)
         rows.write.parquet(place)
         rows = spark.read.schema(rows.schema).parquet(place)
     return rows, folders
@@ -156,7 +157,7 @@ def _records(spark: SparkSession, path, base: str, glob: str, multiline: bool,
 
 def _scan(spark: SparkSession, base: str, batch_id, glob: str, multiline: bool,
           schema: T.StructType | None, type_hints: T.StructType | None,
-          overrides: dict[str, str] | None):
+          overrides: dict[str, str] | None, scratch: list[str]):
     """(records, folder columns, normalised name → temporary names)."""
     ids = [batch_id] if isinstance(batch_id, str) else list(batch_id or [])
     path = [f"{base.rstrip('/')}/batch_id={b}" for b in ids] if ids else base
@@ -168,7 +169,7 @@ def _scan(spark: SparkSession, base: str, batch_id, glob: str, multiline: bool,
         groups = normalized_names([f.name for f in fields], overrides)
         place = {f.name: f"c{i}" for i, f in enumerate(fields)}
         rows, folders = _records(spark, path, base, glob, multiline, fields,
-                                 [place[f.name] for f in fields])
+                                 [place[f.name] for f in fields], scratch)
     except AnalysisException as e:  # missing folder, or nothing to infer a schema from
         raise LandingError(f"cannot read landing data at {path}: {e}") from e
     return rows, folders, {norm: [place[r] for r in raws] for norm, raws in groups.items()}
@@ -179,7 +180,8 @@ def read_landing(spark: SparkSession, base: str, *, batch_id: str | list[str] |
                  schema: T.StructType | None = None,
                  type_hints: T.StructType | None = None,
                  section_pattern: str = SECTION_FILE, section_col: str = "seccion",
-                 overrides: dict[str, str] | None = None, on_error: str = "fail") -> DataFrame:
+                 overrides: dict[str, str] | None = None, on_error: str = "fail",
+                 scratch: list[str] | None = None) -> DataFrame:
     """Read landing batches (all, or some) as a normalised bronze frame.
 
     Pass ``schema`` to skip the inference pass.  ``multiline=False`` reads JSON
@@ -190,11 +192,13 @@ def read_landing(spark: SparkSession, base: str, *, batch_id: str | list[str] |
 
     Raises ``LandingError`` when a folder is missing or holds no readable record.
     What does not parse makes the read fail when it runs; ``on_error="divert"``
-    leaves it to ``landing_rejects``.
+    leaves it to ``landing_rejects``.  Scratch folders the frame is read from are
+    added to ``scratch``, for a caller who deletes them when done with it.
     """
     if on_error not in ("fail", "divert"):
         raise ValueError("on_error is 'fail' or 'divert'")
-    rows, folders, groups = _scan(spark, base, batch_id, glob, multiline, schema, type_hints, overrides)
+    rows, folders, groups = _scan(spark, base, batch_id, glob, multiline, schema, type_hints, overrides,
+                                  [] if scratch is None else scratch)
     # What was read of a field is named as well: the JSON reader refuses a scan
     # of the bad text alone, which a mere count of the rows would come to.
     some = F.to_json(F.struct(F.col(f"_r.{next(iter(groups.values()))[0]}")))
@@ -230,7 +234,7 @@ def landing_rejects(spark: SparkSession, base: str, *, batch_id: str | list[str]
     The list is written to the shared scratch folder first: the JSON reader does
     not give the text of bad records alone.
     """
-    rows, _, _ = _scan(spark, base, batch_id, glob, multiline, schema, type_hints, None)
+    rows, _, _ = _scan(spark, base, batch_id, glob, multiline, schema, type_hints, None, [])
     return materialize(rows.filter(F.col("_bad").isNotNull()).select(
         "batch_id", F.col("_file").alias("path"), F.col("_bad").alias("record"),
         F.to_json("_r").alias("read")), "rejects")
