@@ -250,7 +250,7 @@ def colliding_counts(spark: SparkSession, base: str, *, batch_id: str | list[str
         [batch_id] if isinstance(batch_id, str) else batch_id)] if batch_id else base,
         base=base, glob=glob, multiline=multiline)
     groups = normalized_names([f.name for f in raw.fields if f.name != CORRUPT], overrides)
-    rows, _, places = _scan(spark, base, batch_id, glob, multiline, raw, None, overrides)
+    rows, _, places = _scan(spark, base, batch_id, glob, multiline, raw, None, overrides, [])
     several = {norm: temps for norm, temps in places.items() if len(temps) > 1}
     if not several:
         return spark.createDataFrame([], "clave string, formas array<string>, filas long, filas_con_varias long")
